@@ -195,7 +195,8 @@ def _(spark, sf):
     + BOUNDED
     + """ , m AS (SELECT *, (upper_bound - lower_bound) / 2 AS margin FROM bd)
         SELECT o_orderkey, round(margin, 6) AS margin,
-          '$' || format('{:,d}', CAST(round_even(prediction, 0) AS BIGINT)) AS prediction_text,
+          CASE WHEN prediction < 0 AND prediction >= -0.5 THEN '$-0'
+               ELSE '$' || format('{:,d}', CAST(round_even(prediction, 0) AS BIGINT)) END AS prediction_text,
           '$' || format('{:,d}', CAST(round_even(upper_bound, 0) AS BIGINT)) AS upper_text,
           round(margin / prediction * 100, 6) + 0.0 AS share FROM m""",
 )
@@ -265,11 +266,11 @@ def _(spark, sf):
 @query(
     "standardize",
     f"""WITH g AS {GAPPY_SQL}, s AS (SELECT avg(price) AS m, stddev_pop(price) AS d FROM g)
-        SELECT {LINE_KEY_SQL}, round((price - m) / d, 9) AS price, CAST(0 AS DOUBLE) AS constant FROM g, s""",
+        SELECT {LINE_KEY_SQL}, round((price - m) / d, 6) AS price, CAST(0 AS DOUBLE) AS constant FROM g, s""",
 )
 def _(spark, sf):
     df = derived(spark, sf, "lineitem", GAPPY).withColumn("constant", F.lit(7.0))
-    return standardize(df, ["price", "constant"]).select(*LINE_KEY, rounded("price", 9).alias("price"), "constant")
+    return standardize(df, ["price", "constant"]).select(*LINE_KEY, rounded("price").alias("price"), "constant")
 
 
 @query(
@@ -291,13 +292,13 @@ GAPPY_CONTRACT = Contract(numeric=("price", "quantity"), categorical=("flag",),
     f"""WITH g AS {GAPPY_SQL}, m AS (SELECT quantile_cont(price, 0.5) AS mp, quantile_cont(quantity, 0.5) AS mq FROM g),
         i AS (SELECT {LINE_KEY_SQL}, coalesce(price, mp) AS p, coalesce(quantity, mq) AS q, coalesce(flag, {MODE_SQL}) AS f FROM g, m),
         s AS (SELECT avg(p) AS pm, stddev_pop(p) AS ps, avg(q) AS qm, stddev_pop(q) AS qs FROM i)
-        SELECT {LINE_KEY_SQL}, round((p - pm) / ps, 9) AS f0, round((q - qm) / qs, 9) AS f1,
+        SELECT {LINE_KEY_SQL}, round((p - pm) / ps, 6) AS f0, round((q - qm) / qs, 6) AS f1,
           CAST(f = 'A' AS DOUBLE) AS f2, CAST(f = 'N' AS DOUBLE) AS f3, CAST(f = 'R' AS DOUBLE) AS f4 FROM i, s""",
 )
 def _(spark, sf):
     df = derived(spark, sf, "lineitem", GAPPY)
     out = transform_features(df, fit_features(df, GAPPY_CONTRACT)).withColumn("v", vector_to_array("features"))
-    return out.select(*LINE_KEY, *[rounded(F.col("v")[i], 9).alias(f"f{i}") for i in range(5)])
+    return out.select(*LINE_KEY, *[rounded(F.col("v")[i]).alias(f"f{i}") for i in range(5)])
 
 
 @query(
