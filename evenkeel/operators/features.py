@@ -130,18 +130,19 @@ class FeatureState:
         inputs = [f"__num_{c}" for c in self.contract.numeric]
         if self.contract.categorical:
             cats = list(self.contract.categorical)
-            index = StringIndexerModel.from_arrays_of_labels(
-                [list(self.categories[c].values) for c in cats],
-                inputCols=[f"__cat_{c}" for c in cats],
-                outputCols=[f"__idx_{c}" for c in cats],
-                handleInvalid="keep",
-            )
+            # One indexer per column: the many-column form pads unequal label lists with nulls.
+            indexers = [
+                StringIndexerModel.from_labels(
+                    list(self.categories[c].values), inputCol=f"__cat_{c}", outputCol=f"__idx_{c}", handleInvalid="keep"
+                )
+                for c in cats
+            ]
             encoder = OneHotEncoder(
                 inputCols=[f"__idx_{c}" for c in cats], outputCols=[f"__hot_{c}" for c in cats], dropLast=True
             )
             # Category counts come from column metadata: fitting reads no rows.
-            indexed = index.transform(stages[0].transform(df))
-            stages += [index, encoder.fit(indexed)]
+            stages += indexers
+            stages.append(encoder.fit(PipelineModel(stages).transform(df)))
             inputs += [f"__hot_{c}" for c in cats]
         stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
         helpers = [f"__{kind}_{c}" for c in self.contract.categorical for kind in ("cat", "idx", "hot")]

@@ -29,14 +29,14 @@ def scratch_root(spark: SparkSession) -> str:
     session is a local one; a cluster without the setting is an error, since
     executors elsewhere could not read what is written there.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    shared = tempfile.mkdtemp(prefix="evenkeel-")
-    spark.conf.set("spark.checkpoint.dir", shared)
-    return shared
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="evenkeel-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
