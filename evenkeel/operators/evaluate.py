@@ -11,11 +11,12 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, MapT
 from evenkeel.functions.binning import segment_number
 from evenkeel.operators.order_stats import column_quantiles, exact_quantiles, long_series
 
-# Interval settings.
+# Interval and low-segment settings.
 METHOD = "segmented_relative_error_quantile"
 ALPHA = 0.05
 SEGMENTS = 5
 MIN_SEGMENT_ROWS = 10
+LOW_SHARE = 0.25
 
 # Fixed format: fields of the interval specification.
 INTERVAL_SCHEMA = StructType(
@@ -58,13 +59,17 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return sums.select(r2.alias("r2"), F.sqrt("mse").alias("rmse"), "mae", "mse")
 
 
-def segment_mae(df: DataFrame, actual: str, predicted: str, share: float = 0.25) -> DataFrame:
+def low_segment_error(df: DataFrame, actual: str, predicted: str, cutoff: float | None) -> DataFrame:
+    """Mean absolute error of the rows whose target is at most ``cutoff``."""
+    y, p, limit = F.col(actual).cast("double"), F.col(predicted).cast("double"), F.lit(cutoff).cast("double")
+    low = df.where(y <= limit).agg(F.avg(F.abs(y - p)).alias("cheap_segment_mae"))
+    return low.withColumn("cheap_segment_cutoff_p25", limit)
+
+
+def segment_mae(df: DataFrame, actual: str, predicted: str, share: float = LOW_SHARE) -> DataFrame:
     """Mean absolute error of the rows at or below the target's ``share`` quantile."""
     _, found = column_quantiles(df, actual, [share])
-    cutoff = F.lit(found[0] if found else None).cast("double")
-    y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
-    low = df.where(y <= cutoff).agg(F.avg(F.abs(y - p)).alias("cheap_segment_mae"))
-    return low.withColumn("cheap_segment_cutoff_p25", cutoff)
+    return low_segment_error(df, actual, predicted, found[0] if found else None)
 
 
 def relative_error(actual: Column, predicted: Column, normalizer: str = "actual") -> Column:
@@ -83,6 +88,19 @@ def rel_error_quantile(df: DataFrame, actual: str, predicted: str, alpha: float
     return size, (found[0] if found else None)
 
 
+def segment_edges(values: list[float]) -> list[float]:
+    """Quantiles as non-decreasing edges."""
+    return list(accumulate(values, max))
+
+
+def segment_shares(segments: int) -> list[float]:
+    return [i / segments for i in range(1, segments)]
+
+
+def nonnegative(predicted: str) -> Column:
+    return F.greatest(F.col(predicted).cast("double"), F.lit(0.0))
+
+
 def calibrate_intervals(
     df: DataFrame,
     actual: str,
@@ -91,26 +109,23 @@ def calibrate_intervals(
     segments: int = SEGMENTS,
     min_rows: int = MIN_SEGMENT_ROWS,
     normalizer: str = "actual",
+    edges: list[float] | None = None,
 ) -> IntervalSpec:
     """Relative-error quantile per prediction segment, global where a segment is small.
 
-    Two selections: the segment edges, then all segment quantiles and the global one
-    together. Collected: one number per edge and per segment.
+    Two selections: the segment edges (unless given), then all segment quantiles and
+    the global one together. Collected: one number per edge and per segment.
     """
-    y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
-    level = F.greatest(p, F.lit(0.0))
-    _, raw_edges = column_quantiles(df, level, [i / segments for i in range(1, segments)])
-    edges = list(accumulate(raw_edges, max))
-    error = relative_error(y, p, normalizer)
-    scored = df.select(error.alias("error"), segment_number(level, edges).alias("segment"))
+    if edges is None:
+        edges = segment_edges(column_quantiles(df, nonnegative(predicted), segment_shares(segments))[1])
+    error = relative_error(F.col(actual).cast("double"), F.col(predicted).cast("double"), normalizer)
+    scored = df.select(error.alias("error"), segment_number(nonnegative(predicted), edges).alias("segment"))
     series = long_series(scored, [(F.col("segment"), F.col("error")), (-1, F.col("error"))])
     found = exact_quantiles(series, [1 - alpha], "higher")
     if -1 not in found:
         raise ValueError("no rows to calibrate intervals on")
     size, (overall,) = found[-1]
-    per_segment = [
-        found[s][1][0] if s in found and found[s][0] >= min_rows else overall for s in range(segments)
-    ]
+    per_segment = [found[s][1][0] if s in found and found[s][0] >= min_rows else overall for s in range(segments)]
     return IntervalSpec(edges, per_segment, {"global": overall}, size, alpha, 1 - alpha, segments)
 
 
@@ -121,10 +136,18 @@ def interval_coverage(df: DataFrame, actual: str) -> DataFrame:
 
 
 def evaluate_predictions(df: DataFrame, actual: str, predicted: str) -> tuple[dict, IntervalSpec]:
-    """Test metrics and the interval calibrated on the same rows."""
+    """Test metrics and the interval calibrated on the same rows.
+
+    The low-segment cutoff and the interval's edges come from one selection.
+    """
+    both = long_series(df, [(0, F.col(actual)), (1, nonnegative(predicted))])
+    found = exact_quantiles(both, {0: [LOW_SHARE], 1: segment_shares(SEGMENTS)})
+    if 1 not in found:
+        raise ValueError("no rows to evaluate")
+    spec = calibrate_intervals(df, actual, predicted, edges=segment_edges(found[1][1]))
     metrics = regression_metrics(df, actual, predicted).first().asDict()
-    metrics |= segment_mae(df, actual, predicted).first().asDict()
-    return {"test": metrics, "validation": None}, calibrate_intervals(df, actual, predicted)
+    metrics |= low_segment_error(df, actual, predicted, found[0][1][0]).first().asDict()
+    return {"test": metrics, "validation": None}, spec
 
 
 def split_sizes(df: DataFrame) -> DataFrame:

@@ -25,17 +25,24 @@ def _cut_ranks(share: float, size: int) -> list[int]:
     return [k for k in (wanted - 1, wanted) if 0 <= k < size]
 
 
+def hash_number(seed: int, key: Sequence[str]) -> Column:
+    """The leading digits of the row hash as a double, exact and in the same order."""
+    return F.conv(F.left(row_hash(seed, key), F.lit(HASH_DIGITS)), 16, 10).cast("double")
+
+
 def split_exact(df: DataFrame, test_share: float, seed: int, key: Sequence[str]) -> DataFrame:
-    """Add ``is_test``: true for exactly ``ceil(share * n)`` rows, in hash order of the key.
+    """Add ``is_test``: true for exactly ``ceil(share * n)`` rows, in hash order of the key."""
+    return split_by_number(df.withColumn("__n", hash_number(seed, key)), "__n", test_share).drop("__n")
+
+
+def split_by_number(df: DataFrame, number: str, test_share: float) -> DataFrame:
+    """Add ``is_test`` to the ``ceil(share * n)`` rows with the smallest numbers.
 
-    The hash value at that rank is found by selection, then each row compares with
-    it: no sort, no shuffle of the rows. Rows sharing that very hash value (copies
-    of one key) are the only ones ranked; the key is meant to identify rows.
+    The number at that rank is found by selection, then each row compares with it:
+    no sort, no shuffle of the rows. Rows holding that very number (copies of one
+    key) are the only ones ranked; the key behind the number is meant to identify rows.
     """
-    hashed = df.withColumn("__h", row_hash(seed, key))
-    number = F.conv(F.left("__h", F.lit(HASH_DIGITS)), 16, 10).cast("double")
-    hashed = hashed.withColumn("__n", number)
-    series = long_series(hashed, [(0, F.col("__n"))])
+    series = long_series(df, [(0, F.col(number))])
     # The cut and the next rank: if they differ, no row ties with the cut across it.
     stats = order_statistics(series, lambda _, n: _cut_ranks(test_share, n))
     size, found = stats.get(0, (0, {}))
@@ -43,23 +50,21 @@ def split_exact(df: DataFrame, test_share: float, seed: int, key: Sequence[str])
     if wanted == 0:
         return df.withColumn("is_test", F.lit(False))
     cut = found[wanted - 1]
+    n = F.col(number)
     if wanted == size or found[wanted] > cut:
-        return hashed.withColumn("is_test", F.col("__n") <= cut).drop("__h", "__n")
-    tied, below = hashed.agg(F.count_if(F.col("__n") == cut), F.count_if(F.col("__n") < cut)).first()
-    take = wanted - below
+        return df.withColumn("is_test", n <= cut)
+    tied, below = df.agg(F.count_if(n == cut), F.count_if(n < cut)).first()
     if tied > TIE_LIMIT:
-        raise ValueError(f"split key {list(key)} does not identify rows: {tied} rows share one hash")
+        raise ValueError(f"split key does not identify rows: {tied} rows share one hash")
     # At most TIE_LIMIT rows: copies of the single key the cut falls on.
-    rank = Window.partitionBy("__n").orderBy("__h", *[c for c in df.columns])
-    edge = hashed.where(F.col("__n") == cut).withColumn("is_test", F.row_number().over(rank) <= take)
-    rest = hashed.where(F.col("__n") != cut).withColumn("is_test", F.col("__n") < cut)
-    return rest.unionByName(edge).drop("__h", "__n")
+    rank = Window.partitionBy(number).orderBy(*[c for c in df.columns])
+    edge = df.where(n == cut).withColumn("is_test", F.row_number().over(rank) <= wanted - below)
+    return df.where(n != cut).withColumn("is_test", n < cut).unionByName(edge)
 
 
 def split_approximate(df: DataFrame, test_share: float, seed: int, key: Sequence[str]) -> DataFrame:
     """Add ``is_test`` by a hash threshold: map-only, size right to sampling error."""
-    number = F.conv(F.left(row_hash(seed, key), F.lit(HASH_DIGITS)), 16, 10).cast("double")
-    return df.withColumn("is_test", number < test_share * 16.0**HASH_DIGITS)
+    return df.withColumn("is_test", hash_number(seed, key) < test_share * 16.0**HASH_DIGITS)
 
 
 def numbered_within(df: DataFrame, key: str, order: str, tiebreak: Sequence[str], name: str, slices: int = 64) -> DataFrame:

@@ -14,7 +14,7 @@ from evenkeel.operators.clean import cast_numeric, dedupe_full_row, exclude_cate
 from evenkeel.operators.estimators import fit_pipeline, inner_model
 from evenkeel.operators.evaluate import IntervalSpec, evaluate_predictions, split_sizes
 from evenkeel.operators.features import FeatureState
-from evenkeel.operators.ranking import split_exact
+from evenkeel.operators.ranking import hash_number, split_by_number
 from evenkeel.session import materialize
 from evenkeel.sources.artifacts import save_model
 from evenkeel.sources.tables import scan_not_null
@@ -54,25 +54,24 @@ class TrainResult:
 
 
 def prepare_training(df: DataFrame, cfg: TrainConfig) -> DataFrame:
-    """Contract columns plus ``is_test``, written once.
+    """Contract columns plus ``is_test``, cleaned and written once.
 
-    The split key outlives the dropped columns just long enough to split by; without
-    one, the whole deduplicated row is the key.
+    The split key is hashed on the way out, so the passes that find the cut read one
+    number per row and the key columns are not stored. Without a key the whole
+    deduplicated row is the key. The result is a projection of the written table.
     """
     c = cfg.contract
     require_columns(df, c.training_columns, "training columns")
     rows = dedupe_full_row(scan_not_null(df, c.target))
-    key = list(cfg.split_key) or rows.columns
+    rows = rows.withColumn("__n", hash_number(cfg.random_state, list(cfg.split_key) or rows.columns))
     for column, values in cfg.exclude.items():
         rows = exclude_categories(rows, column, values)
     rows = cast_numeric(rows, c.numeric)
     rows = outlier_filter(
         rows, c.target, cfg.area, cfg.min_target, cfg.max_target, cfg.min_area, enabled=cfg.handle_outliers
     )
-    if cfg.split_key:
-        rows = rows.select(*dict.fromkeys([*key, *c.training_columns]))
-    cleaned = materialize(rows, "cleaned")
-    return split_exact(cleaned, cfg.test_size, cfg.random_state, key).select(*c.training_columns, "is_test")
+    cleaned = materialize(rows.select(*c.training_columns, "__n"), "cleaned")
+    return split_by_number(cleaned, "__n", cfg.test_size).drop("__n")
 
 
 def build_metadata(
@@ -97,7 +96,7 @@ def build_metadata(
 
 def train_run(df: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainResult:
     """One training run. Fitting sees training rows only; nothing is promoted here."""
-    split = materialize(prepare_training(df, cfg), "split")
+    split = prepare_training(df, cfg)
     sizes = split_sizes(split).first().asDict()
     train, test = split.where(~F.col("is_test")), split.where("is_test")
     pipeline, state = fit_pipeline(
