@@ -19,7 +19,10 @@ from evenkeel.functions.numeric import is_present
 
 GRID = 400
 SKETCH_ACCURACY = 4_000
+MERGERS = 512
 BAND_LIMIT = 2_000_000
+# Grid steps taken on each side of a rank: one for the grid, one for the merge.
+MARGIN = 2
 
 
 def long_series(df: DataFrame, columns: Sequence[tuple[int | Column, Column]]) -> DataFrame:
@@ -91,16 +94,53 @@ def _coded(series: DataFrame, searches: Mapping[int, _Search]) -> DataFrame:
     return coded.withColumn("v", F.when(sought, x))
 
 
+def _evenly(steps: int) -> Column:
+    """0, 1/steps, ..., 1 as one literal array."""
+    return F.expr(f"array({', '.join(f'{i / steps!r}D' for i in range(steps + 1))})")
+
+
+def _sketched(df: DataFrame, keys: Sequence[str], value: str, steps: int) -> DataFrame:
+    """(keys, n, grid): row count and about evenly spaced quantiles of ``value`` per key.
+
+    Sketches of all tasks would meet in one reducer per key. They are merged in
+    ``MERGERS`` groups first, and the groups' quantiles are then merged by weight:
+    at most MERGERS * (steps + 1) points per key. The group a task falls into
+    shifts the estimate a little and nothing else.
+    """
+    grid = _evenly(steps)
+    salted = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(MERGERS)))
+    partial = salted.groupBy(*keys, "__salt").agg(
+        F.count("*").alias("__n"),
+        F.count(value).alias("__m"),
+        F.percentile_approx(value, grid, SKETCH_ACCURACY).alias("__g"),
+    )
+    points = partial.select(*keys, "__n", "__m", F.posexplode_outer("__g").alias("__at", "__p"))
+    counted = F.sum(F.when(F.coalesce("__at", F.lit(0)) == 0, F.col("__n")))
+    return points.groupBy(*keys).agg(counted.alias("n"), F.percentile("__p", grid, F.col("__m")).alias("grid"))
+
+
+def approximate_quantiles(df: DataFrame, column: Column, parts: int) -> list[float]:
+    """Distinct inner cut points that split a column into about equal parts."""
+    series = long_series(df, [(0, column)])
+    row = _sketched(series, ["series"], "x", parts).first()
+    return sorted(set(row["grid"][1:-1])) if row else []
+
+
+def _bracket(grid: Sequence[float], share: float, low: float | None, high: float | None):
+    """Grid values on both sides of a rank given as a share; the gap's own ends near the edges."""
+    at = int(share * GRID)
+    first, last = at - MARGIN + 1, at + MARGIN
+    return grid[first] if first > 0 else low, grid[last] if last < GRID else high
+
+
+def _expected(rows: int, low: float | None, high: float | None) -> int:
+    return 0 if low is not None and low == high else 2 * MARGIN * rows // GRID + 1
+
+
 def _sketch_pass(series: DataFrame, searches: Mapping[int, _Search]) -> int:
     """Count every gap and bound, narrow around the pending ranks; estimated band rows."""
-    grid = [i / GRID for i in range(GRID + 1)]
-    counted = (
-        _coded(series, searches)
-        .groupBy("series", "code")
-        .agg(F.count("x").alias("n"), F.percentile_approx("v", grid, SKETCH_ACCURACY).alias("grid"))
-    )
     rows: dict[int, list] = {}
-    for r in counted.collect():
+    for r in _sketched(_coded(series, searches), ["series", "code"], "v", GRID).collect():
         rows.setdefault(r["series"], []).append(r)
     band = 0
     for number, search in searches.items():
@@ -108,21 +148,17 @@ def _sketch_pass(series: DataFrame, searches: Mapping[int, _Search]) -> int:
         wanted = sorted(search.pending)
         for r in sorted(rows.get(number, []), key=lambda r: r["code"]):
             here = [k for k in wanted if below <= k < below + r["n"]]
+            ends = search.gap_ends(r["code"] // 2)
             if r["code"] % 2:
                 search.found.update({k: search.bounds[r["code"] // 2] for k in here})
             elif here and r["grid"] is None:
-                brackets += [search.gap_ends(r["code"] // 2)]
+                brackets.append(ends)
                 band += r["n"]
             else:
-                ends = search.gap_ends(r["code"] // 2)
-                for k in here:
-                    at = int((k - below) / r["n"] * GRID)
-                    low = r["grid"][at - 1] if at > 1 else ends[0]
-                    high = r["grid"][at + 2] if at + 2 < GRID else ends[1]
-                    brackets.append((low, high))
-                    band += 0 if low == high else 3 * r["n"] // GRID + 1
+                new = [_bracket(r["grid"], (k - below) / r["n"], *ends) for k in here]
+                brackets += new
+                band += sum(_expected(r["n"], *ends) for ends in new)
             below += r["n"]
-        search.size = below
         search.pending = [k for k in wanted if k not in search.found]
         if search.pending:
             search.narrow(brackets)
@@ -167,20 +203,11 @@ def order_statistics(series: DataFrame, ranks_of) -> dict[int, tuple[int, dict[i
     and the values found. Series numbers are few (columns, segments), never keys.
     """
     searches: dict[int, _Search] = {}
-    grid = [i / GRID for i in range(GRID + 1)]
-    first = series.groupBy("series").agg(
-        F.count("x").alias("n"), F.percentile_approx("x", grid, SKETCH_ACCURACY).alias("grid")
-    )
     band = 0
-    for r in first.collect():
+    for r in _sketched(series, ["series"], "x", GRID).collect():
         search = _Search(size=r["n"], pending=sorted(set(ranks_of(r["series"], r["n"]))))
-        brackets = []
-        for k in search.pending:
-            at = int(k / r["n"] * GRID)
-            low = r["grid"][at - 1] if at > 1 else None
-            high = r["grid"][at + 2] if at + 2 < GRID else None
-            brackets.append((low, high))
-            band += 0 if low == high else 3 * r["n"] // GRID + 1
+        brackets = [_bracket(r["grid"], k / r["n"], None, None) for k in search.pending]
+        band += sum(_expected(r["n"], *ends) for ends in brackets)
         search.narrow(brackets)
         searches[r["series"]] = search
     while any(s.pending for s in searches.values()):

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from evenkeel.functions.binning import segment_number
-from evenkeel.operators.order_stats import long_series, order_statistics
+from evenkeel.operators.order_stats import approximate_quantiles, long_series, order_statistics
 
 TIE_LIMIT = 100_000
 # Fixed value: 13 hex digits are 52 bits, the most a double holds exactly.
@@ -67,7 +67,7 @@ def split_approximate(df: DataFrame, test_share: float, seed: int, key: Sequence
     return df.withColumn("is_test", hash_number(seed, key) < test_share * 16.0**HASH_DIGITS)
 
 
-def numbered_within(df: DataFrame, key: str, order: str, tiebreak: Sequence[str], name: str, slices: int = 64) -> DataFrame:
+def numbered_within(df: DataFrame, key: str, order: str, tiebreak: Sequence[str], name: str, slices: int = 256) -> DataFrame:
     """Row number within ``key`` by a numeric ``order`` column, safe for a hot key.
 
     A ranking window sends a whole key to one task. Here rows are first sliced by
@@ -75,8 +75,7 @@ def numbered_within(df: DataFrame, key: str, order: str, tiebreak: Sequence[str]
     number of rows in the key's earlier slices. Slice bounds only balance the work,
     so where they fall never changes the numbers.
     """
-    bounds = df.agg(F.percentile_approx(F.col(order).cast("double"), [i / slices for i in range(1, slices)], 1000)).first()[0]
-    cuts = sorted(set(bounds or []))
+    cuts = approximate_quantiles(df, F.col(order), slices)
     sliced = df.withColumn("__slice", F.coalesce(segment_number(F.col(order).cast("double"), cuts), F.lit(-1)))
     inner = Window.partitionBy(key, "__slice").orderBy(order, *tiebreak)
     numbered = sliced.withColumn(name, F.row_number().over(inner))
