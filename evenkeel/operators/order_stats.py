@@ -66,15 +66,12 @@ class _Search:
         return low, high
 
 
-def _placed(x: Column, bounds: Sequence[float], first: int, last: int) -> Column:
-    """Binary search among the bounds, ending in an equality test against one of them."""
+def _placed(bounds: Sequence[float], first: int, last: int) -> str:
+    """SQL for a binary search of ``x`` among the bounds, ending in an equality test with one of them."""
     if first == last:
-        gap = F.lit(2 * first)
-        return gap if first == 0 else F.when(x == F.lit(bounds[first - 1]), 2 * first - 1).otherwise(gap)
+        return "0" if first == 0 else f"IF(x = {bounds[first - 1]!r}D, {2 * first - 1}, {2 * first})"
     mid = (first + last) // 2
-    return F.when(x < F.lit(bounds[mid]), _placed(x, bounds, first, mid)).otherwise(
-        _placed(x, bounds, mid + 1, last)
-    )
+    return f"IF(x < {bounds[mid]!r}D, {_placed(bounds, first, mid)}, {_placed(bounds, mid + 1, last)})"
 
 
 def _coded(series: DataFrame, searches: Mapping[int, _Search]) -> DataFrame:
@@ -84,14 +81,13 @@ def _coded(series: DataFrame, searches: Mapping[int, _Search]) -> DataFrame:
     everything already placed collapses to one group per gap or bound before the
     shuffle, however often a value repeats.
     """
-    x, code, sought = F.col("x"), F.lit(None).cast("int"), F.lit(False)
+    code, sought = "CASE series", "CASE series"
     for number, search in searches.items():
-        mine = F.col("series") == number
-        gaps = [2 * g for g in sorted(search.open_gaps)]
-        code = F.when(mine, _placed(x, search.bounds, 0, len(search.bounds))).otherwise(code)
-        sought = F.when(mine, F.col("code").isin(gaps)).otherwise(sought)
-    coded = series.where(F.col("series").isin(list(searches))).withColumn("code", code)
-    return coded.withColumn("v", F.when(sought, x))
+        code += f" WHEN {number} THEN {_placed(search.bounds, 0, len(search.bounds))}"
+        gaps = ", ".join(str(2 * g) for g in sorted(search.open_gaps))
+        sought += f" WHEN {number} THEN code IN ({gaps})" if gaps else f" WHEN {number} THEN false"
+    coded = series.where(F.col("series").isin(list(searches))).withColumn("code", F.expr(f"{code} END"))
+    return coded.withColumn("v", F.expr(f"IF({sought} END, x, NULL)"))
 
 
 def _evenly(steps: int) -> Column:
@@ -167,17 +163,17 @@ def _sketch_pass(series: DataFrame, searches: Mapping[int, _Search]) -> int:
 
 def _band_pass(series: DataFrame, searches: Mapping[int, _Search]) -> None:
     """Rank the values inside the open gaps and pick out the pending ranks."""
-    ranks = F.lit(None).cast("array<bigint>")
+    ranks = "CASE series"
     for number, search in searches.items():
-        wanted = F.array(*[F.lit(k).cast("bigint") for k in search.pending])
-        ranks = F.when(F.col("series") == number, wanted).otherwise(ranks)
+        ranks += f" WHEN {number} THEN array({', '.join(f'{k}L' for k in search.pending)})"
+    here = F.filter(F.expr(f"{ranks} END"), lambda k: (k < F.col("upto")) & (k >= F.col("upto") - F.col("n")))
     running = Window.partitionBy("series").orderBy("code", "v")
     picked = (
         _coded(series, searches)
         .groupBy("series", "code", "v")
         .agg(F.count("x").alias("n"))
         .withColumn("upto", F.sum("n").over(running))
-        .withColumn("k", F.explode(F.filter(ranks, lambda k: (k < F.col("upto")) & (k >= F.col("upto") - F.col("n")))))
+        .withColumn("k", F.explode(here))
         .select("series", "code", "v", "k")
     )
     lost: dict[int, list] = {}
