@@ -37,7 +37,7 @@ class TrainConfig:
     split_key: tuple[str, ...] = ()
     model_type: str = "hist_gradient_boosting"
     hyperparameters: Mapping[str, Any] = field(default_factory=dict)
-    model_name: str = "housing_price_predictor"
+    model_name: str = "listing_price"
 
 
 @dataclass(frozen=True)

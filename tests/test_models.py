@@ -123,7 +123,7 @@ def test_loading_rules(spark, trained):
 
 
 def test_scoring_a_legacy_record(spark, trained):
-    scorer = Scorer.load(spark, trained[1], district_backfill(spark), "housing_price_predictor")
+    scorer = Scorer.load(spark, trained[1], district_backfill(spark), "listing_price")
     record = {"bedrooms": 3, "bathrooms": 2.0, "livingarea": 1500.0, "propertytype": "CONDO", "vegas_district": "Summerlin"}
     assert math.isfinite(scorer.predict_single(spark, record))
     out = scorer.predict(spark.createDataFrame([record]))

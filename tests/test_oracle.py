@@ -16,6 +16,9 @@ def con(sf):
 @pytest.mark.parametrize("key", sorted(queries()))
 def test_query(spark, sf, con, key):
     df = queries()[key](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for costly in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "TakeOrderedAndProject"):
+        assert costly not in plan or key == "importance_topn"
     if key in SQL:
         assert difference(df, con, SQL[key]) is None
     else:
