@@ -6,6 +6,7 @@ from functools import cache
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from evenkeel.catalog.registry import PREDICTED, derived, derived_sql, query, rounded, table
 from evenkeel.contract import Contract
@@ -36,7 +37,7 @@ from evenkeel.plans.scoring import Scorer, score_file
 from evenkeel.plans.training import TrainConfig, TrainResult, prepare_training, train_run
 from evenkeel.session import scratch_path
 from evenkeel.sources.artifacts import load_model
-from evenkeel.sources.tables import write_csv
+from evenkeel.sources.tables import read_csv, write_csv
 from evenkeel.streaming.scoring import start_scoring
 
 # ---- evaluation and intervals over a stand-in prediction -------------------------------
@@ -517,8 +518,8 @@ def _(spark, sf):
     source, target = scratch_path(spark, "upload"), scratch_path(spark, "scored")
     write_csv(rows, source)
     score_file(Scorer.load(spark, trained(spark, sf)[1]), spark, source, target, rows.schema)
-    done = spark.read.csv(target, header=True, inferSchema=True)
-    return tidy_scores(done)
+    bounds = "prediction DOUBLE, lower_bound DOUBLE, upper_bound DOUBLE"
+    return tidy_scores(read_csv(spark, target, StructType([*rows.schema, *StructType.fromDDL(bounds)])))
 
 
 BATCH_RULES = (Rule("quantity", low=3, high=48, required=True), Rule("discount", low=0, high=0.08))
