@@ -3,9 +3,9 @@
 import pytest
 from compare import connect, difference
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from evenkeel.catalog import ORACLES as SQL, QUERIES
 
-SQL = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -13,9 +13,9 @@ def con(sf):
     return connect(sf)
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query(spark, sf, con, key):
-    df = queries()[key](spark, sf)
+    df = QUERIES[key](spark, sf)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for costly in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "TakeOrderedAndProject"):
         assert costly not in plan or key == "importance_topn"
