@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from evenkeel.llm.ppm import score_texts
 from evenkeel.llm.quality_rules import judge_documents
 from evenkeel.llm.url_filter import Entry, judge_urls
 from evenkeel.llm.words import documents
@@ -112,3 +113,10 @@ SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FRO
 @query("op9_url_filter", OP9_SQL)
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(documents(spark, sf_dir, "pages").select("page_id", "url"), URL_ENTRIES).drop("url")
+
+
+@query("op6_lm_scoring")
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
+    docs = documents(spark, sf_dir).select("doc_id", "text", held_out.alias("held_out"))
+    return score_texts(docs, ~F.col("held_out"))
