@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from evenkeel.llm.ppm import score_texts
 from evenkeel.llm.quality_rules import judge_documents
+from evenkeel.llm.simhash import hexed, near_duplicates
 from evenkeel.llm.url_filter import Entry, judge_urls
 from evenkeel.llm.words import documents
 
@@ -120,3 +121,9 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
     docs = documents(spark, sf_dir).select("doc_id", "text", held_out.alias("held_out"))
     return score_texts(docs, ~F.col("held_out"))
+
+
+@query("op8_simhash_near_dup")
+def op8_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", hexed(F.col("fp")).alias("fingerprint"), "component_id")
