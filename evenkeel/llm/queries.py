@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from evenkeel.llm.language_id import identify
+from evenkeel.llm.license_scan import LicenseRules, scan_licenses
+from evenkeel.llm.mixing import mix_sources
+from evenkeel.llm.packing import pack
 from evenkeel.llm.ppm import score_texts
+from evenkeel.llm.quality_qda import score_quality
 from evenkeel.llm.quality_rules import judge_documents
 from evenkeel.llm.simhash import hexed, near_duplicates
 from evenkeel.llm.url_filter import Entry, judge_urls
+from evenkeel.llm.vector_search import nearest
 from evenkeel.llm.words import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,3 +133,95 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", hexed(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def language_training() -> Column:
+    """The rows that language models learn from."""
+    return F.coalesce(remainder("doc_id", 4) != 2, F.lit(True))
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    judged = identify(docs, language_training())
+    return judged.select("doc_id", (~language_training()).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def quality_training() -> Column:
+    """The labels that the quality classifier learns from."""
+    return F.coalesce(remainder("doc_id", 5) != 0, F.lit(False))
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = score_quality(docs, documents(spark, sf_dir, "labels").select("doc_id", "quality"), quality_training())
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op2_mixing")
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mix_sources(documents(spark, sf_dir).select("doc_id", "text", "source")).taken()
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query("op7_vector_search")
+def op7_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = documents(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
+def license_sql(rules: LicenseRules = LicenseRules()) -> str:
+    """The scan in SQL: sentences joined to the known ones, runs of them joined to the rules."""
+    numbers = {name: i for i, (name, _) in enumerate(rules.sentences)}
+    sentences = ", ".join(f"('{text}', {numbers[name]})" for name, text in rules.sentences)
+    entries = ", ".join(
+        f"({r}, '{license_name}', {len(names)}, {j}, {numbers[name]})"
+        for r, (license_name, names) in enumerate(rules.rules)
+        for j, name in enumerate(names)
+    )
+    return rf"""
+WITH sentences(sentence, id) AS (VALUES {sentences}),
+rules(rule, license, n, j, id) AS (VALUES {entries}),
+texts AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+spoken AS (
+  SELECT r, list_filter(list_transform(string_split_regex(lower(text), '[.!?;]+[ \t\r\n]+|[.!?;]+$|[\r\n]+'),
+    lambda s: trim(regexp_replace(s, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))), lambda s: s <> '') AS spoken FROM texts WHERE text IS NOT NULL
+), placed AS (
+  SELECT r, unnest(spoken) AS sentence, unnest(range(len(spoken))) AS at FROM spoken
+), known AS (
+  SELECT r, at, id, row_number() OVER (PARTITION BY r ORDER BY at) AS k FROM placed JOIN sentences USING (sentence)
+), runs AS (
+  SELECT first.r, first.k, rule, license, n, min(other.at) AS first_at, max(other.at) AS last_at, count(*) AS hits,
+    max(other.at) - min(other.at) AS width
+  FROM known first JOIN known other ON first.r = other.r AND other.k >= first.k
+  JOIN rules ON rules.j = other.k - first.k AND rules.id = other.id
+  GROUP BY first.r, first.k, rule, license, n HAVING count(*) = n
+), longest AS (
+  SELECT *, row_number() OVER (PARTITION BY r, k ORDER BY n DESC, rule) AS best FROM runs
+), matched AS (
+  SELECT r, count(*) AS n, string_agg(license, ',' ORDER BY k) AS licenses, min(first_at) AS first_at, max(last_at) AS last_at
+  FROM longest WHERE best = 1 GROUP BY r
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_matches, coalesce(licenses, '') AS licenses,
+  CAST(first_at AS INTEGER) AS first_sentence, CAST(last_at AS INTEGER) AS last_sentence
+FROM texts LEFT JOIN matched USING (r)
+"""
+
+
+@query("op4_license_scan", license_sql())
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("long").alias("n_matches"),
+        F.array_join("matches.license", ",").alias("licenses"),
+        F.get("matches", F.lit(0))["first"].alias("first_sentence"),
+        F.array_max("matches.last").alias("last_sentence"),
+    )

@@ -213,3 +213,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     ids = linked_classes.groupBy("component").agg(F.min("least_id").alias("component_id"))
     members = linked_classes.select("fp", "component").join(ids, "component")
     return marked.join(members, "fp").select("doc_id", "fp", "component", "component_id")
+
+
+def keep_one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, unchanged: that of its smallest id (null last).
+
+    Rows alike in id and fingerprint are one row's repeats; which of them stays is free.
+    """
+    found = materialize(near_duplicates(docs, doc_id, text), "simhash-found")
+    best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("best"))
+    ids = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    chosen = materialize(
+        best.join(ids, F.col("best.doc_id").eqNullSafe(F.col("doc_id"))).select(
+            F.col("best.doc_id").alias("_id"), F.col("best.fp").alias("_fp"), ((F.col("rows") == 1) & ~F.col("best.none")).alias("alone")
+        ),
+        "simhash-chosen",
+    )
+    # An id that one row has tells that row; only the texts of other ids are looked at again.
+    single = docs.join(chosen.where("alone").select("_id"), F.col(doc_id) == F.col("_id"), "left_semi")
+    shared = docs.join(chosen.where("NOT alone").select("_id", "_fp"), F.col(doc_id).eqNullSafe(F.col("_id")))
+    repeated = shared.where(fingerprints(F.col(text)) == F.col("_fp")).dropDuplicates(["_id", "_fp"])
+    return single.unionByName(repeated.select(*docs.columns))
