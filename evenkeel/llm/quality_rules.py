@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from evenkeel.session import materialize
 from evenkeel.llm.words import pieces, word_count, word_list
@@ -33,7 +33,6 @@ class HostRules:
     min_words: int = 50
     max_repeat_percent: int = 50
     max_host_rate: float = 0.7
-    least_spread: float = 1e-9
 
 
 def document_measures(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -100,12 +99,22 @@ def document_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     return starts.select(*others, "n_words", "word_chars", "n_symbols", "n_dup_lines", covered.alias("n_repeat_words"))
 
 
+def prior(whole: Row) -> tuple[float, float]:
+    """The failure rate of all rows, and the hosts' intraclass correlation by the method of moments."""
+    rows, p = whole["rows"], whole["failures"] / whole["rows"]
+    if not 0 < p < 1:
+        return p, 0.0
+    excess = (whole["explained"] - rows * p * p) / (p * (1 - p)) - (whole["hosts"] - 1)
+    room = rows - whole["squares"] / rows - (whole["hosts"] - 1)
+    return p, min(max(excess / room, 0.0), 1.0) if room > 0 else 0.0
+
+
 def host_verdicts(judged: DataFrame, host: str, rules: HostRules = HostRules()) -> DataFrame:
     """One row per host: rows, failures, the shrunk failure rate, and whether the host fails.
 
     With p the failure rate of all rows, the spread of the hosts' rates beyond sampling noise
-    gives an intraclass correlation rho by the method of moments; (1 - rho) / rho is the number
-    of rows the beta prior is worth. Without spread every host gets p.
+    gives an intraclass correlation rho; (1 - rho) / rho is the number of rows the beta prior is
+    worth. Without spread every host gets p.
     """
     counts = (
         judged.where(F.col(host).isNotNull())
@@ -113,26 +122,16 @@ def host_verdicts(judged: DataFrame, host: str, rules: HostRules = HostRules())
         .agg(F.count(F.lit(1)).alias("host_rows"), F.sum(F.col("base_failed").cast("long")).alias("host_failures"))
     )
     n, f = F.col("host_rows").cast("double"), F.col("host_failures").cast("double")
-    overall = counts.agg(
+    whole = counts.agg(
         F.sum(n).alias("rows"),
         F.sum(f).alias("failures"),
         F.sum(n * n).alias("squares"),
         F.sum(f * f / n).alias("explained"),
-        F.count(F.lit(1)).cast("double").alias("hosts"),
-    )
-    p = F.col("failures") / F.col("rows")
-    within = p * (1 - p)
-    excess = (F.col("explained") - F.col("rows") * p * p) / within - (F.col("hosts") - 1)
-    room = F.col("rows") - F.col("squares") / F.col("rows") - (F.col("hosts") - 1)
-    rho = F.when((within > 0) & (room > 0), F.least(F.greatest(excess / room, F.lit(0.0)), F.lit(1.0))).otherwise(0.0)
-    prior = overall.where("rows > 0").select(p.alias("_p"), rho.alias("_rho"))
-    shrunk = (F.col("_rho") * f + F.col("_p") * (1 - F.col("_rho"))) / (F.col("_rho") * n + (1 - F.col("_rho")))
-    return (
-        counts.crossJoin(F.broadcast(prior))  # one row: the prior of the whole corpus
-        .withColumn("host_rate", shrunk)
-        .withColumn("host_failed", F.col("host_rate") > rules.max_host_rate)
-        .drop("_p", "_rho")
-    )
+        F.count(F.lit(1)).alias("hosts"),
+    ).first()  # five numbers, whatever the number of hosts
+    p, rho = prior(whole) if whole["hosts"] else (0.0, 0.0)
+    shrunk = (rho * f + p * (1 - rho)) / (rho * n + (1 - rho))
+    return counts.withColumn("host_rate", shrunk).withColumn("host_failed", F.col("host_rate") > rules.max_host_rate)
 
 
 def judge_documents(docs: DataFrame, host: str = "source", rules: HostRules = HostRules(), text: str = "text") -> DataFrame:
