@@ -12,7 +12,7 @@ from evenkeel.operators.histogram import histogram, psi, unique_edges, with_bin
 from evenkeel.plans.monitoring import run_drift_check
 from evenkeel.session import scratch_path
 from evenkeel.sources.snapshots import load_snapshot, save_snapshot
-from evenkeel.streaming.drift import psi_by_window, start_window_counts, window_drift
+from evenkeel.streaming.drift import compact_window_counts, psi_by_window, start_window_counts, window_drift
 
 CUT = "1996-01-01"
 PRICES = (
@@ -73,21 +73,35 @@ def full_psi_sql(x: str, ref: str, cur: str, clipped: bool = False) -> str:
     return f"WITH {ctes}"
 
 
+# Two orders' prices are infinite, one way each.
+UNBOUNDED = (
+    "CASE WHEN l_orderkey = 1 THEN CAST('Infinity' AS DOUBLE) WHEN l_orderkey = 2 THEN CAST('-Infinity' AS DOUBLE) "
+    "ELSE l_extendedprice END AS unbounded",
+)
+FINITE = "CASE WHEN edge = CAST('Infinity' AS DOUBLE) THEN 1e300 WHEN edge = CAST('-Infinity' AS DOUBLE) THEN -1e300 ELSE round(edge, 6) END"
+
+
 @query(
     "quantile_edges",
     "WITH "
-    + ", ".join([edges_sql("a", "price", PRICES_SQL), edges_sql("b", "l_quantity", PRICES_SQL, 100)])
-    + """ SELECT 'price' AS name, i, round(edge, 6) AS edge FROM a
-          UNION ALL SELECT 'l_quantity', i, round(edge, 6) FROM b""",
+    + ", ".join(
+        [
+            edges_sql("a", "price", PRICES_SQL),
+            edges_sql("b", "l_quantity", PRICES_SQL, 100),
+            edges_sql("c", "unbounded", derived_sql("lineitem", UNBOUNDED)),
+        ]
+    )
+    + f""" SELECT 'price' AS name, i, {FINITE} AS edge FROM a
+          UNION ALL SELECT 'l_quantity', i, {FINITE} FROM b UNION ALL SELECT 'unbounded', i, {FINITE} FROM c""",
 )
 def _(spark, sf):
-    df = derived(spark, sf, "lineitem", PRICES)
+    df = derived(spark, sf, "lineitem", (*PRICES, *UNBOUNDED))
     rows = [
         (name, i, edge)
-        for name, bins in (("price", 10), ("l_quantity", 100))
+        for name, bins in (("price", 10), ("l_quantity", 100), ("unbounded", 10))
         for i, edge in enumerate(unique_edges(df, name, bins)[1])
     ]
-    return spark.createDataFrame(rows, "name string, i bigint, edge double").withColumn("edge", rounded("edge"))
+    return spark.createDataFrame(rows, "name string, i bigint, edge double").withColumn("edge", F.expr(FINITE.replace("1e300", "1e300D")))
 
 
 EXPLICIT = [10000.0, 25000.0, 50000.0, 50001.0, 50001.5, 90000.0]
@@ -192,10 +206,11 @@ def _(spark, sf):
     return snapshot_rows(spark, drift_snapshot(derived(spark, sf, "lineitem", PRICES), "price", "l_shipdate"))
 
 
-@query("snapshot_roundtrip", snapshot_sql(SINCE))
+@query("snapshot_roundtrip", snapshot_sql(f"SELECT * FROM {PRICES_SQL}"))
 def _(spark, sf):
     path = scratch_path(spark, "snapshot")
-    save_snapshot(spark, drift_snapshot(prices(spark, sf)[1], "price", "l_shipdate"), path)
+    save_snapshot(spark, drift_snapshot(prices(spark, sf)[0], "price", "l_shipdate"), path)
+    save_snapshot(spark, drift_snapshot(derived(spark, sf, "lineitem", PRICES), "price", "l_shipdate"), path)
     return snapshot_rows(spark, load_snapshot(spark, path))
 
 
@@ -239,11 +254,11 @@ query("drift_check", drift_check_sql())(flagship)
     "drift_first_run",
     f"""SELECT false AS should_retrain, CAST(NULL AS DOUBLE) AS psi, 'no_reference' AS drift_level,
         count(*) AS current_row_count, round(quantile_cont(price, 0.5), 6) AS current_price_median,
-        CAST(CAST(max(l_shipdate) AS DATE) AS VARCHAR) AS current_snapshot_date FROM ({BEFORE})""",
+        CAST(CAST(max(l_shipdate) AS DATE) AS VARCHAR) AS current_snapshot_date FROM {PRICES_SQL}""",
 )
 def _(spark, sf):
     path = scratch_path(spark, "first")
-    first = run_drift_check(prices(spark, sf)[0], path, "price", "l_shipdate")
+    first = run_drift_check(derived(spark, sf, "lineitem", PRICES), path, "price", "l_shipdate")
     return first.select(
         "should_retrain",
         "psi",
@@ -255,6 +270,7 @@ def _(spark, sf):
 
 
 EVENT_VALUES = ("ts", "value")
+EVENT_FILES = 8
 DAILY = (
     "WITH "
     + ", ".join(
@@ -305,8 +321,14 @@ def _(spark, sf):
 def _(spark, sf):
     events = table(spark, sf, "events")
     snap = drift_snapshot(events, "value", "ts")
-    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    target, checkpoint = scratch_path(spark, "windows"), scratch_path(spark, "windows-checkpoint")
+    # The events as files of some days each, written and hence read newest first, one per batch.
+    source, target, checkpoint = (scratch_path(spark, x) for x in ("events", "windows", "windows-checkpoint"))
+    newest, oldest = events.select(F.max(F.to_date("ts")), F.min(F.to_date("ts"))).first()
+    days = (newest - oldest).days + 1
+    age = F.floor(F.datediff(F.lit(newest), F.to_date("ts")) * EVENT_FILES / days)
+    for k in range(EVENT_FILES):
+        events.where(age == k).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
     start_window_counts(stream, "ts", "value", snap, target, checkpoint).awaitTermination()
+    compact_window_counts(spark, target)
     return by_day(window_drift(spark, target, snap))
-

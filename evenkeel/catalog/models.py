@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from evenkeel.catalog.registry import PREDICTED, derived, derived_sql, query, rounded, table
+from evenkeel.catalog.tables import rules_sql
 from evenkeel.contract import Contract
 from evenkeel.operators.estimators import feature_importance, fit_pipeline
 from evenkeel.operators.evaluate import (
@@ -24,6 +25,8 @@ from evenkeel.operators.features import (
     categories,
     fit_features,
     impute_median,
+    category_positions,
+    category_table,
     impute_mode,
     one_hot_columns,
     standardize,
@@ -54,9 +57,21 @@ def tidy_metrics(df: DataFrame) -> DataFrame:
     )
 
 
-@query("regression_metrics", f"SELECT {METRIC_SQL} FROM {PREDICTED_SQL}")
+# Predictions of which some are missing, as NULL or as NaN.
+GAPPY_PREDICTED = (
+    *PREDICTED[:-1],
+    "CASE WHEN o_orderkey % 11 = 1 THEN NULL WHEN o_orderkey % 13 = 2 THEN CAST('NaN' AS DOUBLE) ELSE "
+    + PREDICTED[-1].removesuffix(" AS prediction")
+    + " END AS prediction",
+)
+
+
+@query(
+    "regression_metrics",
+    f"SELECT {METRIC_SQL} FROM {derived_sql('orders', GAPPY_PREDICTED)} WHERE prediction IS NOT NULL AND NOT isnan(prediction)",
+)
 def _(spark, sf):
-    return tidy_metrics(regression_metrics(derived(spark, sf, "orders", PREDICTED), "actual", "prediction"))
+    return tidy_metrics(regression_metrics(derived(spark, sf, "orders", GAPPY_PREDICTED), "actual", "prediction"))
 
 
 @query(
@@ -223,6 +238,39 @@ def _(spark, sf):
     return split_exact(table(spark, sf, "orders").select("o_orderkey"), 0.2, 42, ["o_orderkey"])
 
 
+@query(
+    "split_coarse_key",
+    """WITH f AS (SELECT l_returnflag, count(*) AS n, md5('42:' || l_returnflag) AS h FROM lineitem GROUP BY l_returnflag),
+      c AS (SELECT *, coalesce(sum(n) OVER (ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+        ceil(CAST(0.2 AS DOUBLE) * sum(n) OVER ()) AS wanted FROM f)
+      SELECT l_returnflag, CAST(least(greatest(wanted - before, 0), n) AS BIGINT) AS test_rows, n AS rows FROM c""",
+)
+def _(spark, sf):
+    split = split_exact(table(spark, sf, "lineitem"), 0.2, 42, ["l_returnflag"])
+    return split.groupBy("l_returnflag").agg(F.count_if("is_test").alias("test_rows"), F.count("*").alias("rows"))
+
+
+@query(
+    "category_index",
+    """SELECT o_orderkey, dense_rank() OVER (ORDER BY k) - 1 AS k_position
+        FROM (SELECT o_orderkey, 'order ' || CAST(o_orderkey AS VARCHAR) AS k FROM orders)""",
+)
+def _(spark, sf):
+    df = derived(spark, sf, "orders", ("o_orderkey", "concat('order ', CAST(o_orderkey AS STRING)) AS k"))
+    return category_positions(df, "k", category_table(df, "k")).select("o_orderkey", "k_position")
+
+
+@query(
+    "impute_mode_keys",
+    """WITH g AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN 'c' || CAST(o_custkey AS VARCHAR) END AS k FROM orders),
+        m AS (SELECT k FROM g WHERE k IS NOT NULL GROUP BY k ORDER BY count(*) DESC, k LIMIT 1)
+        SELECT o_orderkey, coalesce(k, (SELECT k FROM m)) AS k FROM g""",
+)
+def _(spark, sf):
+    keyed = ("o_orderkey", "CASE WHEN o_orderstatus <> 'P' THEN concat('c', CAST(o_custkey AS STRING)) END AS k")
+    return impute_mode(derived(spark, sf, "orders", keyed), ["k"])
+
+
 @query(
     "split_sizes",
     f"""SELECT count(*) FILTER (NOT is_test) AS train_size, CAST(0 AS BIGINT) AS val_size,
@@ -493,8 +541,8 @@ def scored_sql(source: str, gap: str = "0.04") -> str:
         round(lvl * (1 + width), 3) AS upper_bound FROM placed JOIN sw USING (segment)"""
 
 
-def tidy_scores(df: DataFrame) -> DataFrame:
-    return df.select(*LINE_KEY, *[rounded(c, 3).alias(c) for c in ("prediction", "lower_bound", "upper_bound")])
+def tidy_scores(df: DataFrame, *more: str) -> DataFrame:
+    return df.select(*LINE_KEY, *[rounded(c, 3).alias(c) for c in ("prediction", "lower_bound", "upper_bound")], *more)
 
 
 @query("batch_score", scored_sql(LINES_SQL))
@@ -509,17 +557,27 @@ def _(spark, sf):
     return tidy_scores(segmented_interval(pipeline.transform(lines(spark, sf)), spec))
 
 
-FILE_ROWS = (*LINE_KEY, "l_quantity AS amount", "CASE WHEN l_tax = 0 THEN NULL ELSE l_discount END AS discount")
+# Rows of an uploaded file: old names, missing texts, and a note with quotes, a line break and a space at its end.
+FILE_ROWS = (
+    *LINE_KEY,
+    "l_quantity AS amount",
+    "CASE WHEN l_tax = 0 THEN 'NA' ELSE CAST(l_discount AS STRING) END AS discount",
+    "concat('\"', l_orderkey, '\", line\\n', l_linenumber, ' ') AS note",
+)
 
 
-@query("score_file", scored_sql(LINES_SQL))
+@query(
+    "score_file",
+    f"""SELECT *, '"' || l_orderkey || '", line' || chr(10) || l_linenumber || ' ' AS note FROM ({scored_sql(LINES_SQL)})""",
+)
 def _(spark, sf):
     rows = derived(spark, sf, "lineitem", FILE_ROWS)
     source, target = scratch_path(spark, "upload"), scratch_path(spark, "scored")
     write_csv(rows, source)
-    score_file(Scorer.load(spark, trained(spark, sf)[1]), spark, source, target, rows.schema)
+    score_file(Scorer.load(spark, trained(spark, sf)[1]), spark, source, target)
     bounds = "prediction DOUBLE, lower_bound DOUBLE, upper_bound DOUBLE"
-    return tidy_scores(read_csv(spark, target, StructType([*rows.schema, *StructType.fromDDL(bounds)])))
+    scored = read_csv(spark, target, StructType([*rows.schema, *StructType.fromDDL(bounds)]))
+    return tidy_scores(scored, "note")
 
 
 BATCH_RULES = (Rule("quantity", low=3, high=48, required=True), Rule("discount", low=0, high=0.08))
@@ -534,7 +592,15 @@ def _(spark, sf):
     return tidy_scores(good)
 
 
-@query("stream_score", scored_sql("(SELECT *, l_quantity AS quantity, l_discount AS discount FROM lineitem WHERE l_quantity >= 3 AND l_quantity <= 48 AND l_discount <= 0.08)"))
+STREAMED = "(SELECT *, l_quantity AS quantity, l_discount AS discount FROM lineitem)"
+
+
+@query(
+    "stream_score",
+    f"""WITH good AS ({scored_sql(STREAMED.replace(")", " WHERE l_quantity >= 3 AND l_quantity <= 48 AND l_discount <= 0.08)"))}),
+        bad AS ({rules_sql(BATCH_RULES, STREAMED, LINE_KEY)})
+        SELECT *, '' AS errors FROM good UNION ALL SELECT {", ".join(LINE_KEY)}, NULL, NULL, NULL, errors FROM bad WHERE NOT valid""",
+)
 def _(spark, sf):
     schema = table(spark, sf, "lineitem").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf)
@@ -542,7 +608,10 @@ def _(spark, sf):
     target, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-checkpoint")
     scorer = Scorer.load(spark, trained(spark, sf)[1])
     start_scoring(ready, scorer, target, checkpoint, BATCH_RULES).awaitTermination()
-    return tidy_scores(spark.read.parquet(target))
+    scored, quarantined = (spark.read.parquet(f"{target}/{side}") for side in ("scored", "quarantined"))
+    good = tidy_scores(scored).withColumn("errors", F.lit(""))
+    bounds = [F.lit(None).cast("double").alias(c) for c in ("prediction", "lower_bound", "upper_bound")]
+    return good.unionByName(quarantined.select(*LINE_KEY, *bounds, F.concat_ws("; ", "errors").alias("errors")))
 
 
 @query(
@@ -587,9 +656,14 @@ def _(spark, sf):
     )
 
 
+# The second run's table: every row of the first, with labels moved so that drift fires and the cleaning keeps rows.
+MOVED = "CASE WHEN label IS NULL THEN NULL ELSE label * 1.5 + 500 END"
+MOVED_SQL = f"(SELECT * REPLACE ({MOVED} AS label) FROM {LINES_SQL})"
+
+
 @query(
     "lifecycle_run",
-    f"""WITH {ridge_sql(source=KEPT_SQL.replace("WHERE label", "WHERE quantity > 20 AND label"))}
+    f"""WITH {ridge_sql(source=KEPT_SQL.replace(LINES_SQL, MOVED_SQL))}
         SELECT 'high' AS drift_level, true AS retrained, true AS promoted, '1' AS version, true AS published,
           round(1 - avg((actual - prediction) * (actual - prediction)) / var_pop(actual), 6) AS test_r2 FROM te""",
 )
@@ -600,8 +674,7 @@ def _(spark, sf):
     first = run_lifecycle(df, config(), registry, snapshot, target, "shipped").first()
     if first["drift_level"] != "no_reference" or first["retrained"]:
         raise AssertionError(f"first run must only store the reference: {first}")
-    out = run_lifecycle(df.where("quantity > 20"), config(), registry, snapshot, target, "shipped")
+    out = run_lifecycle(df.withColumn("label", F.expr(MOVED)), config(), registry, snapshot, target, "shipped")
     return out.select(
         "drift_level", "retrained", "promoted", "version", "published", rounded("test_r2").alias("test_r2")
     )
-

@@ -58,14 +58,25 @@ def _(spark, sf):
     )
 
 
-@query("csv_roundtrip", f"SELECT * FROM {PRICED_SQL}")
+# Whole texts with their quotes and line breaks, and cells with spaces around.
+PROSE = ("doc_id", "text", "concat('  ', lang, ' ') AS padded", "concat('\"', source, '\", \"\"') AS quoted", "n_chars")
+
+
+@query("csv_roundtrip", f"SELECT * FROM {derived_sql('documents', PROSE)}")
 def _(spark, sf):
-    df = derived(spark, sf, "orders", PRICED)
+    df = derived(spark, sf, "documents", PROSE)
     path = scratch_path(spark, "csv")
     write_csv(df, path)
     return read_csv(spark, path, df.schema)
 
 
+@query("csv_inferred", f"SELECT * FROM {PRICED_SQL}")
+def _(spark, sf):
+    path = scratch_path(spark, "csv")
+    write_csv(derived(spark, sf, "orders", PRICED), path)
+    return read_csv(spark, path, multiline=False)
+
+
 @query("ingest_count", "SELECT count(*) AS rows FROM lineitem")
 def _(spark, sf):
     seen = Observation()
@@ -146,7 +157,7 @@ def _(spark, sf):
 
 OLD_NAMES = (
     "o_orderkey",
-    "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS living_area",
+    "CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderkey % 5 = 1 THEN CAST('NaN' AS DOUBLE) ELSE o_totalprice END AS living_area",
     "o_totalprice + 1 AS livingarea",
     "o_orderpriority AS propertytype",
 )
@@ -154,7 +165,7 @@ OLD_NAMES = (
 
 @query(
     "alias_rename",
-    f"""SELECT o_orderkey, coalesce(living_area, livingarea) AS living_area, propertytype AS property_type
+    f"""SELECT o_orderkey, coalesce(CASE WHEN NOT isnan(living_area) THEN living_area END, livingarea) AS living_area, propertytype AS property_type
         FROM {derived_sql("orders", OLD_NAMES)}""",
 )
 def _(spark, sf):
@@ -177,9 +188,9 @@ REQUESTS = (
     "l_partkey",
     "l_suppkey",
     "l_linenumber",
-    "CAST(l_linenumber * 4 - 5 AS DOUBLE) AS bedrooms",
+    "CASE WHEN l_orderkey % 9 = 4 THEN 'many' WHEN l_orderkey % 9 = 5 THEN 'NaN' ELSE CAST(l_linenumber * 4 - 5 AS STRING) END AS bedrooms",
     "CASE WHEN l_linestatus = 'O' AND l_tax = 0 THEN NULL ELSE l_quantity - 10 END AS bathrooms",
-    "l_extendedprice / 5 - 300 AS living_area",
+    "CASE WHEN l_orderkey % 7 = 3 THEN CAST('NaN' AS DOUBLE) ELSE l_extendedprice / 5 - 300 END AS living_area",
     "CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_discount * 1000 END AS latitude",
     "l_tax * 20 - CAST(115.8 AS DOUBLE) AS longitude",
     "CASE WHEN l_returnflag = 'R' THEN '' ELSE l_linestatus END AS property_type",
@@ -187,25 +198,36 @@ REQUESTS = (
 REQUEST_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
 
+# Columns of the requests that hold text in place of numbers.
+TEXT_NUMBERS = ("bedrooms",)
+
+
 def rules_sql(rules, source: str, key: tuple[str, ...]) -> str:
     """The same checks spelled as SQL conditions."""
     checks = []
     for r in rules:
-        c = r.column
+        numeric = any(x is not None for x in (r.low, r.high, r.above))
+        c, missing, wrong = r.column, f"{r.column} IS NULL OR CAST({r.column} AS VARCHAR) IN ('', 'nan', 'NaN')", "false"
+        if numeric:
+            value = f"TRY_CAST({c} AS DOUBLE)"
+            wrong = f"{value} IS NULL AND {c} IS NOT NULL AND CAST({c} AS VARCHAR) <> ''"
+            c = f"(CASE WHEN NOT isnan({value}) THEN {value} END)"
         conditions = []
         if r.required:
-            conditions.append((f"{c} IS NULL OR CAST({c} AS VARCHAR) = ''", f"{c}: missing"))
+            conditions.append((missing, f"{r.column}: missing"))
+        if numeric and r.column in TEXT_NUMBERS:
+            conditions.append((wrong, f"{r.column}: Must be a number"))
         if r.low is not None:
-            conditions.append((f"{c} < {r.low}", f"{c}: Must be >= {r.low}"))
+            conditions.append((f"{c} < {r.low}", f"{r.column}: Must be >= {r.low}"))
         if r.above is not None:
-            conditions.append((f"{c} <= {r.above}", f"{c}: Must be > {r.above}"))
+            conditions.append((f"{c} <= {r.above}", f"{r.column}: Must be > {r.above}"))
         if r.high is not None:
-            conditions.append((f"{c} > {r.high}", f"{c}: Must be <= {r.high}"))
+            conditions.append((f"{c} > {r.high}", f"{r.column}: Must be <= {r.high}"))
         if r.whole:
-            conditions.append((f"{c} <> floor({c})", f"{c}: Must be a whole number"))
+            conditions.append((f"{c} <> floor({c})", f"{r.column}: Must be a whole number"))
         if r.domain is not None:
             listed = ", ".join(f"'{v}'" for v in r.domain)
-            conditions.append((f"{c} NOT IN ({listed})", f"{c}: Unknown value"))
+            conditions.append((f"{c} NOT IN ({listed})", f"{r.column}: Unknown value"))
         checks += [f"CASE WHEN {cond} THEN '{message}' END" for cond, message in conditions]
     joined = f"concat_ws('; ', {', '.join(checks)})"
     return f"SELECT {', '.join(key)}, {joined} AS errors, {joined} = '' AS valid FROM {source}"

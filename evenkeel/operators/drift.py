@@ -66,9 +66,16 @@ def max_date(df: DataFrame, column: str | None) -> Column:
     return F.max(F.to_date(column)).cast("string")
 
 
+def logged_price(c: Column) -> Column:
+    """log1p of the present values; those at or below -1 count as minus infinity, so clipping puts them in the first bin."""
+    price = nan_to_null(c.cast("double"))
+    return F.when(price <= -1, F.lit(float("-inf"))).otherwise(F.log1p(price))
+
+
 def drift_snapshot(df: DataFrame, target: str, date: str | None, bins: int = BINS) -> DriftSnapshot:
     """Summary of a table to compare later ones with.
 
+    Values at or below -1 have no logarithm, hence no place in a reference: they are an error.
     Collected to the driver: one summary row and 3 * (bins + 1) numbers.
     """
     price = nan_to_null(F.col(target).cast("double"))
@@ -87,7 +94,10 @@ def drift_snapshot(df: DataFrame, target: str, date: str | None, bins: int = BIN
         F.stddev_samp("__p").alias("std"),
         max_date(df, date).alias("newest"),
         F.array(*[F.count_if(F.col("bin") == i) for i in range(1, nb + 1)]).alias("counts"),
+        F.count_if(F.col("__p") <= -1).alias("refused"),
     ).first()
+    if row["refused"]:
+        raise ValueError(f"{row['refused']} values of '{target}' are at or below -1")
     total = sum(row["counts"])
     return DriftSnapshot(
         snapshot_date=row["newest"],
@@ -142,7 +152,7 @@ def drift_reason(level: Column, psi: Column, threshold: float) -> Column:
 def drift_check(
     df: DataFrame, target: str, date: str | None, snapshot: DriftSnapshot, threshold: float = MODERATE
 ) -> DataFrame:
-    """One result row. Current values are clipped to the stored edges.
+    """One result row. Current values are clipped to the stored edges, also those without a logarithm.
 
     The table is read for one aggregate to at most bins + 1 groups, plus the
     selection passes of the exact median.
@@ -153,7 +163,7 @@ def drift_check(
     _, median = column_quantiles(df, price, [0.5])
     dated = df.select(price.alias("__p"), *([F.col(date)] if date in df.columns else []))
     if snapshot.usable:
-        binned = with_bin(dated, F.log1p("__p"), snapshot.price_log_bin_edges, clipped=True)
+        binned = with_bin(dated, logged_price(F.col("__p")), snapshot.price_log_bin_edges, clipped=True)
     else:
         binned = dated.withColumn("bin", F.lit(None).cast("int"))
     per_bin = binned.groupBy("bin").agg(F.count("*").alias("n"), max_date(dated, date).alias("newest"))

@@ -7,20 +7,21 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 100_000
-BROADCAST_KEY_BYTES = 32 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def lookup_join(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Left join on a unique dimension key.
 
     One bounded job measures at most ``BROADCAST_ROWS + 1`` dimension rows. Within the
-    bounds on rows and key bytes the dimension is broadcast and the join is map-only;
+    bounds on rows and on the bytes of all their columns the dimension is broadcast and the join is map-only;
     beyond them the join is left to the planner, whose adaptive skew handling splits a
     hot key's partition.
     """
-    width = F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0))
+    whole_row = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in dim.columns])))
+    width = F.coalesce(F.sum(whole_row), F.lit(0))
     rows, keys, size = dim.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.count_distinct(key), width).first()
-    if rows <= BROADCAST_ROWS and size <= BROADCAST_KEY_BYTES:
+    if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
         if keys != rows:
             raise ValueError(f"lookup key '{key}' is not unique in the dimension")
         return df.join(F.broadcast(dim), key, "left")

@@ -83,12 +83,14 @@ def make_estimator(name: str, hyperparameters: Mapping[str, Any] | None, seed: i
 
     Spark's linear regression divides the penalty by the row count and multiplies it
     by the label's deviation; undoing both gives the ridge objective with ``alpha``.
+    The normal equations solve it in closed form and are asked for by name: left to choose,
+    Spark turns to an iterative fit beyond 4,096 features; here those are an error of the fit.
     """
     family, params = family_of(name), resolve_parameters(name, hyperparameters)
     columns = {"featuresCol": "features", "labelCol": "__label", "predictionCol": "__raw"}
     if family == "ridge":
         penalty = params["alpha"] * (label_std or 1.0) / rows
-        return LinearRegression(**columns, regParam=penalty, elasticNetParam=0.0, standardization=False)
+        return LinearRegression(**columns, regParam=penalty, elasticNetParam=0.0, standardization=False, solver="normal")
     if family == "random_forest":
         return RandomForestRegressor(**columns, seed=seed, **params)
     return GBTRegressor(**columns, seed=seed, **params)
@@ -124,7 +126,7 @@ def feature_importance(pipeline: PipelineModel, names: list[str], top: int = 10)
     """Top features, largest importance first; a linear model has none and is an error."""
     model = inner_model(pipeline)
     if not hasattr(model, "featureImportances"):
-        raise ValueError("Model does not support feature importances.")
+        raise ValueError(f"{type(model).__name__} weighs no features")
     # One number per feature, from the fitted model rather than from rows.
     pairs = [(n, float(v)) for n, v in zip(names, model.featureImportances.toArray(), strict=True)]
     frame = SparkSession.active().createDataFrame(pairs, "feature string, importance double")

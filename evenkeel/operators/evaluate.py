@@ -6,9 +6,9 @@ from dataclasses import dataclass, field
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, MapType, StringType, StructField, StructType
 
 from evenkeel.functions.binning import segment_number
+from evenkeel.functions.numeric import is_present
 from evenkeel.operators.order_stats import column_quantiles, exact_quantiles, long_series
 
 # Interval and low-segment settings.
@@ -18,21 +18,6 @@ SEGMENTS = 5
 MIN_SEGMENT_ROWS = 10
 LOW_SHARE = 0.25
 
-# Fixed format: fields of the interval specification.
-INTERVAL_SCHEMA = StructType(
-    [
-        StructField("method", StringType()),
-        StructField("alpha", DoubleType()),
-        StructField("coverage", DoubleType()),
-        StructField("num_segments", IntegerType()),
-        StructField("segment_edges", ArrayType(DoubleType())),
-        StructField("relative_error_quantiles_by_segment", ArrayType(DoubleType())),
-        StructField("relative_error_quantiles", MapType(StringType(), DoubleType())),
-        StructField("calibration_size", LongType()),
-    ]
-)
-
-
 @dataclass(frozen=True)
 class IntervalSpec:
     segment_edges: list[float] = field(default_factory=list)
@@ -46,9 +31,13 @@ class IntervalSpec:
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """r2, rmse, mae, mse as one aggregate. A constant target gives r2 of 1 if all errors are 0, else 0."""
+    """r2, rmse, mae, mse as one aggregate. A constant target gives r2 of 1 if all errors are 0, else 0.
+
+    Every term is over the same rows: those that have both a target and a prediction (NaN is none).
+    """
     y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
-    sums = df.agg(
+    both = df.where(is_present(y) & is_present(p))
+    sums = both.agg(
         F.avg((y - p) * (y - p)).alias("mse"), F.avg(F.abs(y - p)).alias("mae"), F.var_pop(y).alias("spread")
     )
     r2 = (

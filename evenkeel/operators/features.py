@@ -7,13 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from evenkeel.contract import Contract, require_columns
 from evenkeel.functions.numeric import nan_to_null
 from evenkeel.operators.order_stats import exact_quantiles, long_series
-
-CATEGORY_LIMIT = 1_000_000
+from evenkeel.session import materialize
 
 
 def numeric_column(name: str) -> Column:
@@ -40,31 +39,63 @@ class Categories:
     values: tuple[str, ...]
 
 
+def _counted_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(i, v, count): how often each present value of the i-th column occurs, all columns in one aggregate."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)])
+    return df.select(F.inline(pairs)).where("v IS NOT NULL").groupBy("i", "v").count()
+
+
+def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """The most frequent present value per column (ties: smallest). Collected: one value per column."""
+    counted = _counted_values(df, columns)
+    most = counted.groupBy(F.col("i").alias("__i")).agg(F.max("count").alias("__most"))
+    top = counted.join(most, (F.col("i") == F.col("__i")) & (F.col("count") == F.col("__most")))
+    found = {r["i"]: r["v"] for r in top.groupBy("i").agg(F.min("v").alias("v")).collect()}
+    empty = [c for i, c in enumerate(columns) if i not in found]
+    if empty:
+        raise ValueError(f"no present values to take a mode of in {empty}")
+    return {c: found[i] for i, c in enumerate(columns)}
+
+
 def categories(df: DataFrame, columns: Sequence[str]) -> dict[str, Categories]:
     """Sorted distinct values and the most frequent one (ties: smallest) per column.
 
-    All columns in one aggregate. Collected: the categories themselves, which are
-    the encoder's state; more than ``CATEGORY_LIMIT`` of them is refused.
+    Collected: the categories themselves, because they are what a one-hot encoder is made of. A
+    column with a value per row or so is no category; ``category_table`` numbers it without the driver.
     """
     if not columns:
         return {}
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)])
-    counted = df.select(F.inline(pairs)).where("v IS NOT NULL").groupBy("i", "v").count()
-    rows = counted.limit(CATEGORY_LIMIT + 1).collect()
-    if len(rows) > CATEGORY_LIMIT:
-        raise ValueError(f"over {CATEGORY_LIMIT} categories in {list(columns)}: too many to one-hot encode")
-    out = {}
-    for i, c in enumerate(columns):
-        mine = [(r["v"], r["count"]) for r in rows if r["i"] == i]
-        if not mine:
-            raise ValueError(f"no present values to encode in '{c}'")
-        out[c] = Categories(min(mine, key=lambda r: (-r[1], r[0]))[0], tuple(sorted(v for v, _ in mine)))
-    return out
+    found = modes(df, columns)
+    labels = _counted_values(df, columns).groupBy("i").agg(F.sort_array(F.collect_list("v")).alias("values")).collect()
+    return {columns[r["i"]]: Categories(found[columns[r["i"]]], tuple(r["values"])) for r in labels}
+
+
+def category_table(df: DataFrame, column: str) -> DataFrame:
+    """(value, position): the distinct present values of a column, numbered from 0 in their order.
+
+    Values are dealt out by ranges and numbered within each; the sizes of earlier ranges are
+    added. No task and no driver sees all of them.
+    """
+    values = df.select(F.col(column).cast("string").alias("value")).where("value IS NOT NULL").distinct()
+    dealt = values.repartitionByRange("value").withColumn("__range", F.spark_partition_id())
+    ranges = materialize(dealt, "categories")
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranges.groupBy("__range").agg(F.count("*").alias("__n"))  # one row per task
+    offsets = sizes.select("__range", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy("value")) - 1
+    numbered = ranges.withColumn("__at", inside).join(offsets, "__range")
+    return numbered.select("value", (F.col("__at") + F.col("__before")).alias("position"))
+
+
+def category_positions(df: DataFrame, column: str, table: DataFrame) -> DataFrame:
+    """``df`` with ``{column}_position``; NULL for a missing value and for one that isn't in the table."""
+    side = table.select(F.col("value").alias("__value"), F.col("position").alias(f"{column}_position"))
+    return df.join(side, F.col(column).cast("string") == F.col("__value"), "left").drop("__value")
 
 
 def impute_mode(df: DataFrame, columns: Sequence[str], fitted: dict[str, Categories] | None = None) -> DataFrame:
-    fitted = fitted or categories(df, columns)
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(fitted[c].mode)) for c in columns})
+    fill = {c: fitted[c].mode for c in columns} if fitted else modes(df, columns)
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(fill[c])) for c in columns})
 
 
 def moments(df: DataFrame, columns: Sequence[str | Column]) -> list[tuple[float, float]]:

@@ -63,10 +63,14 @@ def psi(
     """One row: psi, ref_rows, cur_rows. Out-of-range current values are dropped.
 
     NULL where either side has under ten present values, or the reference is
-    constant or too tied to give three edges.
+    constant or too tied to give three edges. With ``log``, reference values at or below -1 are
+    an error; current ones are below every edge, hence dropped with the rest out of range.
     """
     ref_x, cur_x = F.col(column), F.col(current_column or column)
     if log:
+        refused = reference.agg(F.count_if(nan_to_null(ref_x.cast("double")) <= -1)).first()[0]
+        if refused:
+            raise ValueError(f"{refused} reference values are at or below -1")
         ref_x, cur_x = F.log1p(ref_x.cast("double")), F.log1p(cur_x.cast("double"))
     size, edges = unique_edges(reference, ref_x, bins)
     nb = len(edges) - 1

@@ -66,12 +66,17 @@ class _Search:
         return low, high
 
 
+def _double(x: float) -> str:
+    """A double as SQL text, infinities included."""
+    return f"{x!r}D" if math.isfinite(x) else f"CAST('{x!r}' AS DOUBLE)"
+
+
 def _placed(bounds: Sequence[float], first: int, last: int) -> str:
     """SQL for a binary search of ``x`` among the bounds, ending in an equality test with one of them."""
     if first == last:
-        return "0" if first == 0 else f"IF(x = {bounds[first - 1]!r}D, {2 * first - 1}, {2 * first})"
+        return "0" if first == 0 else f"IF(x = {_double(bounds[first - 1])}, {2 * first - 1}, {2 * first})"
     mid = (first + last) // 2
-    return f"IF(x < {bounds[mid]!r}D, {_placed(bounds, first, mid)}, {_placed(bounds, mid + 1, last)})"
+    return f"IF(x < {_double(bounds[mid])}, {_placed(bounds, first, mid)}, {_placed(bounds, mid + 1, last)})"
 
 
 def _coded(series: DataFrame, searches: Mapping[int, _Search]) -> DataFrame:
@@ -116,10 +121,10 @@ def _sketched(df: DataFrame, keys: Sequence[str], value: str, steps: int) -> Dat
 
 
 def approximate_quantiles(df: DataFrame, column: Column, parts: int) -> list[float]:
-    """Distinct inner cut points that split a column into about equal parts."""
+    """Inner cut points that split a column into about equal parts; a value that fills several is repeated."""
     series = long_series(df, [(0, column)])
     row = _sketched(series, ["series"], "x", parts).first()
-    return sorted(set(row["grid"][1:-1])) if row else []
+    return sorted(row["grid"][1:-1]) if row else []
 
 
 def _bracket(grid: Sequence[float], share: float, low: float | None, high: float | None):
@@ -223,7 +228,12 @@ def _neighbours(p: float, size: int) -> tuple[int, int, float]:
 
 
 def _between(a: float, b: float, t: float) -> float:
-    """Linear interpolation, taken from the nearer end so it is exact at both."""
+    """Linear interpolation, taken from the nearer end so it is exact at both.
+
+    Next to an infinity there is no line: the nearer neighbour is taken, the lower one half-way.
+    """
+    if not (math.isfinite(a) and math.isfinite(b)):
+        return b if t > 0.5 else a
     return b - (b - a) * (1 - t) if t >= 0.5 else a + (b - a) * t
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from evenkeel.functions.binning import segment_number
 from evenkeel.operators.order_stats import approximate_quantiles, long_series, order_statistics
+from evenkeel.session import materialize
 
-TIE_LIMIT = 100_000
 # Fixed value: 13 hex digits are 52 bits, the most a double holds exactly.
 HASH_DIGITS = 13
 
@@ -39,8 +39,8 @@ def split_by_number(df: DataFrame, number: str, test_share: float) -> DataFrame:
     """Add ``is_test`` to the ``ceil(share * n)`` rows with the smallest numbers.
 
     The number at that rank is found by selection, then each row compares with it:
-    no sort, no shuffle of the rows. Rows holding that very number (copies of one
-    key) are the only ones ranked; the key behind the number is meant to identify rows.
+    no sort, no shuffle of the rows. Only rows that hold that very number, where it
+    straddles the cut, are ordered further, by a number from their whole content.
     """
     series = long_series(df, [(0, F.col(number))])
     # The cut and the next rank: if they differ, no row ties with the cut across it.
@@ -53,13 +53,40 @@ def split_by_number(df: DataFrame, number: str, test_share: float) -> DataFrame:
     n = F.col(number)
     if wanted == size or found[wanted] > cut:
         return df.withColumn("is_test", n <= cut)
-    tied, below = df.agg(F.count_if(n == cut), F.count_if(n < cut)).first()
-    if tied > TIE_LIMIT:
-        raise ValueError(f"split key does not identify rows: {tied} rows share one hash")
-    # At most TIE_LIMIT rows: copies of the single key the cut falls on.
-    rank = Window.partitionBy(number).orderBy(*[c for c in df.columns])
-    edge = df.where(n == cut).withColumn("is_test", F.row_number().over(rank) <= wanted - below)
-    return df.where(n != cut).withColumn("is_test", n < cut).unionByName(edge)
+    # Copies of one key straddle the cut. A second number, from the whole row, orders them; rows
+    # alike in that too are copies, of which any may go, so they get a running number per task.
+    below = df.agg(F.count_if(n < cut)).first()[0]
+    edge = materialize(
+        df.where(n == cut).withColumn("__row", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("double")), "split-ties"
+    )
+    return df.where(n != cut).withColumn("is_test", n < cut).unionByName(_first_of(edge, wanted - below).drop("__row"))
+
+
+def _first_of(edge: DataFrame, wanted: int) -> DataFrame:
+    """Add ``is_test`` to ``wanted`` rows of ``edge``: those with the smallest ``__row``, then any copies."""
+    stats = order_statistics(long_series(edge, [(0, F.col("__row"))]), lambda _, size: [wanted - 1] if 0 < wanted <= size else [])
+    size, found = stats[0]
+    cut = found[wanted - 1]
+    row = F.col("__row")
+    below, copies = edge.agg(F.count_if(row < cut), F.count_if(row == cut)).first()
+    apart = edge.where(row != cut).withColumn("is_test", row < cut)
+    tied = edge.where(row == cut)
+    if below + copies == wanted:
+        return apart.unionByName(tied.withColumn("is_test", F.lit(True)))
+    # The number of copies per task is counted, its earlier tasks' are added: no task sees them all.
+    placed = materialize(
+        tied.withColumn("__task", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id()), "split-copies"
+    )
+    chunk = F.col("__task").cast("long") * (1 << 20) + F.floor(F.pmod("__at", F.lit(1 << 33)) / (1 << 16))
+    chunked = placed.withColumn("__chunk", chunk)
+    before = Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = chunked.groupBy("__chunk").agg(F.count("*").alias("__size")).select(
+        "__chunk", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before")
+    )
+    inside = Window.partitionBy("__chunk").orderBy("__at")
+    ranked = chunked.withColumn("__k", F.row_number().over(inside)).join(offsets, "__chunk")
+    taken = ranked.withColumn("is_test", F.col("__k") + F.col("__before") <= wanted - below)
+    return apart.unionByName(taken.drop("__task", "__at", "__chunk", "__k", "__before"))
 
 
 def split_approximate(df: DataFrame, test_share: float, seed: int, key: Sequence[str]) -> DataFrame:
@@ -72,14 +99,22 @@ def numbered_within(df: DataFrame, key: str, order: str, tiebreak: Sequence[str]
 
     A ranking window sends a whole key to one task. Here rows are first sliced by
     quantiles of the order column, numbered within (key, slice), and shifted by the
-    number of rows in the key's earlier slices. Slice bounds only balance the work,
-    so where they fall never changes the numbers.
+    number of rows in the key's earlier slices. An order value that fills more than one
+    slice is sliced on by a hash of the tiebreak, which orders equal values everywhere.
+    Slice bounds only balance the work, so where they fall never changes the numbers.
     """
     cuts = approximate_quantiles(df, F.col(order), slices)
-    sliced = df.withColumn("__slice", F.coalesce(segment_number(F.col(order).cast("double"), cuts), F.lit(-1)))
-    inner = Window.partitionBy(key, "__slice").orderBy(order, *tiebreak)
+    full = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
+    value = F.col(order).cast("double")
+    part = F.coalesce(segment_number(value, sorted(set(cuts))), F.lit(-1))
+    # Rows without an order value are alike in it.
+    tied = value.isNull() | (F.coalesce(value.isin(full), F.lit(False)) if full else F.lit(False))
+    hashed = df.withColumn("__hash", F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in tiebreak]).cast("binary")))
+    place = F.struct(part.alias("p"), (~tied).alias("o"), F.when(tied, F.substring("__hash", 1, 2)).otherwise("").alias("h"))
+    sliced = hashed.withColumn("__slice", place)
+    inner = Window.partitionBy(key, "__slice").orderBy(order, "__hash", *tiebreak)
     numbered = sliced.withColumn(name, F.row_number().over(inner))
-    # At most ``slices`` rows per key from here on.
+    # At most a few times ``slices`` rows per key from here on.
     sizes = sliced.groupBy(key, "__slice").agg(F.count("*").alias("__size"))
     earlier = Window.partitionBy(key).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("__before", F.coalesce(F.sum("__size").over(earlier), F.lit(0)))

@@ -30,40 +30,63 @@ def list_versions(versions: DataFrame, model: str | None = None) -> DataFrame:
 
 
 def latest_version(versions: DataFrame, stage: str | None = None) -> DataFrame:
-    """Newest version per model, within one stage if given. Each task keeps one row per model."""
+    """Newest version per model, within one stage if given.
+
+    The highest number per model is a hash aggregate over two columns; the rows that hold it are
+    found by joining it back.
+    """
     if stage is not None:
         versions = versions.where(F.col("stage") == stage)
-    newest = F.max_by(F.struct("version", "stage", "run_id"), version_number())
-    return versions.groupBy("model").agg(newest.alias("newest")).select("model", "newest.*")
+    numbered = versions.withColumn("__number", version_number())
+    newest = numbered.groupBy(F.col("model").alias("__model")).agg(F.max("__number").alias("__newest"))
+    same = (F.col("model") == F.col("__model")) & (F.col("__number") == F.col("__newest"))
+    return numbered.join(newest, same).select("model", "version", "stage", "run_id")
 
 
 def resolve_version(versions: DataFrame, model: str, version: str | None = None, stage: str | None = None) -> str:
-    """The given version, or the newest at a stage; none is an error."""
+    """``version`` if one is given, otherwise the newest one (of ``stage``, where that is given)."""
     if version:
         return str(version)
-    row = latest_version(versions.where(F.col("model") == model), stage).first()
-    if row is None:
-        raise ValueError(f"No versions found for model '{model}'" + (f" at stage '{stage}'." if stage else "."))
-    return row["version"]
+    newest = latest_version(versions.where(F.col("model") == model), stage).select("version").head()
+    if newest is None:
+        where = "in any stage" if stage is None else f"in stage {stage}"
+        raise ValueError(f"model {model!r} has no version {where}")
+    return newest.version
+
+
+def single_value(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """One row per key: repeats that agree collapse, repeats that contradict each other fail the job."""
+    c = F.col(value).cast("double")
+    clash = F.raise_error(F.concat(F.lit(f"{key} has several values of {value}: "), F.col(key).cast("string"))).cast("double")
+    folded = rows.groupBy(key).agg(F.min(c).alias("__low"), F.max(c).alias("__high"))
+    return folded.select(key, F.when(F.col("__low").eqNullSafe(F.col("__high")), F.col("__low")).otherwise(clash).alias(name))
 
 
 def champion_metric(versions: DataFrame, runs: DataFrame, metric: str = METRIC) -> DataFrame:
-    """model, version, run_id, production_metric of each model's newest Production version."""
+    """model, version, run_id, production_metric of each model's newest Production version.
+
+    A run recorded twice with one metric counts once; with two it is an error.
+    """
     champions = latest_version(versions, PRODUCTION).drop("stage")
-    metrics = runs.select("run_id", F.col(metric).cast("double").alias("production_metric"))
+    metrics = single_value(runs, "run_id", metric, "production_metric")
     return champions.join(metrics, "run_id", "left").select("model", "version", "run_id", "production_metric")
 
 
 def gate_passes(candidate: Column, champion: Column, threshold: float = IMPROVEMENT) -> Column:
-    """No champion passes; otherwise the gain must be strictly above the threshold."""
-    return champion.isNull() | F.coalesce(candidate - champion > F.lit(float(threshold)), F.lit(False))
+    """Without a champion passes; otherwise the gain must be strictly above the threshold.
+
+    NaN is no metric: a candidate with it never passes, and a champion with it is never beaten.
+    """
+    comparable = ~F.isnan(candidate) & ~F.isnan(champion)
+    better = F.coalesce(comparable & (candidate - champion > F.lit(float(threshold))), F.lit(False))
+    return F.coalesce(~F.isnan(candidate), F.lit(True)) & (champion.isNull() | better)
 
 
 def promotion_gate(
     candidates: DataFrame, champions: DataFrame, metric: str = METRIC, threshold: float = IMPROVEMENT
 ) -> DataFrame:
     """Candidates (model, run_id, metric) with production_metric and ``passed``."""
-    side = champions.select("model", "production_metric")
+    side = single_value(champions, "model", "production_metric", "production_metric")
     joined = candidates.join(side, "model", "left")
     return joined.withColumn("passed", gate_passes(F.col(metric), F.col("production_metric"), threshold))
 
@@ -77,20 +100,31 @@ def register_versions(versions: DataFrame, candidates: DataFrame, order: str, st
     return joined.select("model", number.cast("string").alias("version"), F.lit(stage).alias("stage"), "run_id")
 
 
+def absent_targets(versions: DataFrame, targets: DataFrame) -> DataFrame:
+    """The targets (model, version, stage) that name no version."""
+    return targets.join(versions.select("model", "version"), ["model", "version"], "left_anti")
+
+
 def promote_transition(versions: DataFrame, targets: DataFrame) -> DataFrame:
     """All versions with their stage after moving each target (model, version, stage).
 
-    One target per model. Promotion to Production archives the model's other
-    Production versions; other stages move the target alone.
+    A version that reaches Production archives its model's other Production versions. A target
+    that names no version moves and archives nothing (``absent_targets`` has it). Repeated targets
+    count once; two stages for one version, or two versions of a model to Production, fail the job.
     """
-    side = targets.select("model", F.col("version").alias("__version"), F.col("stage").alias("__stage"))
-    joined = versions.join(side, "model", "left")
+    one = F.min("stage") == F.max("stage")
+    clash = F.raise_error(F.concat(F.lit("contradicting targets for model "), F.col("model"))).cast("string")
+    moves = targets.groupBy("model", "version").agg(F.when(one, F.min("stage")).otherwise(clash).alias("__to"))
+    moved = versions.join(moves, ["model", "version"], "left")
+    promoted = moved.where(F.col("__to") == PRODUCTION).groupBy("model")
+    newcomer = F.when(F.min("version") == F.max("version"), F.min("version")).otherwise(clash)
+    holders = promoted.agg(newcomer.alias("__holder"))
     stage = (
-        F.when(F.col("version") == F.col("__version"), F.col("__stage"))
-        .when((F.col("__stage") == PRODUCTION) & (F.col("stage") == PRODUCTION), ARCHIVED)
+        F.when(F.col("__to").isNotNull(), F.col("__to"))
+        .when(F.col("__holder").isNotNull() & (F.col("stage") == PRODUCTION), ARCHIVED)
         .otherwise(F.col("stage"))
     )
-    return joined.withColumn("stage", stage).select(*versions.columns)
+    return moved.join(holders, "model", "left").withColumn("stage", stage).select(*versions.columns)
 
 
 def promote_infer_metric(
@@ -105,7 +139,7 @@ def promote_infer_metric(
     Without a metric: promoted where the model has no Production version, ``error``
     where it has one. Errors stay in the result as rows.
     """
-    found = runs.select("run_id", F.col(metric).cast("double").alias("candidate_metric"))
+    found = single_value(runs, "run_id", metric, "candidate_metric")
     champions = champion_metric(versions, runs, metric).select(
         "model", F.col("version").alias("champion_version"), "production_metric"
     )

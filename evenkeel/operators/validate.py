@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from evenkeel.contract import require_columns
+from evenkeel.functions.numeric import nan_to_null
 
 
 @dataclass(frozen=True)
@@ -22,11 +23,26 @@ class Rule:
     required: bool = False
     whole: bool = False
 
-    def failures(self) -> list[tuple[str, Column]]:
-        c = F.col(self.column)
+    @property
+    def numeric(self) -> bool:
+        return self.whole or any(x is not None for x in (self.low, self.high, self.above))
+
+    def failures(self, kind: str) -> list[tuple[str, Column]]:
+        """Messages with their conditions for a column of type ``kind``. NaN and empty text are missing."""
+        given = F.col(self.column)
+        if kind in ("double", "float"):
+            given = nan_to_null(given)
+        missing = given.isNull() | (F.trim(given.cast("string")) == "") if kind == "string" else given.isNull()
         out = []
         if self.required:
-            out.append((f"{self.column}: missing", c.isNull() | (c.cast("string") == "")))
+            out.append((f"{self.column}: missing", missing))
+        c = given
+        if self.numeric and kind == "string":
+            c = nan_to_null(given.try_cast("double"))
+            nan = F.lower(F.trim(given)) == "nan"
+            out.append((f"{self.column}: Must be a number", c.isNull() & ~missing & ~nan))
+            if self.required:
+                out[0] = (out[0][0], missing | nan)
         if self.low is not None:
             out.append((f"{self.column}: Must be >= {self.low}", c < self.low))
         if self.above is not None:
@@ -67,12 +83,16 @@ def located_rules(latitude: str = "latitude", longitude: str = "longitude") -> t
 
 
 def validate_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add ``errors`` (array of messages) and ``valid``; no row is removed."""
+    """Add ``errors`` (array of messages) and ``valid``; no row is removed.
+
+    A text that should be a number and isn't is an error of its row, never of the job.
+    """
     require_columns(df, {r.column for r in rules}, "columns to validate")
+    kinds = dict(df.dtypes)
     checks = [
         F.when(F.coalesce(bad, F.lit(False)), F.lit(message))
         for rule in rules
-        for message, bad in rule.failures()
+        for message, bad in rule.failures(kinds[rule.column])
     ]
     checked = df.withColumn("errors", F.array_compact(F.array(*checks)))
     return checked.withColumn("valid", F.size("errors") == 0)
@@ -85,12 +105,17 @@ def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def alias_rename(df: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
-    """Legacy names to contract names; where both exist the contract column wins, then the alias."""
+    """Legacy names to contract names; where both exist a present contract value wins, then the alias.
+
+    NaN isn't present.
+    """
+    kinds = dict(df.dtypes)
     for old, new in aliases.items():
         if old not in df.columns:
             continue
         if new in df.columns:
-            df = df.withColumn(new, F.coalesce(F.col(new), F.col(old))).drop(old)
+            own = nan_to_null(F.col(new)) if kinds[new] in ("double", "float") else F.col(new)
+            df = df.withColumn(new, F.coalesce(own, F.col(old))).drop(old)
         else:
             df = df.withColumnRenamed(old, new)
     return df

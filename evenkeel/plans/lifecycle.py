@@ -6,6 +6,7 @@ import logging
 import uuid
 from dataclasses import dataclass
 from typing import Any
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,6 +15,7 @@ from evenkeel.operators.clean import latest_per_key
 from evenkeel.operators.registry import (
     METRIC,
     PRODUCTION,
+    absent_targets,
     champion_metric,
     promote_transition,
     promotion_gate,
@@ -34,8 +36,9 @@ VERSIONS = "model string, version string, stage string, run_id string, seq bigin
 class Registry:
     """``runs`` and a log of stage changes, both append-only parquet under one base path.
 
-    Appending keeps every write safe to retry and needs no table rewritten in place;
-    the current stage of a version is its newest log row.
+    Appending needs no table rewritten in place; the current stage of a version is its newest
+    log row. One writer at a time is required. A run is a folder named by its id, so recording
+    it again replaces it.
     """
 
     spark: SparkSession
@@ -50,7 +53,7 @@ class Registry:
             raise
 
     def runs(self) -> DataFrame:
-        return self._table("runs", RUNS)
+        return self._table("runs", RUNS).select("run_id", "model", "test_r2", "path", "created")
 
     def log(self) -> DataFrame:
         return self._table("version_log", VERSIONS)
@@ -66,9 +69,9 @@ class Registry:
         )
 
     def add_run(self, run_id: str, model: str, test_r2: float | None, path: str) -> None:
-        created = self.runs().count() + 1
+        created = self.runs().where(F.col("run_id") != run_id).count() + 1
         row = self.spark.createDataFrame([(run_id, model, test_r2, path, created)], RUNS)
-        row.coalesce(1).write.mode("append").parquet(f"{self.base}/runs")
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.base}/runs/recorded={quote(run_id, safe='')}")
 
     def register(self, run_id: str, model: str) -> str:
         """A new version for a run; its number."""
@@ -81,9 +84,14 @@ class Registry:
         return row["version"]
 
     def promote(self, model: str, version: str, stage: str = PRODUCTION) -> str:
-        """Move a version to a stage, archiving the previous Production holder; only changes are logged."""
+        """Move a version to a stage, archiving the previous Production holder; only changes are logged.
+
+        A version that isn't there is an error, and nothing is archived.
+        """
         current = self.versions().where(F.col("model") == model)
         target = self.spark.createDataFrame([(model, str(version), stage)], "model string, version string, stage string")
+        if not absent_targets(current, target).isEmpty():
+            raise ValueError(f"model {model!r} has no version {version} to promote")
         after = promote_transition(current, target)
         before = current.select("model", "version", F.col("stage").alias("__old"))
         changed = after.join(before, ["model", "version"]).where(F.col("stage") != F.col("__old"))

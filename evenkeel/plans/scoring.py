@@ -20,6 +20,9 @@ from evenkeel.sources.artifacts import load_model
 from evenkeel.sources.tables import read_csv, write_csv
 
 
+OUTPUTS = ("prediction", "lower_bound", "upper_bound")
+
+
 @dataclass(frozen=True)
 class Backfill:
     """A dimension whose columns fill gaps: {column: dimension column} by a shared key."""
@@ -72,27 +75,41 @@ class Scorer:
         return optional_defaults(df, self.contract.defaults)
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """Input columns as given, then prediction, lower_bound, upper_bound."""
-        given = df.withColumn("__given", F.struct(*df.columns))
-        ready = self.normalize(given)
+        """Input columns as given, then prediction, lower_bound, upper_bound.
+
+        Columns of these names in the input, from an earlier scoring, are replaced.
+        """
+        given = df.drop(*OUTPUTS)
+        return self._scored(self.normalize(self._keeping(given)), ())
+
+    @staticmethod
+    def _keeping(df: DataFrame) -> DataFrame:
+        """The input as given in one column, beside copies that normalisation may change."""
+        return df.withColumn("__given", F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+
+    def _scored(self, ready: DataFrame, more: Sequence[str]) -> DataFrame:
+        """Predictions of a normalised table that holds ``__given``."""
         require_columns(ready, self.contract.features, "required features")
         log_target = self.metadata.get("target_transform") == "log1p"
-        scored = predict_with_interval(self.pipeline, interval_from(self.metadata), ready, log_target)
-        return scored.select("__given.*", "prediction", "lower_bound", "upper_bound")
+        # Only what the model reads goes in, so no column can clash with its own.
+        inputs = ready.select("__given", *self.contract.features)
+        scored = predict_with_interval(self.pipeline, interval_from(self.metadata), inputs, log_target)
+        return scored.select("__given.*", *OUTPUTS, *more)
 
     def predict_single(self, spark: SparkSession, features: Mapping[str, Any]) -> float:
         """One record, through the same operator as a table."""
         return self.predict(spark.createDataFrame([dict(features)])).first()["prediction"]
 
     def predict_batch(self, df: DataFrame, rules: Sequence[Rule], located: Sequence[Rule] = ()) -> tuple[DataFrame, DataFrame]:
-        """(scored valid rows, quarantined rows with errors).
+        """(scored valid rows, quarantined rows with errors), both with the input's columns as given.
 
-        ``located`` rules run after the backfill, for callers that demand what it fills.
+        The input is normalised once; rules see names, backfills and defaults as the model does.
+        ``located`` rules are for callers that demand what the backfill fills.
         """
-        renamed = alias_rename(df, self.contract.aliases)
-        checked = validate_rows(self.normalize(renamed), [*rules, *located])
-        good, bad = split_valid(checked)
-        return self.predict(good).withColumn("model_version", F.lit(self.stage.lower())), bad
+        ready = self.normalize(self._keeping(df.drop(*OUTPUTS)))
+        good, bad = split_valid(validate_rows(ready, [*rules, *located]))
+        scored = self._scored(good, ()).withColumn("model_version", F.lit(self.stage.lower()))
+        return scored, bad.select("__given.*", "errors")
 
     def info(self, spark: SparkSession) -> DataFrame:
         """One row: what the model is, how it scored, which features it reads."""

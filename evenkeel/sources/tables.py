@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 # The texts that count as missing in a CSV cell.
@@ -53,25 +53,56 @@ def sql_query(spark: SparkSession, query: str, views: Mapping[str, DataFrame], *
     return spark.sql(query, args=params)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header. With a schema, cells are cast under ANSI rules after missing texts are nulled.
+def _present(name: str) -> Column:
+    """A CSV cell, NULL where its text counts as missing."""
+    c = F.col(f"`{name}`")
+    return F.when(~c.isin(*CSV_MISSING), c)
 
-    Without one the types are inferred, which costs a further pass over the files.
+
+def inferred_types(raw: DataFrame) -> dict[str, str]:
+    """bigint, double or string per text column: the narrowest that all its present cells can be read as.
+
+    One aggregate over the table. A column without a present cell is double.
+    """
+    checks = []
+    for i, name in enumerate(raw.columns):
+        cell = _present(name)
+        checks += [F.count(cell).alias(f"n{i}"), *[F.count(cell.try_cast(t)).alias(f"{t}{i}") for t in ("bigint", "double")]]
+    row = raw.agg(*checks).first()
+    kinds = {}
+    for i, name in enumerate(raw.columns):
+        fits = [t for t in ("bigint", "double") if row[f"{t}{i}"] == row[f"n{i}"]]
+        kinds[name] = "double" if not row[f"n{i}"] else fits[0] if fits else "string"
+    return kinds
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, multiline: bool = True) -> DataFrame:
+    """CSV with a header; quotes in cells are doubled, cells may hold line breaks.
+
+    Cells are read as text, missing texts become NULL, and the rest is cast under ANSI rules: to
+    the schema's types, or without a schema to what ``inferred_types`` finds in one further pass.
+    A line with too few or too many cells is an error. Files whose cells hold no line break can be
+    read with ``multiline=False``, which lets Spark split large files.
     """
+    options = {
+        "header": True, "quote": '"', "escape": '"', "multiLine": multiline, "mode": "FAILFAST", "columnPruning": False,
+    }
     if schema is None:
-        return spark.read.csv(path, header=True, inferSchema=True)
+        raw = spark.read.csv(path, **{k: v for k, v in options.items() if k != "columnPruning"})
+        raw = spark.read.schema(raw.schema).options(**options).csv(path)
+        return raw.select(*[_present(name).cast(kind).alias(name) for name, kind in inferred_types(raw).items()])
     wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     text = StructType()
     for f in wanted.fields:
         text = text.add(f.name, "string")
-    raw = spark.read.schema(text).csv(path, header=True, enforceSchema=False)
-    cells = {f.name: F.when(~F.col(f.name).isin(*CSV_MISSING), F.col(f.name)).cast(f.dataType) for f in wanted.fields}
-    return raw.withColumns(cells)
+    raw = spark.read.schema(text).options(enforceSchema=False, **options).csv(path)
+    return raw.select(*[_present(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header, no index column."""
-    df.write.mode(mode).csv(path, header=True)
+    """CSV with a header, no index column; quotes doubled, spaces around a cell kept."""
+    options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(header=True, **options).csv(path)
 
 
 def write_counted(df: DataFrame, path: str, observation: Observation, mode: str = "overwrite") -> None:

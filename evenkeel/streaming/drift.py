@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from evenkeel.operators.drift import DriftSnapshot, drift_level, stored_psi
+from evenkeel.operators.drift import DriftSnapshot, drift_level, logged_price, stored_psi
 from evenkeel.operators.histogram import with_bin
+from evenkeel.sources.folders import newest_complete
 
 COUNTS = "start timestamp, bin int, n bigint"
 
@@ -19,38 +20,59 @@ def start_window_counts(
     target: str,
     checkpoint: str,
     window: str = "1 day",
-    lateness: str = "40 days",
     once: bool = True,
 ) -> StreamingQuery:
     """Keep (window, bin) counts of a stream under ``target``.
 
-    State is one counter per open window and bin. Update mode emits the counters a
-    batch changed; each batch overwrites its own folder, so a replayed batch after a
-    failure leaves the same files.
+    Each micro-batch writes what it adds to the counts, under its own number: there is no state
+    that could expire, so no row is too late to count, and a replayed batch overwrites its folder
+    with the same rows. Values are clipped to the stored edges; those at or below -1, whose
+    logarithm isn't defined, are in the first bin. A row without a value or a time adds nothing.
     """
-    timed = stream.withColumn("__ts", F.col(time).cast("timestamp")).withWatermark("__ts", lateness)
-    binned = with_bin(timed, F.log1p(F.col(value).cast("double")), snapshot.price_log_bin_edges, clipped=True)
-    counts = (
-        binned.where("bin IS NOT NULL")
-        .groupBy(F.window("__ts", window).alias("w"), "bin")
-        .agg(F.count("*").alias("n"))
-        .select(F.col("w.start").alias("start"), "bin", "n")
-    )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        timed = batch.withColumn("__ts", F.col(time).cast("timestamp"))
+        binned = with_bin(timed, logged_price(F.col(value)), snapshot.price_log_bin_edges, clipped=True)
+        counts = (
+            binned.where("bin IS NOT NULL AND __ts IS NOT NULL")
+            .groupBy(F.window("__ts", window).alias("w"), "bin")
+            .agg(F.count("*").alias("n"))
+        )
+        added = counts.select(F.col("w.start").alias("start"), "bin", "n")
+        added.write.mode("overwrite").parquet(f"{target}/added/batch={batch_id}")
 
-    writer = counts.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if once:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def window_drift(spark, target: str, snapshot: DriftSnapshot) -> DataFrame:
-    """Index and level per window from the newest counter of every (window, bin)."""
-    log = spark.read.schema(f"{COUNTS}, batch bigint").parquet(target)
-    newest = log.groupBy("start", "bin").agg(F.max_by("n", "batch").alias("n"))
-    return psi_by_window(newest, snapshot)
+def window_counts(spark: SparkSession, target: str) -> DataFrame:
+    """(start, bin, n) over all batches: the newest compacted table and what was added since."""
+    base = newest_complete(spark, f"{target}/compacted", "upto")
+    added = spark.read.schema(f"{COUNTS}, batch bigint").parquet(f"{target}/added")
+    rows = added.where(F.col("batch") > (base if base is not None else -1)).drop("batch")
+    if base is not None:
+        rows = rows.unionByName(spark.read.schema(COUNTS).parquet(f"{target}/compacted/upto={base}"))
+    return rows.groupBy("start", "bin").agg(F.sum("n").alias("n"))
+
+
+def compact_window_counts(spark: SparkSession, target: str) -> int:
+    """Sum all finished batches into one table, beside the old one; the last batch in it.
+
+    Run between batches. Readers go by the newest table that is complete, so dying half-way
+    changes nothing; older tables and the batches they hold can be expired afterwards.
+    """
+    added = spark.read.schema(f"{COUNTS}, batch bigint").parquet(f"{target}/added")
+    upto = added.agg(F.max("batch")).first()[0]
+    if upto is not None and upto != newest_complete(spark, f"{target}/compacted", "upto"):
+        window_counts(spark, target).write.mode("overwrite").parquet(f"{target}/compacted/upto={upto}")
+    return upto
+
+
+def window_drift(spark: SparkSession, target: str, snapshot: DriftSnapshot) -> DataFrame:
+    """Index and level per window."""
+    return psi_by_window(window_counts(spark, target), snapshot)
 
 
 def psi_by_window(counts: DataFrame, snapshot: DriftSnapshot) -> DataFrame:

@@ -14,12 +14,20 @@ from evenkeel.plans.scoring import Scorer
 def start_scoring(
     stream: DataFrame, scorer: Scorer, target: str, checkpoint: str, rules: Sequence[Rule] = (), once: bool = True
 ) -> StreamingQuery:
-    """Validate, normalise and score a stream into parquet files, exactly once.
+    """Normalise, validate and score a stream: ``target/scored``, and with rules ``target/quarantined``.
 
-    The plan is the batch one; ``once`` drains what is there and stops.
+    Every row is in one of the two; quarantined rows carry their errors. Each micro-batch writes
+    folders of its own number, so a replay after a failure overwrites them with the same rows.
+    ``once`` drains what is there and stops.
     """
-    ready = split_valid(validate_rows(scorer.normalize(stream), rules))[0] if rules else stream
-    writer = scorer.predict(ready).writeStream.format("parquet").option("checkpointLocation", checkpoint)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        good, bad = scorer.predict_batch(batch, rules)
+        good.write.mode("overwrite").parquet(f"{target}/scored/batch={batch_id}")
+        if rules:
+            bad.write.mode("overwrite").parquet(f"{target}/quarantined/batch={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if once:
         writer = writer.trigger(availableNow=True)
-    return writer.start(target)
+    return writer.start()

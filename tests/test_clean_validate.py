@@ -17,6 +17,7 @@ from evenkeel.operators.enrich import dim_backfill
 from evenkeel.operators.validate import (
     FORM_RULES,
     REQUEST_RULES,
+    Rule,
     alias_rename,
     located_rules,
     optional_defaults,
@@ -31,12 +32,38 @@ NAN = float("nan")
 def test_clean_applies_the_business_rules(extract):
     doubled = extract.unionAll(extract.limit(1))
     out = clean(doubled, LISTINGS, {"property_type": ("MOBILE",)})
-    assert out.count() == 45
+    assert out.count() == 55
     assert not set(LISTINGS.drop) & set(out.columns)
     assert out.where("property_type = 'MOBILE'").count() == 0
     assert {dict(out.dtypes)[c] for c in LISTINGS.numeric} == {"double"}
 
 
+def test_missing_and_wrong_types_are_row_errors(spark):
+    rules = (Rule("bedrooms", low=0, high=20, required=True, whole=True), Rule("area", above=0, required=True))
+    rows = [("3", 10.0), ("many", 10.0), ("NaN", 10.0), (" ", 10.0), (None, 10.0), ("2.5", NAN), ("40", -1.0)]
+    df = spark.createDataFrame(rows, "bedrooms string, area double")
+    got = [r["errors"] for r in validate_rows(df, rules).collect()]
+    assert got == [
+        [], ["bedrooms: Must be a number"], ["bedrooms: missing"], ["bedrooms: missing"], ["bedrooms: missing"],
+        ["bedrooms: Must be a whole number", "area: missing"], ["bedrooms: Must be <= 20", "area: Must be > 0"],
+    ]
+
+
+def test_a_nan_does_not_beat_an_alias(spark):
+    df = spark.createDataFrame([(NAN, 2.0), (None, 3.0), (1.0, 4.0)], "area double, old double")
+    assert [r["area"] for r in alias_rename(df, {"old": "area"}).collect()] == [2.0, 3.0, 1.0]
+
+
+def test_wide_dimensions_are_not_broadcast(spark, monkeypatch):
+    from evenkeel.operators import enrich
+
+    monkeypatch.setattr(enrich, "BROADCAST_BYTES", 1000)
+    dim = spark.range(50).select("id", F.repeat(F.lit("x"), 100).alias("wide"))
+    plan = enrich.lookup_join(spark.range(10), dim, "id")
+    assert "ResolvedHint" not in plan._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in enrich.lookup_join(spark.range(10), dim.drop("wide"), "id")._jdf.queryExecution().analyzed().toString()
+
+
 def test_select_contract_order_and_error(extract):
     out = clean(extract, LISTINGS)
     assert select_contract(out, LISTINGS).columns == list(LISTINGS.training_columns)

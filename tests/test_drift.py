@@ -9,8 +9,10 @@ from evenkeel.operators.drift import DriftSnapshot, drift_check, drift_level, dr
 from evenkeel.operators.histogram import histogram, psi
 from evenkeel.plans.monitoring import run_drift_check
 from evenkeel.session import scratch_path
-from evenkeel.sources.snapshots import load_snapshot
+from evenkeel.sources.snapshots import load_snapshot, save_snapshot
+from evenkeel.streaming.drift import compact_window_counts, start_window_counts, window_counts
 
+# A published snapshot.
 EDGES = [
     7.601402334583733, 12.57763689161664, 12.781281858244437, 12.886643575525625, 12.978950256431569,
     13.098072734013513, 13.217493541006709, 13.356637800091326, 13.566529639502244, 13.997832781424618,
@@ -24,11 +26,57 @@ STORED = DriftSnapshot("2026-03-01", 1213, 10, 488000.0, 822283.8252267106, 1924
 
 
 def test_small_table_against_a_stored_snapshot(listings):
+    prices = np.array([r["price"] for r in listings.collect()])
+    counts, _ = np.histogram(np.clip(np.log1p(prices), EDGES[0], EDGES[-1]), EDGES)
+    now = np.where(counts == 0, 1e-6, counts / counts.sum())
+    expected = float(((np.array(SHARES) - now) * np.log(np.array(SHARES) / now)).sum())
     row = drift_check(listings, "price", None, STORED).first()
-    assert row["psi"] == pytest.approx(6.07897430975514, rel=1e-12)
+    assert row["psi"] == pytest.approx(expected, rel=1e-12)
     assert (row["drift_level"], row["should_retrain"]) == ("high", True)
-    assert row["reason"] == "High drift (PSI=6.0790). Retraining triggered (threshold=0.01)."
-    assert (row["current_price_median"], row["current_snapshot_date"]) == (387500.0, "unknown")
+    assert row["reason"] == f"High drift (PSI={expected:.4f}). Retraining triggered (threshold=0.01)."
+    assert (row["current_price_median"], row["current_snapshot_date"]) == (float(np.median(prices)), "unknown")
+
+
+def test_values_without_a_logarithm(spark):
+    bad = spark.createDataFrame([(-5.0,), (-1.0,), *[(float(v),) for v in range(1, 40)]], "price double")
+    with pytest.raises(ValueError, match="2 values"):
+        drift_snapshot(bad, "price", None)
+    with pytest.raises(ValueError, match="2 reference values"):
+        psi(bad, bad, "price", log=True)
+    # A check counts them in the first bin, like any value below the reference.
+    low = bad.withColumn("price", F.when(F.col("price") < 0, 0.0).otherwise(F.col("price")))
+    assert drift_check(bad, "price", None, STORED).first()["psi"] == drift_check(low, "price", None, STORED).first()["psi"]
+
+
+def test_a_half_written_snapshot_is_not_a_first_run(spark, tmp_path):
+    path = tmp_path / "reference"
+    (path / "snapshot=0").mkdir(parents=True)
+    with pytest.raises(ValueError, match="no complete snapshot"):
+        load_snapshot(spark, str(path))
+    save_snapshot(spark, STORED, str(path))
+    (path / "snapshot=7").mkdir()
+    assert load_snapshot(spark, str(path)) == STORED
+    assert load_snapshot(spark, str(tmp_path / "absent")) is None
+
+
+def test_stream_counts_every_row_however_late(spark):
+    rows = spark.range(4000).select(
+        F.timestamp_seconds(F.col("id") * 4320).alias("ts"), (F.col("id") % 97 + 1).cast("double").alias("value")
+    )
+    source, target, checkpoint = (scratch_path(spark, x) for x in ("late", "windows", "cp"))
+    for k in (3, 2, 1, 0):
+        rows.where(F.floor(F.col("value") * 0) + F.floor(F.unix_timestamp("ts") / (4320 * 1000)) == k).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    start_window_counts(stream, "ts", "value", STORED, target, checkpoint).awaitTermination()
+    by_window = lambda: {r["start"]: r["n"] for r in window_counts(spark, target).groupBy("start").agg(F.sum("n").alias("n")).collect()}
+    before = by_window()
+    assert sum(before.values()) == 4000 and len(before) == 200
+    compact_window_counts(spark, target)
+    assert by_window() == before
+    rows.limit(10).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    start_window_counts(stream, "ts", "value", STORED, target, checkpoint).awaitTermination()
+    assert sum(by_window().values()) == 4010
 
 
 def test_snapshot_without_edges_is_unknown(listings):

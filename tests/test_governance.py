@@ -1,6 +1,13 @@
 import pytest
 
-from evenkeel.operators.registry import latest_version, promotion_gate, register_versions, resolve_version
+from evenkeel.operators.registry import (
+    champion_metric,
+    latest_version,
+    promote_transition,
+    promotion_gate,
+    register_versions,
+    resolve_version,
+)
 from evenkeel.plans.lifecycle import Registry, run_lifecycle
 from evenkeel.plans.training import TrainConfig
 from evenkeel.session import scratch_path
@@ -20,13 +27,14 @@ def test_newest_version_is_numeric_and_by_stage(spark):
     assert resolve_version(versions, "m", stage="Production") == "10"
     assert resolve_version(versions, "m") == "11"
     assert resolve_version(versions, "m", version="3") == "3"
-    with pytest.raises(ValueError, match="No versions"):
+    with pytest.raises(ValueError, match="has no version"):
         resolve_version(versions, "other")
     assert latest_version(versions, "Staging").first()["version"] == "1"
 
 
 @pytest.mark.parametrize(
-    "candidate, champion, passed", [(0.9, None, True), (0.9, 0.91, False), (0.75, 0.5, False), (0.76, 0.5, True), (None, 0.5, False), (None, None, True)]
+    "candidate, champion, passed", [(0.9, None, True), (0.9, 0.91, False), (0.75, 0.5, False), (0.76, 0.5, True), (None, 0.5, False), (None, None, True),
+     (float("nan"), 0.5, False), (float("nan"), None, False), (0.9, float("nan"), False)]
 )
 def test_gate_is_strict(spark, candidate, champion, passed):
     left = spark.createDataFrame([("m", "r", candidate)], "model string, run_id string, test_r2 double")
@@ -55,6 +63,42 @@ def test_promotion_archives_the_previous_holder(registry):
     assert stages == {"1": "Staging", "2": "Production"}
 
 
+def test_promoting_an_absent_version_leaves_the_champion(registry):
+    registry.add_run("r0", "m", 0.5, "")
+    registry.promote_run("m", "r0")
+    with pytest.raises(ValueError, match="no version 99"):
+        registry.promote("m", "99")
+    assert {r["version"]: r["stage"] for r in registry.versions().collect()} == {"1": "Production"}
+    assert registry.champion("m") == 0.5
+
+
+def test_a_run_recorded_again_is_one_run(registry):
+    registry.add_run("r0", "m", 0.5, "")
+    registry.add_run("r0", "m", 0.5, "")
+    registry.add_run("a/b c", "m", 0.7, "")
+    assert sorted((r["run_id"], r["created"]) for r in registry.runs().collect()) == [("a/b c", 2), ("r0", 1)]
+
+
+@pytest.mark.parametrize("targets", [[("m", "1", "Production"), ("m", "2", "Production")], [("m", "1", "Staging"), ("m", "1", "Archived")]])
+def test_contradicting_targets_fail(spark, targets):
+    versions = spark.createDataFrame([("m", "1", "None", "a"), ("m", "2", "None", "b")], VERSIONS)
+    side = spark.createDataFrame(targets, "model string, version string, stage string")
+    with pytest.raises(Exception, match="contradicting targets"):
+        promote_transition(versions, side).collect()
+
+
+def test_contradicting_runs_fail(spark):
+    versions = spark.createDataFrame([("m", "1", "Production", "a")], VERSIONS)
+    runs = spark.createDataFrame([("a", 0.5), ("a", 0.6)], "run_id string, test_r2 double")
+    with pytest.raises(Exception, match="several values"):
+        champion_metric(versions, runs).collect()
+
+
+def test_newest_version_plan_has_no_sort_aggregate(spark):
+    plan = latest_version(spark.createDataFrame([("m", "1", "None", "a")], VERSIONS))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
 def test_run_without_metric(registry):
     registry.add_run("first", "m", None, "")
     registry.add_run("second", "m", None, "")

@@ -82,7 +82,7 @@ def test_quotes_in_a_category_survive(spark):
 def test_split_sizes_of_the_extract(extract):
     split = prepare_training(extract.unionAll(extract.limit(1)), TrainConfig(split_key=("property_id",)))
     assert split.columns == [*LISTINGS.training_columns, "is_test"]
-    assert (split.where("is_test").count(), split.count()) == (9, 45)
+    assert (split.where("is_test").count(), split.count()) == (11, 55)
 
 
 def test_ridge_matches_the_closed_form(spark):
@@ -109,7 +109,7 @@ def test_train_save_load_score(spark, extract, trained):
     assert result.metrics["promote_to_production"] is False
     pipeline, metadata = load_model(spark, path)
     assert metadata["feature_names"] == result.features.feature_names()
-    assert (metadata["train_size"], metadata["val_size"], metadata["test_size"]) == (36, 0, 9)
+    assert (metadata["train_size"], metadata["val_size"], metadata["test_size"]) == (44, 0, 11)
     before, after = (column(p.transform(extract.orderBy("property_id")), "prediction") for p in (result.pipeline, pipeline))
     assert before == after and all(map(math.isfinite, after))
 
@@ -137,15 +137,15 @@ def test_scoring_a_legacy_record(spark, trained):
 
 def test_batch_quarantines_and_file_keeps_its_columns(spark, extract, trained):
     scorer = Scorer.load(spark, trained[1], district_backfill(spark))
-    rows = extract.withColumn("bedrooms", F.when(F.col("property_id") == 10001, -1).otherwise(F.col("bedrooms")))
+    rows = extract.withColumn("bedrooms", F.when(F.col("property_id") == 503, -1).otherwise(F.col("bedrooms")))
     good, bad = scorer.predict_batch(rows, REQUEST_RULES)
-    assert (good.count(), bad.count()) == (47, 1)
+    assert (good.count(), bad.count()) == (59, 1)
     source, target = scratch_path(spark, "in"), scratch_path(spark, "out")
     write_csv(extract, source)
     score_file(scorer, spark, source, target, extract.schema)
     done = read_csv(spark, target)
     assert done.columns == [*extract.columns, "prediction", "lower_bound", "upper_bound"]
-    assert done.count() == 48
+    assert done.count() == 60
 
 
 def test_stream_scores_like_batch(spark, extract, trained):
@@ -153,7 +153,46 @@ def test_stream_scores_like_batch(spark, extract, trained):
     source, target = scratch_path(spark, "feed"), scratch_path(spark, "stream-out")
     extract.repartition(3).write.parquet(source)
     start_scoring(spark.readStream.schema(extract.schema).parquet(source), scorer, target, scratch_path(spark, "cp")).awaitTermination()
-    assert spark.read.parquet(target).exceptAll(scorer.predict(extract)).count() == 0
+    scored = spark.read.parquet(f"{target}/scored").drop("batch", "model_version")
+    assert scored.exceptAll(scorer.predict(extract)).count() == 0 and scored.count() == extract.count()
+
+
+def test_stream_keeps_rows_that_fail(spark, extract, trained):
+    scorer = Scorer.load(spark, trained[1], district_backfill(spark))
+    source, target = scratch_path(spark, "feed"), scratch_path(spark, "stream-out")
+    rows = extract.withColumn("bedrooms", F.when(F.col("property_id") % 5 == 0, 99).otherwise(F.col("bedrooms")))
+    rows.repartition(3).write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    start_scoring(stream, scorer, target, scratch_path(spark, "cp"), REQUEST_RULES).awaitTermination()
+    good, bad = spark.read.parquet(f"{target}/scored"), spark.read.parquet(f"{target}/quarantined")
+    assert bad.count() == rows.where("bedrooms = 99").count() > 0
+    assert good.count() + bad.count() == rows.count()
+    assert {tuple(r["errors"]) for r in bad.collect()} == {("bedrooms: Must be <= 20",)}
+
+
+def test_a_scored_table_can_be_scored_again(spark, extract, trained):
+    scorer = Scorer.load(spark, trained[1], district_backfill(spark))
+    once = scorer.predict(extract.withColumn("features", F.lit("clash")))
+    again = scorer.predict(once)
+    assert again.columns == once.columns and again.exceptAll(once).count() == 0
+    plan = scorer.predict_batch(extract, REQUEST_RULES)[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
+
+
+def test_splitting_on_a_key_that_all_rows_share(spark):
+    from evenkeel.operators.ranking import split_exact
+
+    df = spark.range(1000).select((F.col("id") % 50).alias("v"), F.lit("same").alias("k")).repartition(7)
+    split = split_exact(df, 0.2, 42, ["k"])
+    assert (split.where("is_test").count(), split.count()) == (200, 1000)
+    copies = split_exact(df.select(F.lit(1).alias("v"), "k"), 0.2011, 42, ["k"])
+    assert (copies.where("is_test").count(), copies.count()) == (202, 1000)
+
+
+def test_metrics_are_over_the_same_rows(spark):
+    df = spark.createDataFrame([(1.0, 1.5), (2.0, None), (4.0, 3.0), (9.0, float("nan"))], "y double, p double")
+    row = regression_metrics(df, "y", "p").first()
+    assert (row["mse"], row["mae"], row["r2"]) == (0.625, 0.75, pytest.approx(1 - 0.625 / 2.25))
 
 
 def test_scoring_plan_has_no_shuffle_and_no_python(spark, trained, extract, sf):
@@ -260,7 +299,7 @@ def test_flat_bounds_and_no_importance_for_linear(trained, extract):
     result, _ = trained
     row = predict_with_interval(result.pipeline, None, extract).first()
     assert row["lower_bound"] == row["prediction"] == row["upper_bound"]
-    with pytest.raises(ValueError, match="importances"):
+    with pytest.raises(ValueError, match="weighs no features"):
         feature_importance(result.pipeline, result.features.feature_names())
 
 

@@ -1,8 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from evenkeel.functions.text import currency, mask_middle, percent, title_label
 from evenkeel.session import scratch_path, scratch_root
-from evenkeel.sources.tables import read_csv, sql_query
+from evenkeel.sources.tables import read_csv, sql_query, write_csv
 
 
 def test_csv_missing_texts_become_null(spark, tmp_path):
@@ -12,6 +13,31 @@ def test_csv_missing_texts_become_null(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(1.5, "x"), (None, None), (None, None), (None, None)]
 
 
+def test_csv_cells_come_back_as_they_were(spark):
+    rows = [(1, 'he said "x", y'), (2, "two\nlines"), (3, "  pad  "), (4, 'a\\"b\\'), (5, '"'), (6, None)]
+    df = spark.createDataFrame(rows, "a int, b string")
+    path = scratch_path(spark, "csv")
+    write_csv(df, path)
+    assert sorted(tuple(r) for r in read_csv(spark, path, df.schema).collect()) == sorted(rows)
+
+
+@pytest.mark.parametrize("line", ["1,x,surplus", "1"])
+def test_ragged_lines_are_errors(spark, tmp_path, line):
+    path = tmp_path / "in.csv"
+    path.write_text(f"a,b\n1,x\n{line}\n")
+    for schema in ("a int, b string", None):
+        with pytest.raises(Exception, match="MALFORMED|malformed"):
+            read_csv(spark, str(path), schema).select("a").collect()
+
+
+def test_types_are_inferred_past_missing_texts(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("n,x,s,e\n1,NA,a,NA\nNA,2.5,7,\n3,1,null,n/a\n")
+    df = read_csv(spark, str(path))
+    assert dict(df.dtypes) == {"n": "bigint", "x": "double", "s": "string", "e": "double"}
+    assert [tuple(r) for r in df.collect()] == [(1, None, "a", None), (None, 2.5, "7", None), (3, 1.0, None, None)]
+
+
 def test_named_parameters_are_values(spark):
     view = spark.createDataFrame([("it's",), ("x",)], "v string")
     assert sql_query(spark, "SELECT count(*) AS n FROM named WHERE v = :v", {"named": view}, v="it's").first()["n"] == 1
