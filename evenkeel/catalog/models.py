@@ -383,7 +383,6 @@ LINES_SQL = derived_sql("lineitem", LINES)
 LINEAR = Contract(
     numeric=("quantity", "discount"), categorical=(), target="label", defaults={"discount": 0.04}, aliases={"amount": "quantity"}
 )
-MIXED = Contract(numeric=("quantity", "discount"), categorical=("flag", "status"), target="label")
 
 
 def config(contract: Contract = LINEAR, **changes) -> TrainConfig:
@@ -454,42 +453,92 @@ def _(spark, sf):
     return spark.createDataFrame(rows, "term string, weight double").withColumn("weight", rounded("weight", 4))
 
 
-def mixed_split(spark, sf) -> DataFrame:
-    return prepare_training(lines(spark, sf), config(MIXED))
+def split_lines(spark, sf) -> DataFrame:
+    return prepare_training(lines(spark, sf), config())
+
+
+def stump_sql(name: str, target: str) -> str:
+    """CTE ``name``(f, v, below, above): the best one-split tree for ``target`` over the rows of ``tr``.
+
+    Candidate splits are all values of both features; the split with the greatest variance gain is
+    that with the greatest sum of squared leaf sums over leaf sizes.
+    """
+    return f"""{name}_x AS (SELECT 'quantity' AS f, quantity AS v, {target} AS y FROM tr
+        UNION ALL SELECT 'discount', coalesce(discount, md), {target} FROM tr, md),
+      {name}_g AS (SELECT f, v, count(*) AS n, sum(y) AS s FROM {name}_x GROUP BY f, v),
+      {name}_c AS (SELECT f, v, CAST(sum(n) OVER w AS DOUBLE) AS nl, sum(s) OVER w AS sl, CAST(sum(n) OVER (PARTITION BY f) AS DOUBLE) AS n,
+        sum(s) OVER (PARTITION BY f) AS s FROM {name}_g WINDOW w AS (PARTITION BY f ORDER BY v)),
+      {name} AS (SELECT f, v, sl / nl AS below, (s - sl) / (n - nl) AS above FROM {name}_c WHERE nl < n
+        ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1)"""
+
+
+def leaf_sql(name: str, median: str = "(SELECT md FROM md)") -> str:
+    """A row's leaf value in the stump ``name``."""
+    return f"""(SELECT CASE WHEN (CASE f WHEN 'quantity' THEN quantity ELSE coalesce(discount, {median}) END) <= v
+        THEN below ELSE above END FROM {name})"""
+
+
+def tree_rows_sql() -> str:
+    """CTEs ``tr`` (training rows, y the logged label), ``md`` and ``sp`` without the linear fit."""
+    return ridge_sql().split("mo AS")[0].rstrip().rstrip(",")
+
+
+STUMP = {"n_estimators": 1, "max_depth": 1, "max_bins": 64, "bootstrap": False}
+ONE_TREE = f"{tree_rows_sql()}, {stump_sql('tree', 'y')}"
 
 
 @cache
 def forest(spark, sf):
-    train = mixed_split(spark, sf).where("NOT is_test")
-    return fit_pipeline(train, MIXED, "random_forest", {"n_estimators": 20, "max_depth": 6})
+    """A forest of one tree with one split, without row sampling: what SQL can follow."""
+    return fit_pipeline(split_lines(spark, sf).where("NOT is_test"), LINEAR, "random_forest", STUMP)
 
 
-@query("fit_rf")
+@query(
+    "fit_rf",
+    f"""WITH {ONE_TREE}, te AS (SELECT label AS actual, exp({leaf_sql("tree")}) - 1 AS prediction FROM sp WHERE is_test)
+        SELECT {METRIC_SQL} FROM te""",
+)
 def _(spark, sf):
     pipeline, _ = forest(spark, sf)
-    test = mixed_split(spark, sf).where("is_test")
-    return regression_metrics(pipeline.transform(test), "label", "prediction")
+    test = split_lines(spark, sf).where("is_test")
+    return tidy_metrics(regression_metrics(pipeline.transform(test), "label", "prediction"))
+
+
+# Squared loss: the second tree fits twice what the first leaves, and counts with the learning rate.
+BOOSTED = {"max_iter": 2, "learning_rate": 0.3, "max_depth": 1, "min_samples_leaf": 1, "max_bins": 64}
 
 
-@query("fit_gbt")
+@query(
+    "fit_gbt",
+    f"""WITH {ONE_TREE}, {stump_sql("second", f"2 * (y - {leaf_sql('tree')})")},
+        te AS (SELECT label AS actual, exp({leaf_sql("tree")} + 0.3 * {leaf_sql("second")}) - 1 AS prediction FROM sp WHERE is_test)
+        SELECT {METRIC_SQL} FROM te""",
+)
 def _(spark, sf):
-    split = mixed_split(spark, sf)
-    settings = {"max_iter": 10, "learning_rate": 0.3, "max_depth": 3, "min_samples_leaf": 8}
-    pipeline, _ = fit_pipeline(split.where("NOT is_test"), MIXED, "hist_gradient_boosting", settings)
-    return regression_metrics(pipeline.transform(split.where("is_test")), "label", "prediction")
+    split = split_lines(spark, sf)
+    pipeline, _ = fit_pipeline(split.where("NOT is_test"), LINEAR, "hist_gradient_boosting", BOOSTED)
+    return tidy_metrics(regression_metrics(pipeline.transform(split.where("is_test")), "label", "prediction"))
 
 
-@query("importance_topn")
+@query(
+    "importance_topn",
+    f"""WITH {ONE_TREE} SELECT c.f AS feature, CASE WHEN c.f = tree.f THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance
+        FROM (VALUES ('quantity'), ('discount')) AS c(f), tree""",
+)
 def _(spark, sf):
     pipeline, state = forest(spark, sf)
     return feature_importance(pipeline, state.feature_names(), top=5)
 
 
-@query("interval_forest")
+@query(
+    "interval_forest",
+    f"""WITH {ONE_TREE}, te AS (SELECT label, exp({leaf_sql("tree")}) - 1 AS p FROM sp WHERE is_test)
+        SELECT round(label, 4) AS label, round(p, 3) AS prediction, round(p, 3) AS lower_bound, round(p, 3) AS upper_bound FROM te""",
+)
 def _(spark, sf):
     pipeline, _ = forest(spark, sf)
-    scored = forest_interval(pipeline, mixed_split(spark, sf).where("is_test"))
-    return scored.select("label", "prediction", "lower_bound", "upper_bound")
+    scored = forest_interval(pipeline, split_lines(spark, sf).where("is_test"))
+    return scored.select(rounded("label", 4).alias("label"), *[rounded(c, 3).alias(c) for c in ("prediction", "lower_bound", "upper_bound")])
 
 
 @query(

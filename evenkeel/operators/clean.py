@@ -65,7 +65,7 @@ def outlier_filter(
     if not enabled:
         return df
     if target not in df.columns:
-        raise ValueError(f"Target column '{target}' is missing from dataset.")
+        raise ValueError(f"no column {target!r} to filter by range")
     if area not in df.columns:
         logger.warning("range filter skipped: no column %s", area)
         return df

@@ -36,6 +36,7 @@ PARAMETERS = {
         "max_depth": "maxDepth",
         "min_samples_leaf": "minInstancesPerNode",
         "max_bins": "maxBins",
+        "bootstrap": "bootstrap",
     },
     "gradient_boosting": {
         "n_estimators": "maxIter",

@@ -124,7 +124,7 @@ def interval_coverage(df: DataFrame, actual: str) -> DataFrame:
     return df.agg(F.avg(inside.cast("double")).alias("coverage"), F.count("*").alias("rows"))
 
 
-def evaluate_predictions(df: DataFrame, actual: str, predicted: str) -> tuple[dict, IntervalSpec]:
+def evaluate_predictions(df: DataFrame, actual: str, predicted: str, normalizer: str = "actual") -> tuple[dict, IntervalSpec]:
     """Test metrics and the interval calibrated on the same rows.
 
     The low-segment cutoff and the interval's edges come from one selection.
@@ -133,7 +133,7 @@ def evaluate_predictions(df: DataFrame, actual: str, predicted: str) -> tuple[di
     found = exact_quantiles(both, {0: [LOW_SHARE], 1: segment_shares(SEGMENTS)})
     if 1 not in found:
         raise ValueError("no rows to evaluate")
-    spec = calibrate_intervals(df, actual, predicted, edges=segment_edges(found[1][1]))
+    spec = calibrate_intervals(df, actual, predicted, normalizer=normalizer, edges=segment_edges(found[1][1]))
     metrics = regression_metrics(df, actual, predicted).first().asDict()
     metrics |= low_segment_error(df, actual, predicted, found[0][1][0]).first().asDict()
     return {"test": metrics, "validation": None}, spec

@@ -7,13 +7,14 @@ from dataclasses import asdict, dataclass, field
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from evenkeel.contract import LISTINGS, Contract, require_columns
 from evenkeel.operators.clean import cast_numeric, dedupe_full_row, exclude_categories, outlier_filter
 from evenkeel.operators.estimators import fit_pipeline, inner_model
-from evenkeel.operators.evaluate import IntervalSpec, evaluate_predictions, split_sizes
+from evenkeel.operators.evaluate import IntervalSpec, evaluate_predictions, interval_coverage, split_sizes
 from evenkeel.operators.features import FeatureState
+from evenkeel.operators.intervals import segmented_interval
 from evenkeel.operators.ranking import hash_number, split_by_number
 from evenkeel.session import materialize
 from evenkeel.sources.artifacts import save_model
@@ -38,6 +39,7 @@ class TrainConfig:
     model_type: str = "hist_gradient_boosting"
     hyperparameters: Mapping[str, Any] = field(default_factory=dict)
     model_name: str = "listing_price"
+    normalizer: str = "actual"  # or "prediction", whose intervals cover as often as they say
 
 
 @dataclass(frozen=True)
@@ -53,12 +55,13 @@ class TrainResult:
         return save_model(spark, self.pipeline, self.metadata, asdict(self.config), path)
 
 
-def prepare_training(df: DataFrame, cfg: TrainConfig) -> DataFrame:
+def prepare_training(df: DataFrame, cfg: TrainConfig, removed: Observation | None = None) -> DataFrame:
     """Contract columns plus ``is_test``, cleaned and written once.
 
     The split key is hashed on the way out, so the passes that find the cut read one
     number per row and the key columns are not stored. Without a key the whole
     deduplicated row is the key. The result is a projection of the written table.
+    ``removed`` receives the number of rows that the range filter drops.
     """
     c = cfg.contract
     require_columns(df, c.training_columns, "training columns")
@@ -68,7 +71,7 @@ def prepare_training(df: DataFrame, cfg: TrainConfig) -> DataFrame:
         rows = exclude_categories(rows, column, values)
     rows = cast_numeric(rows, c.numeric)
     rows = outlier_filter(
-        rows, c.target, cfg.area, cfg.min_target, cfg.max_target, cfg.min_area, enabled=cfg.handle_outliers
+        rows, c.target, cfg.area, cfg.min_target, cfg.max_target, cfg.min_area, enabled=cfg.handle_outliers, removed=removed
     )
     cleaned = materialize(rows.select(*c.training_columns, "__n"), "cleaned")
     return split_by_number(cleaned, "__n", cfg.test_size).drop("__n")
@@ -96,15 +99,19 @@ def build_metadata(
 
 def train_run(df: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainResult:
     """One training run. Fitting sees training rows only; nothing is promoted here."""
-    split = prepare_training(df, cfg)
+    removed = Observation()
+    split = prepare_training(df, cfg, removed)
     sizes = split_sizes(split).first().asDict()
+    filtered = cfg.handle_outliers and cfg.area in df.columns
+    sizes["removed_rows"] = removed.get["removed"] if filtered else 0
     train, test = split.where(~F.col("is_test")), split.where("is_test")
     pipeline, state = fit_pipeline(
         train, cfg.contract, cfg.model_type, cfg.hyperparameters, cfg.target_transform, cfg.random_state
     )
     target = F.col(cfg.contract.target).cast("double").alias("actual")
     scored = materialize(pipeline.transform(test).select(target, "prediction"), "scored")
-    metrics, interval = evaluate_predictions(scored, "actual", "prediction")
+    metrics, interval = evaluate_predictions(scored, "actual", "prediction", cfg.normalizer)
+    sizes["interval_coverage"] = interval_coverage(segmented_interval(scored, interval), "actual").first()["coverage"]
     metadata = build_metadata(cfg, pipeline, state, metrics, interval, sizes)
     metrics["promote_to_production"] = False
     return TrainResult(pipeline, state, metrics, interval, metadata, cfg)

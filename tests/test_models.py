@@ -114,6 +114,15 @@ def test_train_save_load_score(spark, extract, trained):
     assert before == after and all(map(math.isfinite, after))
 
 
+def test_a_run_reports_what_it_removed_and_what_its_intervals_cover(spark, extract):
+    limits = extract.selectExpr("percentile(price, 0.2) AS low", "percentile(price, 0.9) AS high").first()
+    cfg = TrainConfig(model_type="ridge", min_target=limits["low"], max_target=limits["high"], min_area=0.0, normalizer="prediction")
+    result = train_run(extract, cfg)
+    inside = extract.where(F.col("price").between(limits["low"], limits["high"]) & (F.col("property_type") != "MOBILE")).count()
+    assert result.metadata["removed_rows"] == 55 - inside
+    assert result.metadata["interval_coverage"] >= 0.95
+
+
 def test_loading_rules(spark, trained):
     with pytest.raises(FileNotFoundError):
         load_model(spark, scratch_path(spark, "nothing"))
@@ -295,6 +304,12 @@ def test_forest_bounds_and_importance(spark, extract):
     assert predict_with_interval(pipeline, None, train).columns == out.columns
 
 
+def test_boosting_learns_more_than_a_mean(spark, sf):
+    df = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr("l_quantity AS q", "l_discount AS d", "l_returnflag AS f", "1000 * l_quantity * (1 - l_discount) AS y")
+    pipeline, _ = fit_pipeline(df, Contract(("q", "d"), ("f",), "y"), "hist_gradient_boosting", {"max_iter": 10, "learning_rate": 0.3, "max_depth": 3})
+    assert regression_metrics(pipeline.transform(df), "y", "prediction").first()["r2"] > 0.9
+
+
 def test_flat_bounds_and_no_importance_for_linear(trained, extract):
     result, _ = trained
     row = predict_with_interval(result.pipeline, None, extract).first()

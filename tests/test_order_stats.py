@@ -76,10 +76,10 @@ def test_split_size_holds_when_a_key_repeats(spark):
     assert split_exact(df, 0.5, 1, ["k"]).where("is_test").count() == 450
 
 
-def test_split_refuses_a_key_that_identifies_nothing(spark, monkeypatch):
-    monkeypatch.setattr("evenkeel.operators.ranking.TIE_LIMIT", 10)
-    with pytest.raises(ValueError, match="does not identify rows"):
-        split_exact(spark.range(100).withColumn("k", F.lit(1)), 0.5, 1, ["k"])
+def test_split_size_holds_for_a_key_that_identifies_nothing(spark):
+    df = spark.range(101).withColumn("k", F.lit(1))
+    assert split_exact(df, 0.5, 1, ["k"]).where("is_test").count() == 51
+    assert split_exact(df.select("k"), 0.5, 1, ["k"]).where("is_test").count() == 51
 
 
 def test_split_edges(spark):
@@ -94,3 +94,13 @@ def test_numbering_a_hot_key(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(-1)).alias("k"), "id")
     out = numbered_within(df, "k", "id", [], "n").where("k = -1").orderBy("id").select("n").toPandas()["n"]
     assert list(out) == list(range(1, 2001))
+
+
+def test_numbering_a_hot_key_whose_order_values_are_all_equal(spark):
+    df = spark.range(3000).select(F.lit("hot").alias("k"), F.lit(7).alias("o"), F.col("id").cast("string").alias("r"))
+    out = numbered_within(df, "k", "o", ["r"], "n")
+    assert sorted(r["n"] for r in out.collect()) == list(range(1, 3001))
+    again = numbered_within(df.repartition(5), "k", "o", ["r"], "n", slices=4)
+    assert out.exceptAll(again).count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "__slice" in plan
