@@ -15,6 +15,7 @@ from evenkeel.llm.mixing import repeat_documents
 from evenkeel.llm.packing import pack
 from evenkeel.llm.quality_qda import keep_good
 from evenkeel.llm.queries import language_training, quality_training
+from evenkeel.llm.shipping import ship_package
 from evenkeel.llm.simhash import keep_one_per_component
 from evenkeel.llm.words import documents
 from evenkeel.session import materialize
@@ -24,16 +25,19 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
+    ship_package(spark)
     return identify(docs, language_training(), keep_text=True).where("NOT rejected").select(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted good by a classifier learnt from the labels of those that are left."""
+    ship_package(spark)
     return keep_good(docs, documents(spark, sf_dir, "labels").select("doc_id", "quality"), quality_training())
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    ship_package(spark)
     return keep_one_per_component(docs)
 
 

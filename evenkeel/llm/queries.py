@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -13,6 +14,7 @@ from evenkeel.llm.packing import pack
 from evenkeel.llm.ppm import score_texts
 from evenkeel.llm.quality_qda import score_quality
 from evenkeel.llm.quality_rules import judge_documents
+from evenkeel.llm.shipping import ship_package
 from evenkeel.llm.simhash import hexed, near_duplicates
 from evenkeel.llm.url_filter import Entry, judge_urls
 from evenkeel.llm.vector_search import nearest
@@ -26,10 +28,15 @@ ORACLES: dict[str, str] = {}
 
 def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
-        QUERIES[key] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[key] = run
         if sql is not None:
             ORACLES[key] = sql
-        return fn
+        return run
 
     return add
 
