@@ -201,14 +201,14 @@ spoken AS (
   SELECT r, list_filter(list_transform(string_split_regex(lower(text), '[.!?;]+[ \t\r\n]+|[.!?;]+$|[\r\n]+'),
     lambda s: trim(regexp_replace(s, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))), lambda s: s <> '') AS spoken FROM texts WHERE text IS NOT NULL
 ), placed AS (
-  SELECT r, unnest(spoken) AS sentence, unnest(range(len(spoken))) AS at FROM spoken
+  SELECT r, unnest(spoken) AS sentence, unnest(range(len(spoken))) AS nth FROM spoken
 ), known AS (
-  SELECT r, at, id, row_number() OVER (PARTITION BY r ORDER BY at) AS k FROM placed JOIN sentences USING (sentence)
+  SELECT r, nth, id, row_number() OVER w AS k, nth - lag(nth) OVER w AS gap FROM placed JOIN sentences USING (sentence)
+  WINDOW w AS (PARTITION BY r ORDER BY nth)
 ), runs AS (
-  SELECT first.r, first.k, rule, license, n, min(other.at) AS first_at, max(other.at) AS last_at, count(*) AS hits,
-    max(other.at) - min(other.at) AS width
+  SELECT first.r, first.k, rule, license, n, min(other.nth) AS first_at, max(other.nth) AS last_at
   FROM known first JOIN known other ON first.r = other.r AND other.k >= first.k
-  JOIN rules ON rules.j = other.k - first.k AND rules.id = other.id
+  JOIN rules ON rules.j = other.k - first.k AND rules.id = other.id AND (rules.j = 0 OR other.gap <= {rules.max_gap + 1})
   GROUP BY first.r, first.k, rule, license, n HAVING count(*) = n
 ), longest AS (
   SELECT *, row_number() OVER (PARTITION BY r, k ORDER BY n DESC, rule) AS best FROM runs
