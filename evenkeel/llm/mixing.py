@@ -28,7 +28,9 @@ from evenkeel.llm.ordering import shuffled, sum_before
 from evenkeel.llm.words import pieces, unit_draw, word_count
 from evenkeel.session import materialize
 
-WALKS = 64
+ROUNDS = 3
+SHORT_WALK, LONG_WALK = 6, 64
+TASK_SLOTS, MAX_TASKS = 1 << 15, 10_000
 FACTOR_BITS = 22  # index bits (40 at most) and these stay within a long
 
 
@@ -115,32 +117,51 @@ def source_counts(targets: DataFrame, rule: MixRule) -> DataFrame:
     )
 
 
-def permuted(index: Column, size: Column, keys: list[Column], factors: list[Column]) -> Column:
-    """A bijection on [0, size) chosen by the keys.
+def permuted(slots: DataFrame) -> DataFrame:
+    """``slots`` with ``block``: a bijection of ``index`` on [0, ``blocks``), keyed by ``rounds``.
 
-    Rounds of adding a key, multiplying by an odd number and folding the upper half into the lower
-    permute the numbers of as many bits as ``size`` has; a number beyond ``size`` is permuted on
-    until it falls within, which keeps the whole a bijection.
+    Each round adds a key, multiplies by an odd number and folds the upper half of the bits into
+    the lower; that permutes the numbers of as many bits as ``blocks`` has. A number beyond
+    ``blocks`` is permuted on until it falls within, which keeps the whole a bijection. More than
+    half of all numbers fall within at every step, so few take the second, long walk.
     """
-    bits = F.length(F.bin(size - 1))
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-    half = F.floor((bits + 1) / 2).cast("int")
+    bits = F.length(F.bin(F.col("blocks") - 1))
+    sized = slots.withColumns(
+        {
+            "_mask": F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1,
+            "_half": F.floor((bits + 1) / 2).cast("int"),
+        }
+    )
+    mask, size = F.col("_mask"), F.col("blocks")
+
+    def folded(y: Column) -> Column:
+        return y.bitwiseXOR(F.call_function("shiftright", y, F.col("_half")))
 
     def once(x: Column) -> Column:
-        for key, factor in zip(keys, factors):
-            x = (x.bitwiseXOR(key.bitwiseAND(mask)) * factor).bitwiseAND(mask)
-            x = x.bitwiseXOR(F.call_function("shiftright", x, half))
-        return x
+        return F.aggregate(
+            "rounds", x, lambda v, r: folded((v.bitwiseXOR(r["key"].bitwiseAND(mask)) * r["factor"]).bitwiseAND(mask))
+        )
+
+    def walked(x: Column, steps: int) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), x, lambda v, _: F.when(v < size, v).otherwise(once(v)))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), once(index), lambda x, _: F.when(x < size, x).otherwise(once(x)))
+    near = sized.withColumn("_near", walked(once(F.col("index")), SHORT_WALK))
+    far = near.withColumn("_far", F.when(F.col("_near") < size, F.col("_near")).otherwise(walked(F.col("_near"), LONG_WALK)))
+    lost = F.raise_error(F.lit("a permuted index did not fall within its source")).cast("long")
+    return far.withColumn("block", F.when(F.col("_far") < size, F.col("_far")).otherwise(lost)).drop("_mask", "_half", "_near", "_far")
 
 
-def mix_slots(counts: DataFrame, rule: MixRule) -> DataFrame:
-    """One row per slot: shard, place in the shard, the source's key and the index of its block."""
+def mix_slots(counts: DataFrame, rule: MixRule, slots: int) -> DataFrame:
+    """One row per slot: shard, place in the shard, the source's key and the index of its block.
+
+    ``slots`` is their number, for dealing them over tasks before they are made.
+    """
+    tasks = max(1, min(-(-slots // TASK_SLOTS), MAX_TASKS))
+    dealt = counts.where("slots > 0").repartition(tasks, "_key", "shard")
     place = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("i")
-    slots = counts.where("slots > 0").select("_key", "blocks", "shard", "first_place", "first_slot", place)
+    made = dealt.select("_key", "blocks", "shard", "first_place", "first_slot", place)
     slot = F.col("first_slot") + F.col("i")
-    numbered = slots.select(
+    numbered = made.select(
         "_key",
         "blocks",
         "shard",
@@ -148,19 +169,19 @@ def mix_slots(counts: DataFrame, rule: MixRule) -> DataFrame:
         (slot % F.col("blocks")).alias("index"),
         F.floor(slot / F.col("blocks")).cast("int").alias("pass"),
     ).where(F.col("pass") < rule.max_repeats)  # a draw may exceed the limit by a slot
-    hashes = [F.xxhash64(F.lit(rule.seed), "_key", "pass", F.lit(r)) for r in range(6)]
+    return permuted(numbered.withColumn("rounds", rounds(rule))).select("_key", "shard", "place", "pass", "block")
+
+
+def rounds(rule: MixRule) -> Column:
+    """Keys and odd factors of the permutation of a source in one pass over it."""
     low = F.lit((1 << FACTOR_BITS) - 1).cast("long")
-    keyed = numbered.select(
-        "*",
-        *[h.alias(f"_k{r}") for r, h in enumerate(hashes[:3])],
-        *[h.bitwiseAND(low).bitwiseOR(F.lit(1).cast("long")).alias(f"_f{r}") for r, h in enumerate(hashes[3:])],
+    hashes = [F.xxhash64(F.lit(rule.seed), "_key", "pass", F.lit(r)) for r in range(2 * ROUNDS)]
+    return F.array(
+        *[
+            F.struct(key.alias("key"), factor.bitwiseAND(low).bitwiseOR(F.lit(1).cast("long")).alias("factor"))
+            for key, factor in zip(hashes[:ROUNDS], hashes[ROUNDS:])
+        ]
     )
-    block = permuted(F.col("index"), F.col("blocks"), [F.col(f"_k{r}") for r in range(3)], [F.col(f"_f{r}") for r in range(3)])
-    chosen = keyed.select("_key", "blocks", "shard", "place", "pass", block.alias("block"))
-    within = F.when(F.col("block") < F.col("blocks"), F.col("block")).otherwise(
-        F.raise_error(F.lit("a permuted index did not fall within its source")).cast("long")
-    )
-    return chosen.select("_key", "shard", "place", "pass", within.alias("block"))
 
 
 def placed_documents(sized: DataFrame, rule: MixRule) -> DataFrame:
@@ -196,15 +217,19 @@ class Mix:
 
     def blocks(self) -> DataFrame:
         """The mix itself: shard, place, and the words [from, to) of each document there, in order of ``start``."""
-        return self.slots.join(self.spans, ["_key", "block"]).select("shard", "place", "doc_id", "start", "from", "to")
+        return self.slots.hint("merge").join(self.spans, ["_key", "block"]).select("shard", "place", "doc_id", "start", "from", "to")
 
     def taken(self) -> DataFrame:
-        """Per document doc_id, size, source_size, target, and ``taken``: its words in the mix, repeats counted."""
+        """Per document doc_id, size, source_size, target, and ``taken``: its words in the mix, repeats counted.
+
+        Both joins are sort-merge joins by hint: their sides grow with the corpus, and rows that
+        an array gives rise to are more than the planner expects.
+        """
         times = self.slots.groupBy("_key", "block").agg(F.count(F.lit(1)).alias("times"))
         words = F.sum(F.col("times") * (F.col("to") - F.col("from"))).alias("taken")
         # A document is a run of its source's stream: its start tells it from every other.
-        drawn = self.spans.join(times, ["_key", "block"]).groupBy("_key", "start").agg(words)
-        present = self.placed.join(drawn, ["_key", "start"], "left").drop("start")
+        drawn = self.spans.join(times.hint("merge"), ["_key", "block"]).groupBy("_key", "start").agg(words)
+        present = self.placed.join(drawn.hint("merge"), ["_key", "start"], "left").drop("start")
         absent = self.sized.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
         every = present.withColumn("taken", F.coalesce("taken", F.lit(0))).unionByName(absent)
         return every.join(self.targets, "_key").select("doc_id", "source", "size", "source_size", "target", "taken")
@@ -214,7 +239,8 @@ def mix_sources(docs: DataFrame, rule: MixRule = MixRule(), text: str = "text",
     sized = materialize(sized_documents(docs, text, source), "mix-sizes")
     targets = materialize(source_targets(sized, rule), "mix-targets")
     placed = materialize(placed_documents(sized, rule), "mix-places")
-    slots = mix_slots(source_counts(targets, rule), rule)
+    counts = materialize(source_counts(targets, rule), "mix-counts")
+    slots = mix_slots(counts, rule, counts.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0])
     return Mix(sized, targets, placed, slots, document_spans(placed, rule))
 
 
@@ -232,7 +258,7 @@ def repeat_documents(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
     keys = [F.col("doc_id"), F.col("source"), word_count(pieces(F.col("text")))]
     right = alike.toDF("_doc_id", "_source", "_size", "_share")
     matched = docs.join(
-        right, keys[0].eqNullSafe(F.col("_doc_id")) & keys[1].eqNullSafe(F.col("_source")) & (keys[2] == F.col("_size"))
+        right.hint("merge"), keys[0].eqNullSafe(F.col("_doc_id")) & keys[1].eqNullSafe(F.col("_source")) & (keys[2] == F.col("_size"))
     )
     whole = F.floor(F.col("_share"))
     extra = unit_draw(F.lit(rule.seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) < F.col("_share") - whole

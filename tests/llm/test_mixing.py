@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from evenkeel.llm.mixing import MixRule, mix_sources, permuted, repeat_documents, source_targets
+from evenkeel.llm.mixing import MixRule, mix_sources, permuted, repeat_documents, rounds, source_targets
 from evenkeel.llm.queries import QUERIES
 
 
@@ -41,11 +41,12 @@ def test_targets_equal_plain_version(spark, seed):
 
 @pytest.mark.parametrize("size", [1, 2, 3, 64, 65, 1000])
 def test_permutation_is_a_bijection(spark, size):
-    keys = [F.xxhash64(F.lit(k)) for k in range(3)]
-    factors = [F.xxhash64(F.lit(k)).bitwiseAND(F.lit(0xFFFF)).bitwiseOR(F.lit(1)) for k in range(3, 6)]
-    got = spark.range(size).select(permuted(F.col("id"), F.lit(size).cast("long"), keys, factors)).collect()
-    assert sorted(r[0] for r in got) == list(range(size))
-    assert size < 64 or [r[0] for r in got] != list(range(size))
+    slots = spark.range(size).select(
+        F.col("id").alias("index"), F.lit(size).cast("long").alias("blocks"), F.lit("=a").alias("_key"), F.lit(0).alias("pass")
+    )
+    got = [r["block"] for r in permuted(slots.withColumn("rounds", rounds(MixRule()))).orderBy("index").collect()]
+    assert sorted(got) == list(range(size))
+    assert size < 64 or got != list(range(size))
 
 
 @pytest.fixture(scope="module")
