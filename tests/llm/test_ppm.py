@@ -87,6 +87,19 @@ def test_scores_equal_plain_version(rows):
         assert r["extra"] == "x"
 
 
+@pytest.mark.parametrize("order", (1, 3, 7))
+def test_rare_ngrams_are_scored_from_their_counts(spark, order):
+    """A capacity far below the number of n-grams changes no score."""
+    more = TEXTS + [(10, "the quick brown fox, überall überall", True), (11, "a quick überfox sat on the zebra", False)]
+    training = [t for _, t, train in more if train]
+    df = spark.createDataFrame(more, "doc_id bigint, text string, train boolean")
+    got = score_texts(df.repartition(3), F.col("train"), order=order, capacity=2).collect()
+    texts = {d: t for d, t, _ in more}
+    assert len(got) == len(more)
+    for r in got:
+        assert r["score"] == pytest.approx(plain_score(texts[r["doc_id"]], training, order), rel=1e-9)
+
+
 def test_probabilities_sum_to_one():
     training = ["abracadabra", "abba", "cab"]
     follows = defaultdict(Counter)
