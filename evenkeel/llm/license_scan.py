@@ -1,7 +1,8 @@
 """Licences of texts from their sentences: known sentences become identifiers, their runs match rules.
 
 A text is cut into sentences, each normalised to its lower-case letters and digits with single
-spaces between. A sentence that is known gets its identifier; a rule is a licence with the
+spaces between. Lines end sentences too, but a known sentence that stands over several lines, in
+comment markers or with marks inside it, is one sentence. A sentence that is known gets its identifier; a rule is a licence with the
 identifiers of its sentences in order. A rule matches where its identifiers follow each other among
 the text's known sentences with no more than ``max_gap`` unknown ones between two. At a sentence
 the longest rule wins, and a match takes its sentences from later ones.
@@ -64,6 +65,37 @@ RULES = (
     ("CC-BY-NC-4.0", ("cc-by-nc-4",)),
     ("CC0-1.0", ("cc0",)),
 )
+# Further sentences and rules of the scan; its SQL has those above only, on one line each.
+_GNU = "you can redistribute it and/or modify it under the terms of the GNU"
+_FSF = "as published by the Free Software Foundation"
+_LATER = "of the License, or (at your option) any later version"
+_CC = "This work is licensed under a Creative Commons Attribution"
+MORE = (
+    ("GPL-2.0-or-later", f"This program is free software; {_GNU} General Public License {_FSF}; either version 2 {_LATER}"),
+    ("GPL-2.0-only", f"This program is free software; {_GNU} General Public License version 2 {_FSF}"),
+    ("LGPL-2.1-or-later", f"This library is free software; {_GNU} Lesser General Public License {_FSF}; either version 2.1 {_LATER}"),
+    ("LGPL-3.0-or-later", f"This program is free software: {_GNU} Lesser General Public License {_FSF}, either version 3 {_LATER}"),
+    ("AGPL-3.0-or-later", f"This program is free software: {_GNU} Affero General Public License {_FSF}, either version 3 {_LATER}"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("ISC", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+    "alter it and redistribute it freely, subject to the following restrictions"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
+    ("BSD", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file"),
+    ("MIT", "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file"),
+    ("CC-BY-SA-4.0", f"{_CC}-ShareAlike 4.0 International License"),
+    ("CC-BY-NC-4.0", f"{_CC}-NonCommercial 4.0 International License"),
+    ("CC-BY-ND-4.0", f"{_CC}-NoDerivatives 4.0 International License"),
+    ("CC-BY-NC-SA-4.0", f"{_CC}-NonCommercial-ShareAlike 4.0 International License"),
+    ("CC-BY-NC-ND-4.0", f"{_CC}-NonCommercial-NoDerivatives 4.0 International License"),
+)
+MIT_GRANT = SENTENCES["mit-grant"] + (
+    ", and to permit persons to whom the Software is furnished to do so, subject to the following conditions"
+)
 TELLTALES = ("licen", "permission", "redistribut", "warranty")
 SENTENCE_END = r"[.!?;]+[ \t\r\n]+|[.!?;]+$|[\r\n]+"
 NOT_WORDS = r"[^\p{L}\p{N}]+"
@@ -90,9 +122,32 @@ class LicenseRules:
                 raise ValueError(f"a rule of {license_name} names no sentence, or an unknown one")
 
 
+COMMON_LICENSES = LicenseRules(
+    sentences=(
+        *LicenseRules().sentences,
+        ("mit-grant-whole", normal(MIT_GRANT)),
+        *((f"more-{i}", normal(text)) for i, (_, text) in enumerate(MORE)),
+    ),
+    rules=(
+        *RULES,
+        ("Apache-2.0", ("apache-2-you",)),
+        ("MIT", ("mit-grant-whole", "mit-notice")),
+        *((name, (f"more-{i}",)) for i, (name, _) in enumerate(MORE)),
+    ),
+    telltales=(*TELLTALES, "unencumbered"),
+)
+
 MATCHES = "array<struct<license:string,first:int,last:int>>"
 
 
+def unwrapped(lines: Column, rules: LicenseRules) -> Column:
+    """Normalised lines with each known sentence that stands over several of them made one, longest sentences first."""
+    joined = F.concat(F.lit("\n"), F.array_join(lines, "\n"), F.lit("\n"))
+    for sentence in sorted((s for _, s in rules.sentences), key=len, reverse=True):
+        joined = F.regexp_replace(joined, r"(?<=\n)" + sentence.replace(" ", r"[ \n]") + r"(?=\n)", sentence)
+    return F.split(joined, "\n")
+
+
 def known_sentences(text: Column, rules: LicenseRules) -> Column:
     """The known sentences of a text in order: their place among all sentences and their identifier."""
     numbers = {name: i for i, (name, _) in enumerate(rules.sentences)}
@@ -100,7 +155,8 @@ def known_sentences(text: Column, rules: LicenseRules) -> Column:
     sentences = F.transform(
         F.split(F.lower(text), SENTENCE_END), lambda s: F.trim(F.regexp_replace(s, NOT_WORDS, " "))
     )
-    spoken = F.filter(sentences, lambda s: s != "")
+    lines = F.filter(sentences, lambda s: s != "")
+    spoken = F.filter(unwrapped(lines, rules), lambda s: s != "")
     placed = F.transform(spoken, lambda s, i: F.struct(i.alias("at"), F.try_element_at(table, s).alias("id")))
     return F.filter(placed, lambda p: p["id"].isNotNull())
 
@@ -143,7 +199,7 @@ def rule_matches(known: str, rules: LicenseRules) -> Column:
     )
 
 
-def scan_licenses(docs: DataFrame, rules: LicenseRules = LicenseRules(), text: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, rules: LicenseRules = COMMON_LICENSES, text: str = "text") -> DataFrame:
     """``docs`` without its text, with ``matches``: licence, first and last sentence of each match."""
     others = [c for c in docs.columns if c != text]
     clash = {"matches", "_known"} & set(others)

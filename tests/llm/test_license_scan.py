@@ -35,6 +35,75 @@ def test_matches(spark):
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+"""
+GPL_3 = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.
+#
+# You should have received a copy of the GNU General Public License
+# along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+APACHE = """/*
+ * Copyright 2020 Somebody
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ */
+"""
+BSD = """// Copyright 2020 Somebody
+//
+// Redistribution and use in source and binary forms, with or without
+// modification, are permitted provided that the following conditions are met:
+//\r
+"""
+GPL_2 = """ * This program is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU General Public License as
+ * published by the Free Software Foundation; either version 2 of the
+ * License, or (at your option) any later version.
+"""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at http://mozilla.org/MPL/2.0/. */
+"""
+
+
+def test_wrapped_texts(spark):
+    wrapped = {
+        MIT: [("MIT", 2, 3)], GPL_3: [("GPL-3.0-or-later", 0, 6)], APACHE: [("Apache-2.0", 1, 3)], BSD: [("BSD", 1, 1)],
+        GPL_2: [("GPL-2.0-or-later", 0, 0)], MPL: [("MPL-2.0", 0, 0)], MIT.replace("\n", "\r\n"): [("MIT", 2, 3)],
+        "Licensed under the\nApache License, Version 2.0\nfor now": [("Apache-2.0", 0, 0)],
+        "Permission is hereby\ngranted to nobody.": [], "Not\nReleased under the MIT\nLicense or so.": [],
+        "This is free and unencumbered software released\ninto the public domain.": [("Unlicense", 0, 0)],
+    }
+    df = spark.createDataFrame(list(enumerate(wrapped)), "doc_id bigint, text string")
+    got = {r["doc_id"]: [tuple(m) for m in r["matches"]] for r in scan_licenses(df).collect()}
+    assert got == dict(enumerate(wrapped.values()))
+
+
 def test_rules_are_checked():
     assert normal("A  b, C-d!") == "a b c d"
     with pytest.raises(ValueError):
