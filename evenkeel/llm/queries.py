@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from evenkeel.llm.language_id import identify
 from evenkeel.llm.license_scan import LicenseRules, scan_licenses
+from evenkeel.llm.merkle import build_manifest, fold, hexed as hex_text, leaf_digest, proof_digest
 from evenkeel.llm.mixing import mix_sources
 from evenkeel.llm.packing import pack
 from evenkeel.llm.ppm import score_texts
@@ -232,3 +233,94 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get("matches", F.lit(0))["first"].alias("first_sentence"),
         F.array_max("matches.last").alias("last_sentence"),
     )
+
+
+# crc32 bit by bit: DuckDB has no function for it.
+CRC32_SQL = """
+list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST({value} AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda acc, unused: CASE WHEN acc % 2 = 1 THEN xor(acc // 2, 3988292384) ELSE acc // 2 END))
+"""
+
+OP11_SQL = r"""
+WITH RECURSIVE fields AS (
+  SELECT row_number() OVER () AS r, doc_id, source, text, coalesce('+' || source, '') AS g,
+    coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+    || coalesce(octet_length(encode(source)) || ':' || source, '-')
+    || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+    || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head,
+    coalesce(%crc32% %% 2 = 1, false) AS changed
+  FROM documents
+), leaves AS (
+  SELECT r, doc_id, g, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+    CASE WHEN changed THEN sha256(head || coalesce(octet_length(encode(replace(text, chr(10), ''))) || ':' || replace(text, chr(10), ''), '-')) END AS claim
+  FROM fields
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaves
+), nodes AS (
+  SELECT 0 AS lvl, g, pos, n, leaf AS digest FROM numbered
+  UNION ALL
+  SELECT lvl + 1, g, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY lvl, g, pos // 3, n
+), subroots AS (
+  SELECT g, digest, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS lvl, pos, n, digest FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY lvl, pos // 3, n
+), root AS (
+  SELECT digest AS root FROM tops WHERE n = 1
+), heights AS (
+  SELECT g, max(lvl) AS height FROM nodes GROUP BY g
+), paths AS (
+  SELECT g, 0 AS lvl, pos, pos AS leaf_pos FROM nodes WHERE lvl = 0
+  UNION ALL
+  SELECT paths.g, paths.lvl + 1, paths.pos // 3, leaf_pos FROM paths JOIN heights USING (g) WHERE paths.lvl < height
+), group_paths AS (
+  SELECT g, 0 AS lvl, pos FROM subroots
+  UNION ALL
+  SELECT g, lvl + 1, pos // 3 FROM group_paths WHERE lvl < (SELECT max(lvl) FROM tops)
+), steps AS (
+  SELECT paths.g, leaf_pos, paths.lvl AS step, coalesce(string_agg(o.digest, '' ORDER BY o.pos) FILTER (o.pos < paths.pos), '') AS before,
+    coalesce(string_agg(o.digest, '' ORDER BY o.pos) FILTER (o.pos > paths.pos), '') AS after
+  FROM paths JOIN heights ON paths.g = heights.g AND paths.lvl < height
+  JOIN nodes o ON o.g = paths.g AND o.lvl = paths.lvl AND o.pos // 3 = paths.pos // 3 GROUP BY paths.g, leaf_pos, paths.lvl
+), group_steps AS (
+  SELECT p.g, p.lvl AS step, coalesce(string_agg(o.digest, '' ORDER BY o.pos) FILTER (o.pos < p.pos), '') AS before,
+    coalesce(string_agg(o.digest, '' ORDER BY o.pos) FILTER (o.pos > p.pos), '') AS after
+  FROM group_paths p JOIN tops o ON o.lvl = p.lvl AND o.pos // 3 = p.pos // 3 AND o.n > 1 GROUP BY p.g, p.lvl
+), all_steps AS (
+  SELECT g, leaf_pos, step, before, after FROM steps
+  UNION ALL
+  SELECT numbered.g, numbered.pos, height + step, before, after FROM numbered JOIN heights USING (g) JOIN group_steps USING (g)
+), proofs AS (
+  SELECT g, leaf_pos, sha256(string_agg(before || after, '' ORDER BY step)) AS proof, max(step) AS last FROM all_steps GROUP BY g, leaf_pos
+), folded AS (
+  SELECT g, pos AS leaf_pos, 0 AS step, coalesce(claim, leaf) AS digest FROM numbered
+  UNION ALL
+  SELECT f.g, f.leaf_pos, f.step + 1, sha256(before || digest || after) FROM folded f
+  JOIN all_steps s ON s.g = f.g AND s.leaf_pos = f.leaf_pos AND s.step = f.step
+)
+SELECT doc_id, leaf, nodes.digest AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded.digest AS folded_root,
+  folded.digest = root AS verified
+FROM numbered JOIN nodes ON nodes.g = numbered.g AND nodes.n = 1 CROSS JOIN root
+LEFT JOIN proofs ON proofs.g = numbered.g AND proofs.leaf_pos = numbered.pos
+JOIN folded ON folded.g = numbered.g AND folded.leaf_pos = numbered.pos AND folded.step = coalesce(last + 1, 0)
+""".replace("%crc32%", CRC32_SQL.format(value="doc_id")).replace("%%", "%")
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.coalesce(remainder("doc_id", 2) == 0, F.lit(False))
+    claim = F.when(tampered, leaf_digest(*named, F.translate("text", "\n", "")))
+    manifest = build_manifest(documents(spark, sf_dir), leaf_digest(*named, F.col("text")), carry={"claim": claim})
+    folded = fold(F.coalesce("claim", "leaf"), F.col("steps"))
+    return manifest.withColumn("folded", folded).select(
+        "doc_id",
+        hex_text(F.col("leaf")).alias("leaf"),
+        hex_text(F.col("subroot")).alias("subroot"),
+        hex_text(F.col("root")).alias("root"),
+        hex_text(proof_digest(F.col("steps"))).alias("proof_sha256"),
+        hex_text(F.col("folded")).alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
