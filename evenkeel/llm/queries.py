@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from evenkeel.llm.language_id import identify
 from evenkeel.llm.license_scan import LicenseRules, scan_licenses
+from evenkeel.llm.line_dedup import drop_repeated_lines
 from evenkeel.llm.merkle import build_manifest, fold, hexed as hex_text, leaf_digest, proof_digest
 from evenkeel.llm.mixing import mix_sources
 from evenkeel.llm.packing import pack
@@ -17,6 +18,7 @@ from evenkeel.llm.quality_qda import score_quality
 from evenkeel.llm.quality_rules import judge_documents
 from evenkeel.llm.shipping import ship_package
 from evenkeel.llm.simhash import hexed, near_duplicates
+from evenkeel.llm.token_alignment import align_tokenizers
 from evenkeel.llm.url_filter import Entry, judge_urls
 from evenkeel.llm.vector_search import nearest
 from evenkeel.llm.words import documents
@@ -324,3 +326,39 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         hex_text(F.col("folded")).alias("folded_root"),
         (F.col("folded") == F.col("root")).alias("verified"),
     )
+
+
+OP12_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), placed AS (
+  SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS nth FROM texts
+), keyed AS (
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM placed
+), found AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) + CAST(bool_or(doc_id IS NULL) AS INT) >= 3
+), verdicts AS (
+  SELECT r, nth, line, found.key IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS dropped FROM keyed LEFT JOIN found USING (key)
+), kept AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped, string_agg(line, chr(10) ORDER BY nth) FILTER (NOT dropped) AS kept
+  FROM verdicts GROUP BY r
+)
+SELECT doc_id, n_lines, n_dropped, sha256(coalesce(kept, '')) AS kept_sha256 FROM texts JOIN kept USING (r)
+"""
+
+
+@query("op12_line_dedup", OP12_SQL)
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+TOKENIZERS = "/opt/tokenizers"
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return align_tokenizers(docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
