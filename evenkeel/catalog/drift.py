@@ -321,14 +321,17 @@ def _(spark, sf):
 def _(spark, sf):
     events = table(spark, sf, "events")
     snap = drift_snapshot(events, "value", "ts")
-    # The events as files of some days each, written and hence read newest first, one per batch.
-    source, target, checkpoint = (scratch_path(spark, x) for x in ("events", "windows", "windows-checkpoint"))
+    # The events as files of some days each, written and hence read newest first, one per batch. The first half is
+    # counted and compacted, then a stream that knows nothing of it (a new checkpoint) counts the other half.
+    target = scratch_path(spark, "windows")
     newest, oldest = events.select(F.max(F.to_date("ts")), F.min(F.to_date("ts"))).first()
     days = (newest - oldest).days + 1
     age = F.floor(F.datediff(F.lit(newest), F.to_date("ts")) * EVENT_FILES / days)
-    for k in range(EVENT_FILES):
-        events.where(age == k).coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    start_window_counts(stream, "ts", "value", snap, target, checkpoint).awaitTermination()
-    compact_window_counts(spark, target)
+    for half in range(2):
+        source, checkpoint = scratch_path(spark, "events"), scratch_path(spark, "windows-checkpoint")
+        for k in range(half * EVENT_FILES // 2, (half + 1) * EVENT_FILES // 2):
+            events.where(age == k).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        start_window_counts(stream, "ts", "value", snap, target, checkpoint).awaitTermination()
+        compact_window_counts(spark, target)
     return by_day(window_drift(spark, target, snap))

@@ -41,7 +41,7 @@ from evenkeel.plans.training import TrainConfig, TrainResult, prepare_training,
 from evenkeel.session import scratch_path
 from evenkeel.sources.artifacts import load_model
 from evenkeel.sources.tables import read_csv, write_csv
-from evenkeel.streaming.scoring import start_scoring
+from evenkeel.streaming.scoring import quarantined_rows, scored_rows, start_scoring
 
 # ---- evaluation and intervals over a stand-in prediction -------------------------------
 
@@ -657,7 +657,7 @@ def _(spark, sf):
     target, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-checkpoint")
     scorer = Scorer.load(spark, trained(spark, sf)[1])
     start_scoring(ready, scorer, target, checkpoint, BATCH_RULES).awaitTermination()
-    scored, quarantined = (spark.read.parquet(f"{target}/{side}") for side in ("scored", "quarantined"))
+    scored, quarantined = scored_rows(spark, target), quarantined_rows(spark, target)
     good = tidy_scores(scored).withColumn("errors", F.lit(""))
     bounds = [F.lit(None).cast("double").alias(c) for c in ("prediction", "lower_bound", "upper_bound")]
     return good.unionByName(quarantined.select(*LINE_KEY, *bounds, F.concat_ws("; ", "errors").alias("errors")))

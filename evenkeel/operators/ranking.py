@@ -101,7 +101,8 @@ def numbered_within(df: DataFrame, key: str, order: str, tiebreak: Sequence[str]
     quantiles of the order column, numbered within (key, slice), and shifted by the
     number of rows in the key's earlier slices. An order value that fills more than one
     slice is sliced on by a hash of the tiebreak, which orders equal values everywhere.
-    Slice bounds only balance the work, so where they fall never changes the numbers.
+    Slice bounds only balance the work, so where they fall never changes the numbers. Rows without
+    a key are a group of their own.
     """
     cuts = approximate_quantiles(df, F.col(order), slices)
     full = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
@@ -118,6 +119,7 @@ def numbered_within(df: DataFrame, key: str, order: str, tiebreak: Sequence[str]
     sizes = sliced.groupBy(key, "__slice").agg(F.count("*").alias("__size"))
     earlier = Window.partitionBy(key).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("__before", F.coalesce(F.sum("__size").over(earlier), F.lit(0)))
-    shifted = numbered.join(offsets.drop("__size"), [key, "__slice"])
+    offsets = offsets.select(F.col(key).alias("__key"), F.col("__slice").alias("__of"), "__before")
+    shifted = numbered.join(offsets, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__slice") == F.col("__of")))
     return shifted.withColumn(name, F.col(name) + F.col("__before")).select(*df.columns, name)
 

@@ -92,10 +92,13 @@ def promotion_gate(
 
 
 def register_versions(versions: DataFrame, candidates: DataFrame, order: str, stage: str = "None") -> DataFrame:
-    """New version rows for candidate runs: numbers continue from each model's highest."""
-    highest = versions.groupBy("model").agg(F.max(version_number()).alias("__highest"))
+    """New version rows for candidate runs: numbers continue from each model's highest.
+
+    Candidates without a model are numbered among themselves, after versions without one.
+    """
+    highest = versions.groupBy(F.col("model").alias("__model")).agg(F.max(version_number()).alias("__highest"))
     numbered = numbered_within(candidates, "model", order, ["run_id"], "__next")
-    joined = numbered.join(highest, "model", "left")
+    joined = numbered.join(highest, F.col("model").eqNullSafe(F.col("__model")), "left")
     number = F.coalesce(F.col("__highest"), F.lit(0)) + F.col("__next")
     return joined.select("model", number.cast("string").alias("version"), F.lit(stage).alias("stage"), "run_id")
 

@@ -82,6 +82,12 @@ def located_rules(latitude: str = "latitude", longitude: str = "longitude") -> t
     return Rule(latitude, required=True), Rule(longitude, required=True)
 
 
+def rule_messages(df: DataFrame, rules: Sequence[Rule]) -> list[str]:
+    """Every message that ``rules`` can give on the columns of ``df``."""
+    kinds = dict(df.dtypes)
+    return list(dict.fromkeys(message for rule in rules for message, _ in rule.failures(kinds[rule.column])))
+
+
 def validate_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add ``errors`` (array of messages) and ``valid``; no row is removed.
 

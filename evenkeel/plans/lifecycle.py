@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from typing import Any
 from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from evenkeel.operators.clean import latest_per_key
@@ -19,12 +18,12 @@ from evenkeel.operators.registry import (
     champion_metric,
     promote_transition,
     promotion_gate,
-    register_versions,
     resolve_version,
 )
 from evenkeel.plans.monitoring import run_drift_check
 from evenkeel.plans.training import TrainConfig, train_run
 from evenkeel.sources.artifacts import publish_model
+from evenkeel.sources.commits import claim, names, newest, numbered, read, replace
 
 logger = logging.getLogger(__name__)
 
@@ -34,26 +33,26 @@ VERSIONS = "model string, version string, stage string, run_id string, seq bigin
 
 @dataclass(frozen=True)
 class Registry:
-    """``runs`` and a log of stage changes, both append-only parquet under one base path.
-
-    Appending needs no table rewritten in place; the current stage of a version is its newest
-    log row. One writer at a time is required. A run is a folder named by its id, so recording
-    it again replaces it.
+    """``runs`` and a log of stage changes per model, files of JSON rows under one base path.
+
+    A run is a file named by its id, so recording it again replaces it. A change of a model's
+    versions is the next entry of its log; making an entry fails if another writer made one of
+    that number meanwhile, and the change is then worked out anew from the log as it is. So
+    any number of writers may register and promote at once. An entry also carries the highest version
+    so far: a new version needs no look at the older entries. The current stage of a version
+    is its newest log row.
     """
 
     spark: SparkSession
     base: str
 
     def _table(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.base}/{name}")
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], schema)
-            raise
+        if not names(self.spark, f"{self.base}/{name}"):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", True).json(f"{self.base}/{name}")
 
     def runs(self) -> DataFrame:
-        return self._table("runs", RUNS).select("run_id", "model", "test_r2", "path", "created")
+        return self._table("runs", RUNS)
 
     def log(self) -> DataFrame:
         return self._table("version_log", VERSIONS)
@@ -61,42 +60,62 @@ class Registry:
     def versions(self) -> DataFrame:
         return latest_per_key(self.log(), ["model", "version"], "seq", []).drop("seq")
 
-    def _append(self, rows: DataFrame) -> None:
-        last = self.log().agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
-        stamped = rows.withColumn("seq", F.lit(last + 1).cast("bigint"))
-        stamped.select("model", "version", "stage", "run_id", "seq").write.mode("append").parquet(
-            f"{self.base}/version_log"
-        )
+    def _log(self, model: str) -> str:
+        return f"{self.base}/version_log/{quote(model, safe='')}"
+
+    def _head(self, model: str) -> tuple[int, int]:
+        """Number of the newest entry of a model's log, and the highest version up to it."""
+        seq = newest(self.spark, self._log(model))
+        if seq is None:
+            return 0, 0
+        return seq, read(self.spark, f"{self._log(model)}/{numbered(seq)}")[0]["highest"]
+
+    def _commit(self, model: str, seq: int, highest: int, rows: list[tuple[str, str, str]]) -> bool:
+        """Enter (version, stage, run_id) changes under ``seq``; False if another writer was first."""
+        entry = [
+            {"model": model, "version": version, "stage": stage, "run_id": run_id, "seq": seq, "highest": highest}
+            for version, stage, run_id in rows
+        ]
+        return claim(self.spark, f"{self._log(model)}/{numbered(seq)}", entry)
+
+    def _run_file(self, run_id: str) -> str:
+        return f"{quote(run_id, safe='')}.json"
 
     def add_run(self, run_id: str, model: str, test_r2: float | None, path: str) -> None:
-        created = self.runs().where(F.col("run_id") != run_id).count() + 1
-        row = self.spark.createDataFrame([(run_id, model, test_r2, path, created)], RUNS)
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.base}/runs/recorded={quote(run_id, safe='')}")
+        others = [n for n in names(self.spark, f"{self.base}/runs") if n != self._run_file(run_id)]
+        row = {"run_id": run_id, "model": model, "test_r2": test_r2, "path": path, "created": len(others) + 1}
+        replace(self.spark, f"{self.base}/runs/{self._run_file(run_id)}", [row])
 
     def register(self, run_id: str, model: str) -> str:
         """A new version for a run; its number."""
-        candidate = self.runs().where((F.col("run_id") == run_id) & (F.col("model") == model))
-        new = register_versions(self.versions().where(F.col("model") == model), candidate, "created")
-        row = new.first()
-        if row is None:
+        recorded = self._run_file(run_id) in names(self.spark, f"{self.base}/runs")
+        if not recorded or read(self.spark, f"{self.base}/runs/{self._run_file(run_id)}")[0]["model"] != model:
             raise ValueError(f"run '{run_id}' of model '{model}' is not recorded")
-        self._append(self.spark.createDataFrame([tuple(row)], new.schema))
-        return row["version"]
+        while True:
+            seq, highest = self._head(model)
+            version = str(highest + 1)
+            if self._commit(model, seq + 1, highest + 1, [(version, "None", run_id)]):
+                return version
 
     def promote(self, model: str, version: str, stage: str = PRODUCTION) -> str:
         """Move a version to a stage, archiving the previous Production holder; only changes are logged.
 
         A version that isn't there is an error, and nothing is archived.
         """
-        current = self.versions().where(F.col("model") == model)
         target = self.spark.createDataFrame([(model, str(version), stage)], "model string, version string, stage string")
-        if not absent_targets(current, target).isEmpty():
-            raise ValueError(f"model {model!r} has no version {version} to promote")
-        after = promote_transition(current, target)
-        before = current.select("model", "version", F.col("stage").alias("__old"))
-        changed = after.join(before, ["model", "version"]).where(F.col("stage") != F.col("__old"))
-        self._append(changed.drop("__old"))
-        return str(version)
+        while True:
+            seq, highest = self._head(model)
+            log = self.log().where((F.col("model") == model) & (F.col("seq") <= seq))
+            current = latest_per_key(log, ["model", "version"], "seq", []).drop("seq")
+            if not absent_targets(current, target).isEmpty():
+                raise ValueError(f"model {model!r} has no version {version} to promote")
+            after = promote_transition(current, target)
+            before = current.select("model", "version", F.col("stage").alias("__old"))
+            changed = after.join(before, ["model", "version"]).where(F.col("stage") != F.col("__old"))
+            # The version and those that held Production.
+            rows = [(r["version"], r["stage"], r["run_id"]) for r in changed.collect()]
+            if not rows or self._commit(model, seq + 1, highest, rows):
+                return str(version)
 
     def champion(self, model: str, metric: str = METRIC) -> float | None:
         versions = self.versions().where(F.col("model") == model)

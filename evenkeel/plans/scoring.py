@@ -106,8 +106,14 @@ class Scorer:
         The input is normalised once; rules see names, backfills and defaults as the model does.
         ``located`` rules are for callers that demand what the backfill fills.
         """
-        ready = self.normalize(self._keeping(df.drop(*OUTPUTS)))
-        good, bad = split_valid(validate_rows(ready, [*rules, *located]))
+        return self.split(self.checked(df, [*rules, *located]))
+
+    def checked(self, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+        """The normalised input with ``errors`` and ``valid``; ``split`` takes it on."""
+        return validate_rows(self.normalize(self._keeping(df.drop(*OUTPUTS))), rules)
+
+    def split(self, checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+        good, bad = split_valid(checked)
         scored = self._scored(good, ()).withColumn("model_version", F.lit(self.stage.lower()))
         return scored, bad.select("__given.*", "errors")
 

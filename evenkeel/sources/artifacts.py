@@ -1,4 +1,8 @@
-"""Model folders on any path Spark can write: ``pipeline``, ``metadata``, ``config``."""
+"""Model folders on any path Spark can write: ``pipeline``, ``metadata``, ``config``.
+
+A published model is such a folder under a number of its own, ``published=N``, of which the newest
+complete one counts: whoever loads the path gets the old model until the new one is whole.
+"""
 
 from __future__ import annotations
 
@@ -13,8 +17,12 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
+from evenkeel.sources.folders import complete, newest_complete, next_number
+
 logger = logging.getLogger(__name__)
 
+PUBLISHED = "published"
+
 
 def _write_json(spark: SparkSession, path: str, payload: Mapping[str, Any]) -> None:
     line = json.dumps(payload, indent=2, sort_keys=True)
@@ -32,17 +40,23 @@ def _read_json(spark: SparkSession, path: str) -> dict[str, Any] | None:
 
 
 def save_model(
-    spark: SparkSession, pipeline: PipelineModel, metadata: Mapping[str, Any], config: Mapping[str, Any], path: str
+    spark: SparkSession, pipeline: PipelineModel, metadata: Mapping[str, Any], config: Mapping[str, Any] | None, path: str
 ) -> str:
     """Overwrite the folder; metadata last, so a folder with metadata is complete."""
     pipeline.write().overwrite().save(f"{path}/pipeline")
-    _write_json(spark, f"{path}/config", config)
+    if config is not None:
+        _write_json(spark, f"{path}/config", config)
     _write_json(spark, f"{path}/metadata", metadata)
     return path
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict[str, Any]]:
-    """A missing pipeline is an error; missing metadata is an empty dict and a warning."""
+    """A missing pipeline is an error; missing metadata is an empty dict and a warning.
+
+    Of a path that was published to, the newest complete model is loaded.
+    """
+    number = newest_complete(spark, path, PUBLISHED)
+    path = path if number is None else f"{path}/{PUBLISHED}={number}"
     try:
         pipeline = PipelineModel.load(f"{path}/pipeline")
     except (Py4JJavaError, AnalysisException) as e:
@@ -56,7 +70,11 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict[str,
 def publish_model(
     spark: SparkSession, source: str, target: str, model: str, version: str, run_id: str, stage: str = "Production"
 ) -> dict[str, Any]:
-    """Copy a version's folder to a stable path and add where it came from to its metadata."""
+    """Copy a version's folder to a stable path and add where it came from to its metadata.
+
+    A version without a configuration is published without one. Dying half-way leaves the model
+    before it in force.
+    """
     pipeline, metadata = load_model(spark, source)
     # Fixed format: lineage fields of a published model.
     lineage = {
@@ -67,6 +85,7 @@ def publish_model(
         "promotion_timestamp": datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"),
         "artifact_delivery": "local_production_snapshot",
     }
-    config = _read_json(spark, f"{source}/config") or {"note": "No config stored with the run."}
-    save_model(spark, pipeline, metadata | lineage, config, target)
+    place = f"{target}/{PUBLISHED}={next_number(spark, target, PUBLISHED)}"
+    save_model(spark, pipeline, metadata | lineage, _read_json(spark, f"{source}/config"), place)
+    complete(spark, place)
     return metadata | lineage

@@ -40,3 +40,9 @@ def next_number(spark: SparkSession, path: str, name: str) -> int:
 def exists(spark: SparkSession, path: str) -> bool:
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     return root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(root)
+
+
+def complete(spark: SparkSession, path: str) -> None:
+    """Mark a folder that holds several writes as complete."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, MARKER)
+    marker.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(marker, True).close()

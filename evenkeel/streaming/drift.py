@@ -7,7 +7,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from evenkeel.operators.drift import DriftSnapshot, drift_level, logged_price, stored_psi
 from evenkeel.operators.histogram import with_bin
-from evenkeel.sources.folders import newest_complete
+from evenkeel.sources.commits import claim, newest, numbered, read
+from evenkeel.streaming.ledger import Ledger
 
 COUNTS = "start timestamp, bin int, n bigint"
 
@@ -24,13 +25,18 @@ def start_window_counts(
 ) -> StreamingQuery:
     """Keep (window, bin) counts of a stream under ``target``.
 
-    Each micro-batch writes what it adds to the counts, under its own number: there is no state
-    that could expire, so no row is too late to count, and a replayed batch overwrites its folder
-    with the same rows. Values are clipped to the stored edges; those at or below -1, whose
-    logarithm isn't defined, are in the first bin. A row without a value or a time adds nothing.
+    Each micro-batch adds what it counts and enters it in the target's ledger: there is no state
+    that could expire, so no row is too late to count, a replayed batch counts once, and a stream
+    that starts anew with another checkpoint adds to what is there. Values are clipped to the stored
+    edges; those at or below -1, whose logarithm isn't defined, are in the first bin. A row without
+    a value or a time adds nothing.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        ledger = Ledger(batch.sparkSession, target)
+        stream_id = ledger.stream_id(checkpoint)
+        if ledger.holds(stream_id, batch_id):
+            return
         timed = batch.withColumn("__ts", F.col(time).cast("timestamp"))
         binned = with_bin(timed, logged_price(F.col(value)), snapshot.price_log_bin_edges, clipped=True)
         counts = (
@@ -38,8 +44,9 @@ def start_window_counts(
             .groupBy(F.window("__ts", window).alias("w"), "bin")
             .agg(F.count("*").alias("n"))
         )
-        added = counts.select(F.col("w.start").alias("start"), "bin", "n")
-        added.write.mode("overwrite").parquet(f"{target}/added/batch={batch_id}")
+        folder = ledger.fresh_folder("added")
+        counts.select(F.col("w.start").alias("start"), "bin", "n").write.parquet(folder)
+        ledger.commit(stream_id, batch_id, {"added": folder})
 
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if once:
@@ -47,27 +54,49 @@ def start_window_counts(
     return writer.start()
 
 
+def _compaction(spark: SparkSession, target: str) -> tuple[int, str | None, dict[str, int]]:
+    """Number and folder of the newest compacted table, and the last batch per stream that is in it."""
+    number = newest(spark, f"{target}/compactions")
+    if number is None:
+        return -1, None, {}
+    (row,) = read(spark, f"{target}/compactions/{numbered(number)}")
+    return number, row["folder"], row["upto"]
+
+
 def window_counts(spark: SparkSession, target: str) -> DataFrame:
     """(start, bin, n) over all batches: the newest compacted table and what was added since."""
-    base = newest_complete(spark, f"{target}/compacted", "upto")
-    added = spark.read.schema(f"{COUNTS}, batch bigint").parquet(f"{target}/added")
-    rows = added.where(F.col("batch") > (base if base is not None else -1)).drop("batch")
+    _, base, upto = _compaction(spark, target)
+    parts = [Ledger(spark, target).rows("added", COUNTS, upto)]
     if base is not None:
-        rows = rows.unionByName(spark.read.schema(COUNTS).parquet(f"{target}/compacted/upto={base}"))
+        parts.append(spark.read.schema(COUNTS).parquet(base))
+    rows = spark.createDataFrame([], COUNTS)
+    for part in parts:
+        if part is not None:
+            rows = rows.unionByName(part)
     return rows.groupBy("start", "bin").agg(F.sum("n").alias("n"))
 
 
-def compact_window_counts(spark: SparkSession, target: str) -> int:
-    """Sum all finished batches into one table, beside the old one; the last batch in it.
+def compact_window_counts(spark: SparkSession, target: str) -> dict[str, int]:
+    """Sum all entered batches into one table, beside the old one; the last batch in it per stream.
 
-    Run between batches. Readers go by the newest table that is complete, so dying half-way
-    changes nothing; older tables and the batches they hold can be expired afterwards.
+    Runs beside streams and other compactions: batches are summed by their ledger entries, in the
+    order of a stream's numbers, and a table counts once its own entry is made, so dying half-way
+    changes nothing. Folders that a compaction holds can be expired afterwards.
     """
-    added = spark.read.schema(f"{COUNTS}, batch bigint").parquet(f"{target}/added")
-    upto = added.agg(F.max("batch")).first()[0]
-    if upto is not None and upto != newest_complete(spark, f"{target}/compacted", "upto"):
-        window_counts(spark, target).write.mode("overwrite").parquet(f"{target}/compacted/upto={upto}")
-    return upto
+    number, base, upto = _compaction(spark, target)
+    ledger = Ledger(spark, target)
+    added = ledger.entries(upto)
+    if not added:
+        return upto
+    last = dict(upto)
+    for entry in added:
+        last[entry.stream] = max(last.get(entry.stream, -1), entry.batch)
+    rows = spark.read.schema(COUNTS).parquet(*[e.folders["added"] for e in added], *([base] if base else []))
+    folder = ledger.fresh_folder("compacted")
+    rows.groupBy("start", "bin").agg(F.sum("n").alias("n")).write.parquet(folder)
+    if claim(spark, f"{target}/compactions/{numbered(number + 1)}", [{"folder": folder, "upto": last}]):
+        return last
+    return _compaction(spark, target)[2]
 
 
 def window_drift(spark: SparkSession, target: str, snapshot: DriftSnapshot) -> DataFrame:

@@ -10,6 +10,7 @@ from evenkeel.operators.histogram import histogram, psi
 from evenkeel.plans.monitoring import run_drift_check
 from evenkeel.session import scratch_path
 from evenkeel.sources.snapshots import load_snapshot, save_snapshot
+from evenkeel.streaming.ledger import Ledger
 from evenkeel.streaming.drift import compact_window_counts, start_window_counts, window_counts
 
 # A published snapshot.
@@ -77,6 +78,24 @@ def test_stream_counts_every_row_however_late(spark):
     stream = spark.readStream.schema(rows.schema).parquet(source)
     start_window_counts(stream, "ts", "value", STORED, target, checkpoint).awaitTermination()
     assert sum(by_window().values()) == 4010
+    # Another checkpoint over the same files counts them again, after a compaction as before one.
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    start_window_counts(stream, "ts", "value", STORED, target, scratch_path(spark, "cp")).awaitTermination()
+    assert sum(by_window().values()) == 8020
+    compact_window_counts(spark, target)
+    assert sum(by_window().values()) == 8020 and compact_window_counts(spark, target) == compact_window_counts(spark, target)
+
+
+def test_a_replayed_batch_counts_once(spark):
+    ledger = Ledger(spark, scratch_path(spark, "ledger"))
+    first, second = (ledger.fresh_folder("added") for _ in range(2))
+    for folder in (first, second):
+        spark.range(5).write.parquet(folder)
+    assert ledger.rows("added") is None
+    assert ledger.commit("s", 0, {"added": first}) and not ledger.commit("s", 0, {"added": second})
+    assert ledger.holds("s", 0) and not ledger.holds("s", 1) and not ledger.holds("t", 0)
+    assert [e.folders["added"] for e in ledger.entries()] == [first] and ledger.entries({"s": 0}) == []
+    assert ledger.rows("added").count() == 5
 
 
 def test_snapshot_without_edges_is_unknown(listings):

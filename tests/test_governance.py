@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from evenkeel.operators.registry import (
@@ -42,6 +44,52 @@ def test_gate_is_strict(spark, candidate, champion, passed):
     assert promotion_gate(left, right, threshold=0.25).first()["passed"] is passed
 
 
+def test_two_writers_get_distinct_versions(spark, registry):
+    runs = [f"r{i}" for i in range(20)]
+    for run in runs:
+        registry.add_run(run, "m", 0.5, "")
+    with ThreadPoolExecutor(4) as pool:
+        made = list(pool.map(lambda run: registry.register(run, "m"), runs))
+    assert sorted(map(int, made)) == list(range(1, 21))
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda v: registry.promote("m", v), ("3", "7")))
+    stages = [r["stage"] for r in registry.versions().collect()]
+    assert (len(stages), stages.count("Production"), stages.count("Archived")) == (20, 1, 1)
+
+
+def test_publishing_that_dies_leaves_the_old_model(spark, monkeypatch):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    from evenkeel.sources import artifacts
+
+    made = {}
+    for k in (1, 2):
+        made[k] = scratch_path(spark, "candidate")
+        stage = SQLTransformer(statement=f"SELECT *, {k} AS v FROM __THIS__")
+        artifacts.save_model(spark, PipelineModel([stage]), {"k": k}, None, made[k])
+    target = scratch_path(spark, "live")
+    artifacts.publish_model(spark, made[1], target, "m", "1", "a")
+    with monkeypatch.context() as patch:
+        patch.setattr(artifacts, "_write_json", lambda *_: (_ for _ in ()).throw(OSError("full")))
+        with pytest.raises(OSError):
+            artifacts.publish_model(spark, made[2], target, "m", "2", "b")
+    pipeline, metadata = load_model(spark, target)
+    assert metadata["registry_version"] == "1" and pipeline.transform(spark.range(1)).first()["v"] == 1
+    artifacts.publish_model(spark, made[2], target, "m", "2", "b")
+    assert load_model(spark, target)[1]["registry_version"] == "2"
+    with pytest.raises(FileNotFoundError):
+        artifacts.publish_model(spark, scratch_path(spark, "nothing"), target, "m", "3", "c")
+    assert load_model(spark, target)[1]["registry_version"] == "2"
+
+
+def test_candidates_without_a_model_are_kept(spark):
+    versions = spark.createDataFrame([("m", "4", "None", "a"), (None, "2", "None", "b")], VERSIONS)
+    runs = spark.createDataFrame([(None, "y", 2), (None, "x", 1), ("m", "z", 3)], "model string, run_id string, created bigint")
+    out = {r["run_id"]: (r["model"], r["version"]) for r in register_versions(versions, runs, "created").collect()}
+    assert out == {"x": (None, "3"), "y": (None, "4"), "z": ("m", "5")}
+
+
 def test_versions_continue(spark):
     versions = spark.createDataFrame([("m", "9", "None", "a"), ("m", "10", "None", "b")], VERSIONS)
     runs = spark.createDataFrame([("m", "y", 2), ("m", "x", 1), ("n", "z", 3)], "model string, run_id string, created bigint")

@@ -18,7 +18,7 @@ from evenkeel.plans.training import TrainConfig, prepare_training, train_run
 from evenkeel.session import scratch_path
 from evenkeel.sources.artifacts import load_model
 from evenkeel.sources.tables import read_csv, write_csv
-from evenkeel.streaming.scoring import start_scoring
+from evenkeel.streaming.scoring import batch_counts, quarantined_rows, scored_rows, start_scoring
 
 SPEC = IntervalSpec(
     segment_edges=[376396.84762496233, 451704.94425660407, 563068.8811042374, 765686.6680534559],
@@ -162,7 +162,7 @@ def test_stream_scores_like_batch(spark, extract, trained):
     source, target = scratch_path(spark, "feed"), scratch_path(spark, "stream-out")
     extract.repartition(3).write.parquet(source)
     start_scoring(spark.readStream.schema(extract.schema).parquet(source), scorer, target, scratch_path(spark, "cp")).awaitTermination()
-    scored = spark.read.parquet(f"{target}/scored").drop("batch", "model_version")
+    scored = scored_rows(spark, target).drop("model_version")
     assert scored.exceptAll(scorer.predict(extract)).count() == 0 and scored.count() == extract.count()
 
 
@@ -173,10 +173,16 @@ def test_stream_keeps_rows_that_fail(spark, extract, trained):
     rows.repartition(3).write.parquet(source)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
     start_scoring(stream, scorer, target, scratch_path(spark, "cp"), REQUEST_RULES).awaitTermination()
-    good, bad = spark.read.parquet(f"{target}/scored"), spark.read.parquet(f"{target}/quarantined")
+    good, bad = scored_rows(spark, target), quarantined_rows(spark, target)
     assert bad.count() == rows.where("bedrooms = 99").count() > 0
     assert good.count() + bad.count() == rows.count()
     assert {tuple(r["errors"]) for r in bad.collect()} == {("bedrooms: Must be <= 20",)}
+    counted = {r["counter"]: r["n"] for r in batch_counts(spark, target).groupBy("counter").agg(F.sum("n").alias("n")).collect()}
+    assert (counted.pop("rows"), counted.pop("quarantined")) == (rows.count(), bad.count())
+    assert counted.pop("bedrooms: Must be <= 20") == bad.count() and set(counted.values()) == {0}
+    # A stream with a new checkpoint adds its rows to what is there.
+    start_scoring(stream, scorer, target, scratch_path(spark, "cp"), REQUEST_RULES).awaitTermination()
+    assert scored_rows(spark, target).count() + quarantined_rows(spark, target).count() == 2 * rows.count()
 
 
 def test_a_scored_table_can_be_scored_again(spark, extract, trained):
