@@ -3,11 +3,10 @@
 import math
 from collections import Counter, defaultdict
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from evenkeel.llm.language_id import build_models, discount, identify
+from evenkeel.llm.language_id import Models, code_lengths, discounts, folded_letters, gram_table, identify
 from evenkeel.llm.queries import QUERIES
 
 WORDS = {"aa": ["abra", "cad", "abba", "dab", "abra"], "bb": ["bob", "cob", "boc", "ézé"]}
@@ -29,6 +28,7 @@ class Plain:
         self.alphabet = alphabet
         raw = Counter(g for w in words for g in grams(w))
         self.counts = {4: raw}
+        self.known = {}
         for m in (3, 2, 1):
             sums, left = Counter(), defaultdict(set)
             for g, n in raw.items():
@@ -37,34 +37,94 @@ class Plain:
             self.counts[m] = {g: sums[g] if m > 1 and g[0] == 0 else len(left[g]) for g in sums}
             raw = sums
 
+        self.follow = {m: defaultdict(dict) for m in self.counts}
+        for m, table in self.counts.items():
+            for g, n in table.items():
+                self.follow[m][g[:-1]][g] = n
+        self.d = {m: plain_discount(list(table.values())) for m, table in self.counts.items()}
+
     def p(self, gram):
         m = len(gram)
         if m == 0:
             return 1 / (self.alphabet + 1)
-        own = {g: n for g, n in self.counts[m].items() if g[:-1] == gram[:-1]}
+        own = self.follow[m].get(gram[:-1])
         if not own:
             return self.p(gram[1:])
-        d = discount(np.array(list(self.counts[m].values())))
+        d = self.d[m]
         return max(own.get(gram, 0) - d, 0) / sum(own.values()) + d * len(own) / sum(own.values()) * self.p(gram[1:])
 
+    def bits(self, gram):
+        if gram not in self.known:
+            self.known[gram] = -math.log2(self.p(gram))
+        return self.known[gram]
+
+
+def plain_discount(counts):
+    once, twice = sum(n == 1 for n in counts), sum(n == 2 for n in counts)
+    return min(max(once / (once + 2 * twice), 0.1), 0.9) if once and twice else 0.75
+
 
-def test_models_equal_plain_version():
-    tables = {}
-    for name, words in WORDS.items():
-        counts = Counter(packed(g) for w in words for g in grams(w))
-        keys = sorted(counts)
-        tables[name] = (np.array(keys, np.uint64), np.array([counts[k] for k in keys]))
-    models = build_models(tables)
-    alphabet = {c for words in WORDS.values() for w in words for c in w} | {0}
-    tests = [g for w in ("abra", "bobcad", "zeta", "abc", "ézé", "dda") for g in grams(w)]
-    bits = models.bits(np.array([packed(g) for g in tests], np.uint64))
-    for j, name in enumerate(models.languages):
-        plain = Plain(WORDS[name], len(alphabet))
-        for i, g in enumerate(tests):
-            assert bits[i, j] == pytest.approx(-math.log2(plain.p(g)), abs=1e-4)
+def plain_models(words):
+    alphabet = {c for own in words.values() for w in own for c in w} | {0}
+    return {name: Plain(own, len(alphabet)) for name, own in words.items()}, alphabet
+
+
+def test_code_lengths_equal_plain_version(spark):
+    rows = [(j, packed(g), n) for j, name in enumerate(sorted(WORDS)) for g, n in Counter(x for w in WORDS[name] for x in grams(w)).items()]
+    counts = spark.createDataFrame(rows, "lang int, key bigint, n bigint")
+    tests = list(dict.fromkeys(g for w in ("abra", "bobcad", "zeta", "abc", "ézé", "dda") for g in grams(w)))
+    used = spark.createDataFrame([(packed(g), 1) for g in tests], "key bigint, n bigint")
+    got = {r["key"]: r["bits"] for r in code_lengths(used, counts, 2).collect()}
+    models, alphabet = plain_models(WORDS)
+    for j, name in enumerate(sorted(WORDS)):
+        for g in tests:
+            assert got[packed(g)][j] == pytest.approx(-math.log2(models[name].p(g)), rel=1e-9)
         # From any context the probabilities of all symbols, seen or not, make one.
         for context in ((0, 0, 0), (0, ord("a"), ord("b")), (ord("z"),) * 3):
-            assert sum(plain.p((*context, c)) for c in (0, *(ord(a) for a in alphabet if a), 999)) == pytest.approx(1)
+            assert sum(models[name].p((*context, c)) for c in (0, *(ord(a) for a in alphabet if a), 999)) == pytest.approx(1)
+
+
+def words_of(text):
+    table = folded_letters()
+    return [w for w in "".join(chr(table[ord(c)]) if table[ord(c)] else " " for c in text or "").split(" ") if w]
+
+
+def test_judged_texts_equal_plain_version(spark, sf):
+    """All n-grams of the table's texts count, however few are sent to executors."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    rows = docs.collect()
+    train = lambda i: i % 4 != 2
+    words = defaultdict(list)
+    for r in rows:
+        if train(r["doc_id"]):
+            words[r["lang"]] += words_of(r["text"])
+    models, _ = plain_models(words)
+    assert all(plain_discount(list(m.counts[4].values())) not in (0.75, 0.1, 0.9) for m in models.values())
+    learnt = F.when(F.col("doc_id") % 4 != 2, F.col("lang"))
+    ready = docs.repartition(3)
+    got = {r["doc_id"]: r for r in Models(ready, "text", learnt, None).judge(ready, False).collect()}
+    few = {r["doc_id"]: r for r in Models(ready, "text", learnt, 2).judge(ready, False).collect()}
+    assert len(got) == len(few) == len(rows)
+    for r in rows:
+        one, other = got[r["doc_id"]], few[r["doc_id"]]
+        assert (one["lang_pred"], one["_symbols"]) == (other["lang_pred"], other["_symbols"])
+        assert one["_entropy"] == pytest.approx(other["_entropy"], rel=1e-9)
+    for name in models:
+        for r in sorted((r for r in rows if r["lang"] == name and r["text"]), key=lambda r: len(r["text"]))[:12]:
+            gs = [g for w in words_of(r["text"]) for g in grams(w)]
+            if not gs:
+                continue
+            each = {k: sum(m.bits(g) for g in gs) / len(gs) for k, m in models.items()}
+            best = min(sorted(each), key=each.get)
+            assert got[r["doc_id"]]["lang_pred"] == best
+            assert got[r["doc_id"]]["_entropy"] == pytest.approx(each[best], rel=1e-9)
+
+
+def test_discounts_come_from_the_counts_of_counts(spark):
+    rows = [(0, 10 + i, 1) for i in range(5)] + [(0, 20 + i, 2) for i in range(3)] + [(1, 5, 1)]
+    grams_4 = gram_table(spark.createDataFrame(rows, "lang int, key bigint, n bigint"))
+    got = {r["lang"]: r["d"] for r in discounts(grams_4).where("order = 4").collect()}
+    assert got[0] == pytest.approx(5 / 11) and got[1] == 0.75
 
 
 def test_cases(spark):
@@ -90,6 +150,13 @@ def test_foreign_letters_are_rejected(spark):
     assert got[100] and got[101] and not got[102] and not any(got[i] for i in range(40))
 
 
+@pytest.mark.parametrize("name", ("lang_pred", "_entropy", "_symbols", "_learnt"))
+def test_clashing_names(spark, name):
+    df = spark.createDataFrame([("a", "en", 1)], f"text string, lang string, {name} int")
+    with pytest.raises(ValueError):
+        identify(df, F.lit(True))
+
+
 def test_query_is_right_on_held_out_texts(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", F.length("text").alias("n"))
     got = QUERIES["op5_language_id"](spark, sf).where("held_out").join(docs, "doc_id").where("n > 40")
