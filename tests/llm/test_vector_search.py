@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evenkeel.llm.queries import QUERIES
-from evenkeel.llm.vector_search import GraphRule, build_graph, embedded, beam_search, nearest
+from evenkeel.llm.vector_search import GraphRule, Shard, build_shard, nearest, search_shard, shard_plan
 
 SMALL = GraphRule(least_shards=3)
 
@@ -26,16 +26,59 @@ def by_query(df):
     return {q: [x[1:] for x in sorted(rows)] for q, rows in out.items()}
 
 
-def test_graph_finds_neighbours_of_unequal_norms():
+def shard_recall(x, rule, k=20, asks=150):
+    band = int(np.floor(np.log2(np.linalg.norm(x, axis=1)).max() + 1e-9))
+    shard = build_shard([np.array([i]) for i in range(len(x))], x, band, k, rule)
+    row, found, score = search_shard(Shard.unpacked(shard.packed()), np.arange(asks), x[:asks], k)
+    true = x[:asks] @ x.T
+    true[np.arange(asks), np.arange(asks)] = -np.inf
+    best = np.argsort(-true, axis=1)[:, :k]
+    assert score == pytest.approx(true[row, found])
+    return np.mean([len(set(found[row == i]) & set(best[i])) / k for i in range(asks)]), shard
+
+
+def test_one_large_shard_keeps_its_recall():
+    """5,000 vectors in one shard: the graph, not the number of shards, finds them. README has 20,000."""
     rng = np.random.default_rng(1)
+    unit = lambda y: y / np.linalg.norm(y, axis=1, keepdims=True)
+    clusters = rng.normal(size=(50, 24))[rng.integers(0, 50, 5000)] + 0.3 * rng.normal(size=(5000, 24))
+    for x in (unit(rng.normal(size=(5000, 24))), unit(clusters)):
+        recall, shard = shard_recall(x, GraphRule())
+        assert recall >= 0.9 and shard.beam < 5000
+
+
+def test_unequal_norms_in_one_band():
+    rng = np.random.default_rng(2)
     x = rng.normal(size=(3000, 24)) * rng.uniform(0.2, 2, (3000, 1))
-    points = embedded(x, np.linalg.norm(x, axis=1).max())
-    edges, entry = build_graph(points, GraphRule())
-    asks = np.hstack([x[:100], np.zeros((100, 1))]).astype(np.float32)
-    found, near = beam_search(points, edges, entry, asks, GraphRule().beam)
-    true = np.argsort(-(x[:100] @ x.T), axis=1)[:, :20]
-    assert np.mean([len(set(a[:20]) & set(b)) / 20 for a, b in zip(found, true)]) >= 0.9
-    assert (np.diff(near, axis=1) >= 0).all()
+    assert shard_recall(x, GraphRule())[0] >= 0.9
+
+
+@pytest.mark.parametrize("length", (1e3, 1e5, 1e200))
+def test_one_long_vector_takes_nothing_from_the_others(spark, length):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(800, 16))
+    x[17] *= length
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = by_query(nearest(df, F.col("vec_id") % 20 == 0, 20, GraphRule(least_shards=2)))
+    true = brute(np.arange(800), x, range(0, 800, 20), 20)
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in true[q]}) / 20 for q in true]) >= 0.9
+
+
+def test_queries_in_several_blocks(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = by_query(nearest(df, F.col("vec_id") % 3 == 0, 5, GraphRule(least_shards=3, query_block=30)))
+    assert {q: [i for i, _ in rows] for q, rows in got.items()} == {
+        q: [i for i, _ in rows] for q, rows in brute(np.arange(300), x, range(0, 300, 3), 5).items()
+    }
+
+
+def test_shards_hold_no_more_than_their_bound():
+    rule = GraphRule(least_shards=12, shard_rows=1000)
+    plan = shard_plan([(64, 0, 100_000), (64, 9, 1), (2, 0, 500)], rule)
+    assert plan == [(2, 0, 0, 1), (64, 0, 1, 100), (64, 9, 101, 1)]
+    assert sum(s for *_, s in shard_plan([(64, 0, 50)], rule)) == 12
 
 
 def test_few_and_odd_vectors(spark):
