@@ -1,4 +1,4 @@
-from evenkeel.catalog import drift, governance, models, tables
+from evenkeel.catalog import drift, governance, keyed, models, tables
 from evenkeel.catalog.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "drift", "governance", "models", "tables"]
+__all__ = ["ORACLES", "QUERIES", "drift", "governance", "keyed", "models", "tables"]

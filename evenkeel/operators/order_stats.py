@@ -100,20 +100,22 @@ def _evenly(steps: int) -> Column:
     return F.expr(f"array({', '.join(f'{i / steps!r}D' for i in range(steps + 1))})")
 
 
-def _sketched(df: DataFrame, keys: Sequence[str], value: str, steps: int) -> DataFrame:
+def sketched(
+    df: DataFrame, keys: Sequence[str], value: str, steps: int, accuracy: int = SKETCH_ACCURACY, mergers: int = MERGERS
+) -> DataFrame:
     """(keys, n, grid): row count and about evenly spaced quantiles of ``value`` per key.
 
     Sketches of all tasks would meet in one reducer per key. They are merged in
-    ``MERGERS`` groups first, and the groups' quantiles are then merged by weight:
-    at most MERGERS * (steps + 1) points per key. The group a task falls into
+    ``mergers`` groups first, and the groups' quantiles are then merged by weight:
+    at most mergers * (steps + 1) points per key. The group a task falls into
     shifts the estimate a little and nothing else.
     """
     grid = _evenly(steps)
-    salted = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(MERGERS)))
+    salted = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(mergers)))
     partial = salted.groupBy(*keys, "__salt").agg(
         F.count("*").alias("__n"),
         F.count(value).alias("__m"),
-        F.percentile_approx(value, grid, SKETCH_ACCURACY).alias("__g"),
+        F.percentile_approx(value, grid, accuracy).alias("__g"),
     )
     points = partial.select(*keys, "__n", "__m", F.posexplode_outer("__g").alias("__at", "__p"))
     counted = F.sum(F.when(F.coalesce("__at", F.lit(0)) == 0, F.col("__n")))
@@ -123,7 +125,7 @@ def _sketched(df: DataFrame, keys: Sequence[str], value: str, steps: int) -> Dat
 def approximate_quantiles(df: DataFrame, column: Column, parts: int) -> list[float]:
     """Inner cut points that split a column into about equal parts; a value that fills several is repeated."""
     series = long_series(df, [(0, column)])
-    row = _sketched(series, ["series"], "x", parts).first()
+    row = sketched(series, ["series"], "x", parts).first()
     return sorted(row["grid"][1:-1]) if row else []
 
 
@@ -141,7 +143,7 @@ def _expected(rows: int, low: float | None, high: float | None) -> int:
 def _sketch_pass(series: DataFrame, searches: Mapping[int, _Search]) -> int:
     """Count every gap and bound, narrow around the pending ranks; estimated band rows."""
     rows: dict[int, list] = {}
-    for r in _sketched(_coded(series, searches), ["series", "code"], "v", GRID).collect():
+    for r in sketched(_coded(series, searches), ["series", "code"], "v", GRID).collect():
         rows.setdefault(r["series"], []).append(r)
     band = 0
     for number, search in searches.items():
@@ -205,7 +207,7 @@ def order_statistics(series: DataFrame, ranks_of) -> dict[int, tuple[int, dict[i
     """
     searches: dict[int, _Search] = {}
     band = 0
-    for r in _sketched(series, ["series"], "x", GRID).collect():
+    for r in sketched(series, ["series"], "x", GRID).collect():
         search = _Search(size=r["n"], pending=sorted(set(ranks_of(r["series"], r["n"]))))
         brackets = [_bracket(r["grid"], k / r["n"], None, None) for k in search.pending]
         band += sum(_expected(r["n"], *ends) for ends in brackets)

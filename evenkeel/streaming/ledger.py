@@ -9,7 +9,6 @@ replaces what another stream wrote. Entries may hold counts of their batch.
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -35,8 +34,7 @@ class Ledger:
 
     def stream_id(self, checkpoint: str) -> str:
         """The id that Spark gives a stream with its checkpoint."""
-        text = self.spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()["value"]
-        return json.loads(text)["id"]
+        return read(self.spark, f"{checkpoint}/metadata")[0]["id"]
 
     def fresh_folder(self, kind: str) -> str:
         return f"{self.target}/{kind}/{uuid.uuid4().hex}"
