@@ -1,21 +1,24 @@
 """Mixing sources to target weights: token blocks drawn per output shard.
 
 Each source's words, in a reproducible shuffled order of its documents, are one stream cut into
-blocks of ``block_words``. The mix is a list of slots in shards. In every shard the slots fall to
-the sources by a multinomial draw in which each slot has its own stratum of the unit interval, so
-that a source's count in a shard differs from its expectation by less than one; with the shares
-summed over the sources, how many draws lie below a bound is known from the one stratum that the
-bound cuts, and the counts cost one row per shard and source. A source numbers its slots through
-all shards; slot k takes block ``permute(k mod n)`` of the source's n blocks, by another keyed
-permutation of the indexes for each pass over the stream. Slots and blocks are joined by index.
+blocks of ``block_words``. The mix is a list of slots in shards, of which a source has as many as hold its target.
+A shard's counts are multinomial draws under the condition that all shards together
+meet these totals: the slots of all sources, side by side, are dealt out by one keyed permutation, so
+that a shard is a draw without replacement from all of them and its counts spread as such draws do, while a source
+gets its target whatever the size of the table. The permuted number of a slot tells both its source, by
+the source's range of numbers, and which of the source's slots it is; slot k takes block ``permute(k mod n)`` of
+the source's n blocks, by another keyed permutation of the indexes for each pass over the stream.
+Slots and blocks are joined by index.
 
 All is native column work. Texts are reduced to their sizes before anything moves. A source that
 holds a third of all rows is cut into chunks for its prefix sums, and its blocks are as many keys.
-Only the table of sources, one row each, is ordered in one task: sources are collections, not hosts.
+Ranges of numbers are found by cells, as many rows as cells and sources together. Only the table of sources,
+one row each and no more than ``MAX_SOURCES``, is ordered in one task.
 
 Defined cases: a null source is a source, ordered last; a null text has size 0; documents without
 words take no room, are in no block and have ``taken`` 0; repeated rows are documents each; long
-documents span blocks; equal seeds give equal mixes; an empty table gives an empty result.
+documents span blocks; equal seeds give equal mixes; an empty table gives an empty result; columns other than
+those named are not read.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from evenkeel.session import materialize
 ROUNDS = 3
 SHORT_WALK, LONG_WALK = 6, 64
 TASK_SLOTS, MAX_TASKS = 1 << 15, 10_000
+MAX_SOURCES = 5_000_000
+CELLS = 4096
 FACTOR_BITS = 22  # index bits (40 at most) and these stay within a long
 
 
@@ -51,6 +56,9 @@ def source_targets(sized: DataFrame, rule: MixRule) -> DataFrame:
     the sources by the level at which they are reached.
     """
     sums = sized.groupBy("_key").agg(F.sum("size").alias("source_size"), F.first(F.col("source").isNull()).alias("_null"))
+    sums = materialize(sums, "mix-sources")
+    if (found := sums.count()) > MAX_SOURCES:
+        raise ValueError(f"{found} sources are too many to be ordered in one task")
     place = F.row_number().over(Window.orderBy("_null", "_key")) - 1
     weights = F.array(*[F.lit(float(w)) for w in rule.weights])
     weighted = sums.select(
@@ -69,52 +77,23 @@ def source_targets(sized: DataFrame, rule: MixRule) -> DataFrame:
     return levels.select("_key", "source_size", F.least(F.col("limit"), F.col("weight") * reached).alias("target"))
 
 
-def sized_documents(docs: DataFrame, text: str, source: str) -> DataFrame:
+def sized_documents(docs: DataFrame, text: str, source: str, doc_id: str) -> DataFrame:
     """doc_id, source, size and a key for the source that is never null."""
     key = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
     return docs.select(
-        "doc_id", F.col(source).alias("source"), key.alias("_key"), word_count(pieces(F.col(text))).alias("size")
+        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), key.alias("_key"), word_count(pieces(F.col(text))).alias("size")
     )
 
 
-def source_counts(targets: DataFrame, rule: MixRule) -> DataFrame:
-    """How many slots each shard gives each source, and the source's number of its first slot there."""
-    blocks = F.ceil(F.col("source_size") / rule.block_words)
-    wanted = F.col("target") * F.col("blocks") / F.col("source_size")  # slots whose blocks hold the target
-    with_words = targets.where("source_size > 0").withColumn("blocks", blocks.cast("long")).withColumn("wanted", wanted)
+def slot_ranges(targets: DataFrame, rule: MixRule) -> DataFrame:
+    """Per source with slots: its number of blocks, and the numbers ``low`` to ``high`` (excluded) of its slots."""
+    blocks = F.ceil(F.col("source_size") / rule.block_words).cast("long")
+    wanted = F.round(F.col("target") * F.col("blocks") / F.col("source_size")).cast("long")
+    slots = F.least(wanted, F.col("blocks") * rule.max_repeats)  # as many blocks as hold the target
+    counted = targets.where("source_size > 0").withColumn("blocks", blocks).withColumn("slots", slots).where("slots > 0")
     upto = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
-    shares = with_words.select(
-        "_key",
-        "blocks",
-        F.coalesce(F.sum("wanted").over(before), F.lit(0.0)).alias("low"),
-        F.sum("wanted").over(upto).alias("high"),
-        F.sum("wanted").over(Window.partitionBy()).alias("whole"),
-    ).withColumn("slots", F.round("whole").cast("long"))
-    shards = F.ceil(F.col("slots") / rule.shard_slots).cast("int")
-    hundreds = F.explode(F.sequence(F.lit(0), F.floor((shards - 1) / 100).cast("int"))).alias("hundred")
-    spread = shares.where("slots > 0").select("*", shards.alias("shards"), hundreds).repartition("_key", "hundred")
-    first = F.col("hundred") * 100
-    dealt = spread.select(
-        "*", F.explode(F.sequence(first, F.least(first + 99, F.col("shards") - 1))).alias("shard")
-    ).withColumn("n", F.least(F.lit(rule.shard_slots), F.col("slots") - F.col("shard").cast("long") * rule.shard_slots))
-
-    def below(bound: Column) -> Column:
-        """How many of the shard's n draws lie below this share of the whole."""
-        at = F.least(bound / F.col("whole"), F.lit(1.0)) * F.col("n")
-        stratum = F.floor(at)
-        return stratum + (unit_draw(F.lit(rule.seed), F.col("shard"), stratum) < at - stratum).cast("long")
-
-    counted = dealt.select("_key", "blocks", "shard", below(F.col("low")).alias("from"), below(F.col("high")).alias("to"))
-    numbered = Window.partitionBy("_key").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return counted.select(
-        "_key",
-        "blocks",
-        "shard",
-        (F.col("to") - F.col("from")).alias("slots"),
-        F.col("from").alias("first_place"),
-        F.coalesce(F.sum(F.col("to") - F.col("from")).over(numbered), F.lit(0)).alias("first_slot"),
-    )
+    ends = counted.select("_key", "blocks", "slots", F.sum("slots").over(upto).alias("high"))
+    return ends.select("_key", "blocks", (F.col("high") - F.col("slots")).alias("low"), "high")
 
 
 def permuted(slots: DataFrame) -> DataFrame:
@@ -151,29 +130,36 @@ def permuted(slots: DataFrame) -> DataFrame:
     return far.withColumn("block", F.when(F.col("_far") < size, F.col("_far")).otherwise(lost)).drop("_mask", "_half", "_near", "_far")
 
 
-def mix_slots(counts: DataFrame, rule: MixRule, slots: int) -> DataFrame:
-    """One row per slot: shard, place in the shard, the source's key and the index of its block.
-
-    ``slots`` is their number, for dealing them over tasks before they are made.
-    """
+def mix_slots(ranges: DataFrame, rule: MixRule, slots: int) -> DataFrame:
+    """One row per slot: shard, place in the shard, the source's key, the pass over it and the index of its block."""
     tasks = max(1, min(-(-slots // TASK_SLOTS), MAX_TASKS))
-    dealt = counts.where("slots > 0").repartition(tasks, "_key", "shard")
-    place = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("i")
-    made = dealt.select("_key", "blocks", "shard", "first_place", "first_slot", place)
-    slot = F.col("first_slot") + F.col("i")
-    numbered = made.select(
+    made = ranges.sparkSession.range(0, slots, 1, tasks).select(
+        F.floor(F.col("id") / rule.shard_slots).cast("int").alias("shard"),
+        (F.col("id") % rule.shard_slots).alias("place"),
+        F.col("id").alias("index"),
+        F.lit(slots).cast("long").alias("blocks"),
+        F.lit("").alias("_key"),
+        F.lit(-1).alias("pass"),
+    )
+    dealt = permuted(made.withColumn("rounds", rounds(rule))).select("shard", "place", F.col("block").alias("number"))
+    width = max(1, -(-slots // CELLS))
+    cells = F.explode(F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))).alias("cell")
+    within = (F.col("number") >= F.col("low")) & (F.col("number") < F.col("high"))
+    owned = dealt.withColumn("cell", F.floor(F.col("number") / width)).join(ranges.select("*", cells), "cell").where(within)
+    slot = F.col("number") - F.col("low")
+    numbered = owned.select(
         "_key",
         "blocks",
         "shard",
-        (F.col("first_place") + F.col("i")).alias("place"),
+        "place",
         (slot % F.col("blocks")).alias("index"),
         F.floor(slot / F.col("blocks")).cast("int").alias("pass"),
-    ).where(F.col("pass") < rule.max_repeats)  # a draw may exceed the limit by a slot
+    )
     return permuted(numbered.withColumn("rounds", rounds(rule))).select("_key", "shard", "place", "pass", "block")
 
 
 def rounds(rule: MixRule) -> Column:
-    """Keys and odd factors of the permutation of a source in one pass over it."""
+    """Keys and odd factors of the permutation of a source in one pass over it; of all slots with no source and pass -1."""
     low = F.lit((1 << FACTOR_BITS) - 1).cast("long")
     hashes = [F.xxhash64(F.lit(rule.seed), "_key", "pass", F.lit(r)) for r in range(2 * ROUNDS)]
     return F.array(
@@ -235,33 +221,37 @@ class Mix:
         return every.join(self.targets, "_key").select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
-def mix_sources(docs: DataFrame, rule: MixRule = MixRule(), text: str = "text", source: str = "source") -> Mix:
-    sized = materialize(sized_documents(docs, text, source), "mix-sizes")
+def mix_sources(
+    docs: DataFrame, rule: MixRule = MixRule(), text: str = "text", source: str = "source", doc_id: str = "doc_id"
+) -> Mix:
+    sized = materialize(sized_documents(docs, text, source, doc_id), "mix-sizes")
     targets = materialize(source_targets(sized, rule), "mix-targets")
     placed = materialize(placed_documents(sized, rule), "mix-places")
-    counts = materialize(source_counts(targets, rule), "mix-counts")
-    slots = mix_slots(counts, rule, counts.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0])
+    ranges = materialize(slot_ranges(targets, rule), "mix-ranges")
+    slots = mix_slots(ranges, rule, ranges.agg(F.coalesce(F.max("high"), F.lit(0))).first()[0])
     return Mix(sized, targets, placed, slots, document_spans(placed, rule))
 
 
-def repeat_documents(docs: DataFrame, rule: MixRule = MixRule()) -> DataFrame:
+def repeat_documents(
+    docs: DataFrame, rule: MixRule = MixRule(), doc_id: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
     """Whole documents as often as the mix takes their words: ``docs`` with rows repeated or left out.
 
     A document of which the mix takes t words of n comes t div n times, and once more with the
     probability of the rest, drawn from its id. Documents without words leave.
     """
-    taken = mix_sources(docs, rule).taken().where("taken > 0")
+    taken = mix_sources(docs, rule, text, source, doc_id).taken().where("taken > 0")
     # Rows alike in id, source and size share what they were given.
     alike = taken.groupBy("doc_id", "source", "size").agg(
         (F.sum("taken") / F.count(F.lit(1)) / F.col("size")).alias("_share")
     )
-    keys = [F.col("doc_id"), F.col("source"), word_count(pieces(F.col("text")))]
-    right = alike.toDF("_doc_id", "_source", "_size", "_share")
-    matched = docs.join(
-        right.hint("merge"), keys[0].eqNullSafe(F.col("_doc_id")) & keys[1].eqNullSafe(F.col("_source")) & (keys[2] == F.col("_size"))
+    given = docs.withColumn("_given", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select(
+        "_given", F.col(doc_id).alias("_own"), F.col(source).alias("_from"), word_count(pieces(F.col(text))).alias("_words")
     )
+    right = alike.toDF("_doc_id", "_source", "_size", "_share")
+    same = F.col("_own").eqNullSafe(F.col("_doc_id")) & F.col("_from").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size"))
+    matched = given.join(right.hint("merge"), same)
     whole = F.floor(F.col("_share"))
-    extra = unit_draw(F.lit(rule.seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) < F.col("_share") - whole
+    extra = unit_draw(F.lit(rule.seed), F.coalesce(F.col("_own").cast("string"), F.lit("-"))) < F.col("_share") - whole
     times = (whole + extra.cast("long")).cast("int")
-    repeated = matched.withColumn("_time", F.explode(F.array_repeat(F.lit(0), times)))
-    return repeated.select(*[matched[c] for c in docs.columns])
+    return matched.withColumn("_time", F.explode(F.array_repeat(F.lit(0), times))).select("_given.*")

@@ -1,8 +1,9 @@
 """A reproducible shuffled order within groups, and sums along it, with no group in one task.
 
 Rows are ordered by the MD5 of their identity. A prefix of that text cuts every group into chunks
-of about ``CHUNK_ROWS`` rows; sums within a chunk and the sums of whole chunks before it add up to
-the sum along the whole group, however large the group is and however many chunks it is cut into.
+of about ``CHUNK_ROWS`` rows, and half of that prefix cuts them into coarse ones. The sum along the whole group is that
+within a chunk, plus whole chunks before it in its coarse one, plus whole coarse ones before that: a group of 10^11 rows
+has 4,096 coarse chunks of 65,536 chunks each.
 """
 
 from __future__ import annotations
@@ -29,9 +30,13 @@ def sum_before(df: DataFrame, group: str, value: str, ties: list[str]) -> DataFr
     ``group`` holds no nulls. Rows equal in ``_order`` and ``ties`` are alike, so their order is free.
     """
     earlier = (Window.unboundedPreceding, -1)
-    by_chunk = Window.partitionBy(group).orderBy("_chunk").rowsBetween(*earlier)
-    chunks = df.groupBy(group, "_chunk").agg(F.sum(value).alias("_sum"))
-    offsets = chunks.select(group, "_chunk", F.coalesce(F.sum("_sum").over(by_chunk), F.lit(0)).alias("_offset"))
+    before = lambda *keys: F.coalesce(F.sum("_sum").over(Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(*earlier)), F.lit(0))
+    coarse = F.expr("substring(_chunk, 1, length(_chunk) div 2)")
+    chunks = df.groupBy(group, "_chunk").agg(F.sum(value).alias("_sum")).withColumn("_coarse", coarse)
+    whole = chunks.groupBy(group, "_coarse").agg(F.sum("_sum").alias("_sum"))
+    whole = whole.select(group, "_coarse", before(group, "_coarse").alias("_far"))
+    near = chunks.select(group, "_chunk", "_coarse", before(group, "_coarse", "_chunk").alias("_near"))
+    offsets = near.join(whole, [group, "_coarse"]).select(group, "_chunk", (F.col("_near") + F.col("_far")).alias("_offset"))
     inside = Window.partitionBy(group, "_chunk").orderBy("_order", *ties).rowsBetween(*earlier)
     summed = df.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     return (

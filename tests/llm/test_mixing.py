@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evenkeel.llm.mixing import MixRule, mix_sources, permuted, repeat_documents, rounds, source_targets
+from evenkeel.llm.ordering import shuffled, sum_before
 from evenkeel.llm.queries import QUERIES
 
 
@@ -84,6 +85,73 @@ def test_mix_takes_near_its_targets(spark, corpus):
     assert sorted(map(str, rows)) == sorted(map(str, mix_sources(corpus.repartition(7), rule).taken().collect()))
 
 
+def test_taken_equals_plain_count_of_the_slots(spark, corpus):
+    """What a document gives is counted again from the mix's slots and the documents' places, word by word."""
+    rule = MixRule(block_words=16, shard_slots=500)
+    mix = mix_sources(corpus, rule)
+    times = Counter((r["_key"], r["block"]) for r in mix.slots.collect())
+    placed = mix.placed.collect()
+    by_source = defaultdict(list)
+    for r in placed:
+        by_source[r["_key"]].append(r)
+    want = []
+    for key, rows in by_source.items():
+        at = 0
+        for r in sorted(rows, key=lambda r: r["start"]):
+            assert r["start"] == at  # the stream has no gaps
+            want.append((str(r["doc_id"]), r["size"], sum(times[key, w // 16] for w in range(at, at + r["size"]))))
+            at += r["size"]
+    got = [(str(r["doc_id"]), r["size"], r["taken"]) for r in mix.taken().where("size > 0").collect()]
+    assert sorted(got) == sorted(want)
+    # Slots of a source: no block oftener than the passes, and in each pass but the last every block once.
+    sizes = {r["_key"]: r["source_size"] for r in mix.targets.collect()}
+    passes = Counter((r["_key"], r["pass"], r["block"]) for r in mix.slots.collect())
+    assert set(passes.values()) == {1} and all(p < 3 and b < -(-sizes[k] // 16) for k, p, b in passes)
+
+
+def test_shards_spread_as_multinomial_draws(spark):
+    """Counts of a source over shards vary as in draws with its share; a systematic deal would vary by a quarter at most."""
+    rows = [(i, "w " * n, s) for i, (s, n) in enumerate([("a", 4000), ("b", 2000), ("c", 1500)] * 8)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    slots = mix_sources(df, MixRule(block_words=1, shard_slots=100)).slots
+    table = defaultdict(Counter)
+    for r in slots.groupBy("_key", "shard").count().collect():
+        table[r["_key"]][r["shard"]] = r["count"]
+    shards = max(max(c) for c in table.values())  # the last one may be short
+    assert shards >= 500
+    for counts in table.values():
+        own = [counts[k] for k in range(shards)]
+        mean = sum(own) / shards
+        variance = sum((x - mean) ** 2 for x in own) / shards
+        share = mean / 100
+        assert variance == pytest.approx(100 * share * (1 - share), rel=0.25)
+    whole = [sum(c[k] for c in table.values()) for k in range(shards)]
+    assert set(whole) == {100}
+
+
+def test_sums_in_three_levels(spark, monkeypatch):
+    monkeypatch.setattr("evenkeel.llm.ordering.CHUNK_ROWS", 2)
+    df = spark.range(3000).select(F.lit("g").alias("g"), "id", (F.col("id") % 7 + 1).alias("v"))
+    ordered = shuffled(df, [F.col("id")], 3000)
+    order = [r["id"] for r in ordered.orderBy("_order").collect()]
+    got = {r["id"]: r["_before"] for r in sum_before(ordered, "g", "v", ["id"]).collect()}
+    at = 0
+    for i in order:
+        assert got[i] == at
+        at += i % 7 + 1
+
+
+def test_too_many_sources_are_refused(spark, corpus, monkeypatch):
+    monkeypatch.setattr("evenkeel.llm.mixing.MAX_SOURCES", 2)
+    with pytest.raises(ValueError):
+        mix_sources(corpus)
+
+
+def test_other_names(spark, corpus):
+    renamed = corpus.withColumnsRenamed({"doc_id": "id", "text": "_words", "source": "_share"})
+    assert repeat_documents(renamed, doc_id="id", text="_words", source="_share").columns == renamed.columns
+
+
 def test_whole_documents(spark, corpus):
     out = repeat_documents(corpus)
     assert out.columns == corpus.columns
