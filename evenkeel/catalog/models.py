@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import cache
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -33,10 +34,10 @@ from evenkeel.operators.features import (
     transform_features,
 )
 from evenkeel.operators.intervals import flat_interval, forest_interval, interval_report, segment_width, segmented_interval
-from evenkeel.operators.ranking import split_exact
+from evenkeel.operators.ranking import hash_number, split_exact, split_in_three
 from evenkeel.operators.validate import Rule
 from evenkeel.plans.lifecycle import Registry, run_lifecycle
-from evenkeel.plans.scoring import Scorer, score_file
+from evenkeel.plans.scoring import Scorer, contract_report, score_file, score_records
 from evenkeel.plans.training import TrainConfig, TrainResult, prepare_training, train_run
 from evenkeel.session import scratch_path
 from evenkeel.sources.artifacts import load_model
@@ -238,6 +239,35 @@ def _(spark, sf):
     return split_exact(table(spark, sf, "orders").select("o_orderkey"), 0.2, 42, ["o_orderkey"])
 
 
+THREE_SQL = """SELECT *, CASE WHEN k <= ceil(CAST(0.2 AS DOUBLE) * n) THEN 'test'
+      WHEN k <= ceil(CAST(0.2 AS DOUBLE) * n) + ceil(CAST(0.15 AS DOUBLE) * n) THEN 'calibration' ELSE 'train' END AS part
+    FROM (SELECT *, row_number() OVER (ORDER BY md5('42:' || o_orderkey)) AS k, count(*) OVER () AS n FROM {source})"""
+
+
+def in_three(df):
+    return split_in_three(df.withColumn("__n", hash_number(42, ["o_orderkey"])), "__n", 0.2, 0.15).drop("__n")
+
+
+@query("split_three", f"SELECT o_orderkey, part FROM ({THREE_SQL.format(source='orders')})")
+def _(spark, sf):
+    return in_three(table(spark, sf, "orders").select("o_orderkey"))
+
+
+@query(
+    "coverage_unseen",
+    f"""WITH three AS ({THREE_SQL.format(source=PREDICTED_SQL)}), {calibration_sql("(SELECT * FROM three WHERE part = 'calibration')")},
+        t AS (SELECT *, greatest(prediction, 0.0) AS lvl FROM three WHERE part = 'test'),
+        b AS (SELECT t.*, CAST(lvl >= e1 AS INT) + CAST(lvl >= e2 AS INT) + CAST(lvl >= e3 AS INT) + CAST(lvl >= e4 AS INT) AS segment FROM t, ed)
+        SELECT round(avg(CAST(actual BETWEEN greatest(0.0, lvl * (1 - width)) AND lvl * (1 + width) AS DOUBLE)), 9) AS coverage,
+          count(*) AS rows, (SELECT count(*) FROM three WHERE part = 'calibration') AS calibration_rows FROM b JOIN sw USING (segment)""",
+)
+def _(spark, sf):
+    three = in_three(derived(spark, sf, "orders", PREDICTED))
+    spec = calibrate_intervals(three.where("part = 'calibration'"), "actual", "prediction")
+    covered = interval_coverage(segmented_interval(three.where("part = 'test'"), spec), "actual")
+    return covered.withColumn("coverage", rounded("coverage", 9)).withColumn("calibration_rows", F.lit(spec.calibration_size).cast("bigint"))
+
+
 @query(
     "split_coarse_key",
     """WITH f AS (SELECT l_returnflag, count(*) AS n, md5('42:' || l_returnflag) AS h FROM lineitem GROUP BY l_returnflag),
@@ -350,6 +380,23 @@ def _(spark, sf):
     return out.select(*LINE_KEY, *[rounded(F.col("v")[i]).alias(f"f{i}") for i in range(5)])
 
 
+@query(
+    "feature_hot_keys",
+    f"""WITH k AS (SELECT 'order ' || CAST(l_orderkey AS VARCHAR) AS k FROM {GAPPY_SQL} WHERE quantity IS NOT NULL),
+        c AS (SELECT k, row_number() OVER (ORDER BY k) AS position FROM (SELECT DISTINCT k FROM k))
+        SELECT position, 'k_' || k AS name, count(*) AS rows FROM k JOIN c USING (k) GROUP BY position, k""",
+)
+def _(spark, sf):
+    # A category per order: its labels stay in a table, and rows meet them by a join.
+    rows = derived(spark, sf, "lineitem", GAPPY).where("quantity IS NOT NULL")
+    df = rows.withColumn("k", F.concat(F.lit("order "), F.col("l_orderkey").cast("string")))
+    state = fit_features(df, Contract(numeric=("quantity",), categorical=("k",), target="l_linenumber"))
+    hot = state.transform(df).select(Summarizer.metrics("numNonZeros").summary(F.col("features")).alias("s"))
+    counts = hot.select(F.posexplode(vector_to_array("s.numNonZeros")).alias("position", "rows"))
+    named = counts.join(state.feature_table(), "position").where("position > 0")
+    return named.select(F.col("position").cast("bigint").alias("position"), "name", F.col("rows").cast("bigint").alias("rows"))
+
+
 @query(
     "feature_names",
     """SELECT CAST(row_number() OVER (ORDER BY kind, v) - 1 AS INTEGER) AS position, name FROM (
@@ -629,16 +676,51 @@ def _(spark, sf):
     return tidy_scores(scored, "note")
 
 
+FILLED_SQL = f"(SELECT * REPLACE (coalesce(discount, 0.04) AS discount) FROM {LINES_SQL})"
 BATCH_RULES = (Rule("quantity", low=3, high=48, required=True), Rule("discount", low=0, high=0.08))
 
 
 @query(
     "score_batch",
-    scored_sql(f"(SELECT * FROM {LINES_SQL} WHERE quantity >= 3 AND quantity <= 48 AND coalesce(discount, 0.04) <= 0.08)"),
+    f"""WITH good AS ({scored_sql(f"(SELECT * FROM {LINES_SQL} WHERE quantity >= 3 AND quantity <= 48 AND coalesce(discount, 0.04) <= 0.08)")}),
+        bad AS ({rules_sql(BATCH_RULES, FILLED_SQL, LINE_KEY)})
+        SELECT *, '' AS errors FROM good UNION ALL SELECT {", ".join(LINE_KEY)}, NULL, NULL, NULL, errors FROM bad WHERE NOT valid""",
+)
+def _(spark, sf):
+    good, bad = Scorer.load(spark, trained(spark, sf)[1]).predict_batch(lines(spark, sf), BATCH_RULES)
+    bounds = [F.lit(None).cast("double").alias(c) for c in ("prediction", "lower_bound", "upper_bound")]
+    quarantined = bad.select(*LINE_KEY, *bounds, F.concat_ws("; ", "errors").alias("errors"))
+    return tidy_scores(good).withColumn("errors", F.lit("")).unionByName(quarantined)
+
+
+@query(
+    "batch_report",
+    f"""WITH {ONE_TREE}, r AS (SELECT quantity >= 3 AND quantity <= 48 AND coalesce(discount, 0.04) <= 0.08 AS valid FROM {LINES_SQL}),
+        top AS (SELECT CASE WHEN f = 'quantity' THEN 'quantity=1.0,discount=0.0' ELSE 'discount=1.0,quantity=0.0' END AS top_features FROM tree)
+        SELECT count(*) AS processed, count(*) FILTER (valid) AS scored, count(*) FILTER (NOT valid) AS quarantined, top_features
+        FROM r, top GROUP BY top_features""",
 )
 def _(spark, sf):
-    good, _ = Scorer.load(spark, trained(spark, sf)[1]).predict_batch(lines(spark, sf), BATCH_RULES)
-    return tidy_scores(good)
+    pipeline, state = forest(spark, sf)
+    scorer = Scorer(pipeline, {"target_transform": "log1p", "feature_names": state.feature_names()}, LINEAR)
+    result = score_records(scorer, lines(spark, sf), BATCH_RULES, scratch_path(spark, "batch"))
+    top = ",".join(f"{r['feature']}={r['importance']}" for r in result.top_features)
+    counts = spark.createDataFrame([(result.processed, result.quarantined_rows, top)], "processed bigint, quarantined bigint, top_features string")
+    return counts.crossJoin(result.scored.agg(F.count("prediction").alias("scored")))
+
+
+@query(
+    "contract_info",
+    f"""SELECT CAST(0 AS INTEGER) AS position, 'quantity' AS feature, 'numeric' AS kind, true AS required, NULL AS "default",
+          count(*) AS rows, count(*) FILTER (quantity IS NULL) AS missing, CAST(min(quantity) AS VARCHAR) AS low, CAST(max(quantity) AS VARCHAR) AS high FROM {LINES_SQL}
+        UNION ALL SELECT 1, 'discount', 'numeric', false, '0.04', count(*), count(*) FILTER (discount IS NULL), CAST(min(discount) AS VARCHAR), CAST(max(discount) AS VARCHAR) FROM {LINES_SQL}
+        UNION ALL SELECT 2, 'flag', 'categorical', true, NULL, count(*), count(*) FILTER (flag IS NULL), min(flag), max(flag) FROM {LINES_SQL}""",
+)
+def _(spark, sf):
+    contract = Contract(numeric=LINEAR.numeric, categorical=("flag",), target="label", defaults=LINEAR.defaults)
+    return contract_report(lines(spark, sf), contract).select(
+        "position", "feature", "kind", "required", "default", "rows", "missing", "low", "high"
+    )
 
 
 STREAMED = "(SELECT *, l_quantity AS quantity, l_discount AS discount FROM lineitem)"

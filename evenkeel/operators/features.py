@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from evenkeel.contract import Contract, require_columns
 from evenkeel.functions.numeric import nan_to_null
@@ -57,17 +58,17 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return {c: found[i] for i, c in enumerate(columns)}
 
 
-def categories(df: DataFrame, columns: Sequence[str]) -> dict[str, Categories]:
-    """Sorted distinct values and the most frequent one (ties: smallest) per column.
+def labels(table: DataFrame) -> tuple[str, ...]:
+    """A category table's values in order. They reach the driver: for what is made of names, not of rows."""
+    return tuple(r["value"] for r in table.orderBy("position").select("value").collect())
 
-    Collected: the categories themselves, because they are what a one-hot encoder is made of. A
-    column with a value per row or so is no category; ``category_table`` numbers it without the driver.
-    """
+
+def categories(df: DataFrame, columns: Sequence[str]) -> dict[str, Categories]:
+    """Sorted distinct values and the most frequent one (ties: smallest) per column, for one-hot columns with names."""
     if not columns:
         return {}
     found = modes(df, columns)
-    labels = _counted_values(df, columns).groupBy("i").agg(F.sort_array(F.collect_list("v")).alias("values")).collect()
-    return {columns[r["i"]]: Categories(found[columns[r["i"]]], tuple(r["values"])) for r in labels}
+    return {c: Categories(found[c], labels(category_table(df, c))) for c in columns}
 
 
 def category_table(df: DataFrame, column: str) -> DataFrame:
@@ -127,20 +128,40 @@ def _text(v: str) -> str:
 
 @dataclass(frozen=True)
 class FeatureState:
-    """What was learned from the training rows: a few numbers per column."""
+    """What was learned from the training rows: a few numbers per column, and per categorical column a table.
+
+    ``tables`` number the categories (value, position) and ``sizes`` counts them. ``transform_features`` joins rows
+    with them, whatever their size; ``stages`` and ``feature_names`` are made of the labels themselves.
+    """
 
     contract: Contract
     medians: dict[str, float]
     scale: dict[str, tuple[float, float]]
-    categories: dict[str, Categories]
+    modes: dict[str, str]
+    tables: dict[str, DataFrame]
+    sizes: dict[str, int]
+
+    @cached_property
+    def labels(self) -> dict[str, tuple[str, ...]]:
+        return {c: labels(self.tables[c]) for c in self.contract.categorical}
 
     def feature_names(self) -> list[str]:
         """Numeric columns, then ``column_value`` per category."""
         names = list(self.contract.numeric)
         for c in self.contract.categorical:
-            names += [f"{c}_{v}" for v in self.categories[c].values]
+            names += [f"{c}_{v}" for v in self.labels[c]]
         return names
 
+    def feature_table(self) -> DataFrame:
+        """(position, name) of every feature, without the driver."""
+        spark = SparkSession.active()
+        out = spark.createDataFrame(list(enumerate(self.contract.numeric)), "position bigint, name string")
+        before = len(self.contract.numeric)
+        for c in self.contract.categorical:
+            named = self.tables[c].select((F.col("position") + before).alias("position"), F.concat(F.lit(f"{c}_"), "value").alias("name"))
+            out, before = out.unionByName(named), before + self.sizes[c]
+        return out
+
     def _select_statement(self) -> str:
         parts = []
         for c in self.contract.numeric:
@@ -148,11 +169,11 @@ class FeatureState:
             value = f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), {_number(self.medians[c])})"
             parts.append(f"({value} - {_number(mean)}) / {_number(std or 1.0)} AS `__num_{c}`")
         for c in self.contract.categorical:
-            parts.append(f"coalesce(CAST(`{c}` AS STRING), {_text(self.categories[c].mode)}) AS `__cat_{c}`")
+            parts.append(f"coalesce(CAST(`{c}` AS STRING), {_text(self.modes[c])}) AS `__cat_{c}`")
         return f"SELECT *, {', '.join(parts)} FROM __THIS__"
 
     def stages(self, df: DataFrame) -> list[Transformer]:
-        """Stock Spark ML stages, so a saved pipeline loads without this package.
+        """Stock Spark ML stages, so a saved pipeline loads without this package; the labels are part of it.
 
         A missing category takes the mode; one unseen in training encodes to zeros,
         because its index is the one the encoder drops.
@@ -164,7 +185,7 @@ class FeatureState:
             # One indexer per column: the many-column form pads unequal label lists with nulls.
             indexers = [
                 StringIndexerModel.from_labels(
-                    list(self.categories[c].values), inputCol=f"__cat_{c}", outputCol=f"__idx_{c}", handleInvalid="keep"
+                    list(self.labels[c]), inputCol=f"__cat_{c}", outputCol=f"__idx_{c}", handleInvalid="keep"
                 )
                 for c in cats
             ]
@@ -175,12 +196,30 @@ class FeatureState:
             stages += indexers
             stages.append(encoder.fit(PipelineModel(stages).transform(df)))
             inputs += [f"__hot_{c}" for c in cats]
-        stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
+        return stages + self._assembled(inputs)
+
+    def _assembled(self, inputs: list[str]) -> list[Transformer]:
         helpers = [f"__{kind}_{c}" for c in self.contract.categorical for kind in ("cat", "idx", "hot")]
         helpers += [f"__num_{c}" for c in self.contract.numeric]
         keep = ", ".join(f"`{h}`" for h in helpers)
-        stages.append(SQLTransformer(statement=f"SELECT * EXCEPT ({keep}) FROM __THIS__"))
-        return stages
+        drop = SQLTransformer(statement=f"SELECT * EXCEPT ({keep}) FROM __THIS__")
+        return [VectorAssembler(inputCols=inputs, outputCol="features"), drop]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``features``: categories are numbered by joins with their tables and encoded to sparse vectors."""
+        ready = SQLTransformer(statement=self._select_statement()).transform(df)
+        inputs = [f"__num_{c}" for c in self.contract.numeric]
+        for c in self.contract.categorical:
+            side = self.tables[c].select(F.col("value").alias("__value"), F.col("position").alias("__position"))
+            ready = ready.join(side, F.col(f"__cat_{c}") == F.col("__value"), "left").drop("__value")
+            # One number more than there are categories stands for all others; the encoder drops it.
+            kinds = {"ml_attr": {"type": "nominal", "num_vals": self.sizes[c] + 1}}
+            index = F.coalesce(F.col("__position"), F.lit(self.sizes[c])).cast("double")
+            ready = ready.withColumn(f"__idx_{c}", index.alias(f"__idx_{c}", metadata=kinds)).drop("__position")
+            encoder = OneHotEncoder(inputCols=[f"__idx_{c}"], outputCols=[f"__hot_{c}"], dropLast=True)
+            ready = encoder.fit(ready).transform(ready)  # the number of categories comes from the metadata
+            inputs.append(f"__hot_{c}")
+        return PipelineModel(self._assembled(inputs)).transform(ready)
 
 
 def fit_features(train: DataFrame, contract: Contract) -> FeatureState:
@@ -189,12 +228,14 @@ def fit_features(train: DataFrame, contract: Contract) -> FeatureState:
     mids = medians(train, contract.numeric) if contract.numeric else {}
     imputed = [F.coalesce(numeric_column(c), F.lit(mids[c])) for c in contract.numeric]
     scale = dict(zip(contract.numeric, moments(train, imputed))) if contract.numeric else {}
-    return FeatureState(contract, mids, scale, categories(train, contract.categorical))
+    found = modes(train, contract.categorical) if contract.categorical else {}
+    tables = {c: materialize(category_table(train, c), "category-table") for c in contract.categorical}
+    return FeatureState(contract, mids, scale, found, tables, {c: t.count() for c, t in tables.items()})
 
 
 def transform_features(df: DataFrame, state: FeatureState | None) -> DataFrame:
-    """Add the ``features`` vector: a map-only projection."""
+    """Add the ``features`` vector."""
     if state is None:
         raise RuntimeError("Features must be fitted before they can be transformed.")
     require_columns(df, state.contract.features, "required features")
-    return PipelineModel(state.stages(df)).transform(df)
+    return state.transform(df)

@@ -46,7 +46,37 @@ def split_by_number(df: DataFrame, number: str, test_share: float) -> DataFrame:
     # The cut and the next rank: if they differ, no row ties with the cut across it.
     stats = order_statistics(series, lambda _, n: _cut_ranks(test_share, n))
     size, found = stats.get(0, (0, {}))
-    wanted = math.ceil(test_share * size)
+    return _cut_at(df, number, math.ceil(test_share * size), size, found)
+
+
+def split_in_three(df: DataFrame, number: str, test_share: float, calibration_share: float) -> DataFrame:
+    """Add ``part``: "test" for the ``ceil(test_share * n)`` rows with the smallest numbers, "calibration" for the next
+    ``ceil(calibration_share * n)``, "train" for the rest.
+
+    Both cuts come from one selection.
+    """
+    if not 0 <= test_share + calibration_share <= 1:
+        raise ValueError("the shares add up to more than all rows")
+    series = long_series(df, [(0, F.col(number))])
+    ends = lambda n: (math.ceil(test_share * n), min(n, math.ceil(test_share * n) + math.ceil(calibration_share * n)))
+    ranks = lambda _, n: sorted({k for e in ends(n) for k in (e - 1, e) if 0 <= k < n})
+    size, found = order_statistics(series, ranks).get(0, (0, {}))
+    low, high = ends(size)
+    upper = _cut_at(df, number, high, size, found).withColumnRenamed("is_test", "__held")
+    if low in (0, high) or low == size or found[low] > found[low - 1]:
+        # No row ties with the lower cut across it.
+        first = F.lit(low == high) if low in (0, high) else F.col(number) <= found[low - 1]
+        first = F.lit(False) if low == 0 else first
+        part = F.when(F.col("__held") & first, "test").when(F.col("__held"), "calibration").otherwise("train")
+        return upper.withColumn("part", part).drop("__held")
+    held = materialize(upper.where("__held").drop("__held"), "split-held")
+    lower = _cut_at(held, number, low, high, {k: v for k, v in found.items() if k < high})
+    tested = lower.withColumn("part", F.when(F.col("is_test"), "test").otherwise("calibration")).drop("is_test")
+    return tested.unionByName(upper.where("NOT __held").drop("__held").withColumn("part", F.lit("train")))
+
+
+def _cut_at(df: DataFrame, number: str, wanted: int, size: int, found: dict[int, float]) -> DataFrame:
+    """Add ``is_test`` to ``wanted`` of ``size`` rows; ``found`` has the numbers at ranks ``wanted`` - 1 and ``wanted``."""
     if wanted == 0:
         return df.withColumn("is_test", F.lit(False))
     cut = found[wanted - 1]

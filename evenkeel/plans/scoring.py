@@ -8,11 +8,13 @@ from dataclasses import dataclass, fields
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from evenkeel.contract import DISTRICT_CENTRES, Contract, require_columns
 from evenkeel.operators.enrich import dim_backfill
+from evenkeel.functions.numeric import nan_to_null
+from evenkeel.operators.estimators import feature_importance, inner_model
 from evenkeel.operators.evaluate import IntervalSpec
 from evenkeel.operators.intervals import predict_with_interval
 from evenkeel.operators.validate import Rule, alias_rename, optional_defaults, split_valid, validate_rows
@@ -147,6 +149,66 @@ class Scorer:
         )
 
 
+@dataclass(frozen=True)
+class BatchResult:
+    """What became of a batch: its rows on both sides, their number, and what weighs most in the model (None if it can't say)."""
+
+    scored: DataFrame
+    quarantined: DataFrame
+    processed: int
+    quarantined_rows: int
+    top_features: list[Row] | None
+
+    @property
+    def rejected_share(self) -> float:
+        return self.quarantined_rows / self.processed if self.processed else 0.0
+
+
+def score_records(scorer: Scorer, df: DataFrame, rules: Sequence[Rule], target: str, top: int = 5) -> BatchResult:
+    """Validate and score a batch into ``target/scored`` and ``target/quarantined``.
+
+    The rows of either side are counted as they are written, and the batch is validated once.
+    """
+    spark, seen = df.sparkSession, Observation()
+    checked = scorer.checked(df, rules).observe(
+        seen, F.count("*").alias("processed"), F.count_if(~F.col("valid")).alias("quarantined")
+    )
+    checked = checked.persist()
+    try:
+        good, bad = scorer.split(checked)
+        for side, rows in (("scored", good), ("quarantined", bad)):
+            rows.write.parquet(f"{target}/{side}")
+    finally:
+        checked.unpersist()
+    weights = None
+    if hasattr(inner_model(scorer.pipeline), "featureImportances"):
+        weights = feature_importance(scorer.pipeline, list(scorer.metadata.get("feature_names", ())), top).collect()
+    sides = [spark.read.schema(rows.schema).parquet(f"{target}/{side}") for side, rows in (("scored", good), ("quarantined", bad))]
+    return BatchResult(*sides, seen.get["processed"], seen.get["quarantined"], weights)
+
+
+def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
+    """``describe_contract`` with what a table holds of each feature: its rows, missing ones, lowest and highest value as text.
+
+    One pass over the table. NaN and NULL are missing.
+    """
+    require_columns(df, contract.features, "features")
+    numeric = set(contract.numeric)
+    present = {c: nan_to_null(F.col(c).cast("double")) if c in numeric else F.col(c).cast("string") for c in contract.features}
+    found = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            F.count("*").alias("rows"),
+            (F.count("*") - F.count(x)).alias("missing"),
+            F.min(x).cast("string").alias("low"),
+            F.max(x).cast("string").alias("high"),
+        )
+        for c, x in present.items()
+    ]
+    held = df.agg(F.array(*found).alias("found")).select(F.inline("found"))
+    return describe_contract(df.sparkSession, contract).join(held, "feature")
+
+
 def describe_contract(spark: SparkSession, contract: Contract) -> DataFrame:
     """One row per raw feature: kind, whether required, default, label, allowed values."""
     rows = [

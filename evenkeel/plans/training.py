@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from evenkeel.contract import LISTINGS, Contract, require_columns
 from evenkeel.operators.clean import cast_numeric, dedupe_full_row, exclude_categories, outlier_filter
 from evenkeel.operators.estimators import fit_pipeline, inner_model
-from evenkeel.operators.evaluate import IntervalSpec, evaluate_predictions, interval_coverage, split_sizes
+from evenkeel.operators.evaluate import IntervalSpec, calibrate_intervals, evaluate_predictions, interval_coverage, split_sizes
 from evenkeel.operators.features import FeatureState
 from evenkeel.operators.intervals import segmented_interval
-from evenkeel.operators.ranking import hash_number, split_by_number
+from evenkeel.operators.ranking import hash_number, split_by_number, split_in_three
 from evenkeel.session import materialize
 from evenkeel.sources.artifacts import save_model
 from evenkeel.sources.tables import scan_not_null
@@ -34,6 +34,7 @@ class TrainConfig:
     exclude: Mapping[str, tuple[str, ...]] = field(default_factory=lambda: {"property_type": ("MOBILE",)})
     target_transform: str = "log1p"
     test_size: float = 0.2
+    calibration_size: float = 0.0  # share of rows for the interval alone; with none it is calibrated on the test rows
     random_state: int = 42
     split_key: tuple[str, ...] = ()
     model_type: str = "hist_gradient_boosting"
@@ -56,7 +57,7 @@ class TrainResult:
 
 
 def prepare_training(df: DataFrame, cfg: TrainConfig, removed: Observation | None = None) -> DataFrame:
-    """Contract columns plus ``is_test``, cleaned and written once.
+    """Contract columns plus ``is_test``, and ``is_calibration`` if there is such a share, cleaned and written once.
 
     The split key is hashed on the way out, so the passes that find the cut read one
     number per row and the key columns are not stored. Without a key the whole
@@ -74,7 +75,11 @@ def prepare_training(df: DataFrame, cfg: TrainConfig, removed: Observation | Non
         rows, c.target, cfg.area, cfg.min_target, cfg.max_target, cfg.min_area, enabled=cfg.handle_outliers, removed=removed
     )
     cleaned = materialize(rows.select(*c.training_columns, "__n"), "cleaned")
-    return split_by_number(cleaned, "__n", cfg.test_size).drop("__n")
+    if not cfg.calibration_size:
+        return split_by_number(cleaned, "__n", cfg.test_size).drop("__n")
+    split = split_in_three(cleaned, "__n", cfg.test_size, cfg.calibration_size)
+    named = split.withColumn("is_test", F.col("part") == "test").withColumn("is_calibration", F.col("part") == "calibration")
+    return named.drop("__n", "part")
 
 
 def build_metadata(
@@ -98,19 +103,30 @@ def build_metadata(
 
 
 def train_run(df: DataFrame, cfg: TrainConfig = TrainConfig()) -> TrainResult:
-    """One training run. Fitting sees training rows only; nothing is promoted here."""
+    """One training run. Fitting sees training rows only; nothing is promoted here.
+
+    With a ``calibration_size`` the interval is calibrated on rows of its own, and the coverage that is
+    reported is that of test rows which neither the model nor the interval saw.
+    """
     removed = Observation()
     split = prepare_training(df, cfg, removed)
     sizes = split_sizes(split).first().asDict()
     filtered = cfg.handle_outliers and cfg.area in df.columns
     sizes["removed_rows"] = removed.get["removed"] if filtered else 0
-    train, test = split.where(~F.col("is_test")), split.where("is_test")
+    own = F.col("is_calibration") if cfg.calibration_size else F.lit(False)
+    split = split.withColumn("__own", own)
+    sizes["calibration_rows"] = split.where("__own").count() if cfg.calibration_size else sizes["test_size"]
+    sizes["train_size"] -= sizes["calibration_rows"] if cfg.calibration_size else 0
+    train = split.where("NOT is_test AND NOT __own").drop("__own")
     pipeline, state = fit_pipeline(
         train, cfg.contract, cfg.model_type, cfg.hyperparameters, cfg.target_transform, cfg.random_state
     )
     target = F.col(cfg.contract.target).cast("double").alias("actual")
-    scored = materialize(pipeline.transform(test).select(target, "prediction"), "scored")
+    held = materialize(pipeline.transform(split.where("is_test OR __own")).select("is_test", target, "prediction"), "scored")
+    scored = held.where("is_test")
     metrics, interval = evaluate_predictions(scored, "actual", "prediction", cfg.normalizer)
+    if cfg.calibration_size:
+        interval = calibrate_intervals(held.where("NOT is_test"), "actual", "prediction", normalizer=cfg.normalizer)
     sizes["interval_coverage"] = interval_coverage(segmented_interval(scored, interval), "actual").first()["coverage"]
     metadata = build_metadata(cfg, pipeline, state, metrics, interval, sizes)
     metrics["promote_to_production"] = False

@@ -8,6 +8,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from evenkeel.session import materialize
+from evenkeel.sources.records import cells, csv_records, header_of
+
 # The texts that count as missing in a CSV cell.
 CSV_MISSING = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -76,27 +79,39 @@ def inferred_types(raw: DataFrame) -> dict[str, str]:
     return kinds
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, multiline: bool = True) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, multiline: bool = True, whole_files: bool = False
+) -> DataFrame:
     """CSV with a header; quotes in cells are doubled, cells may hold line breaks.
 
     Cells are read as text, missing texts become NULL, and the rest is cast under ANSI rules: to
-    the schema's types, or without a schema to what ``inferred_types`` finds in one further pass.
-    A line with too few or too many cells is an error. Files whose cells hold no line break can be
-    read with ``multiline=False``, which lets Spark split large files.
+    the schema's types, or without a schema to what ``inferred_types`` finds in one pass over the cells, which
+    are stored for that. A line with too few or too many cells is an error, and so is a header other than the schema's.
+    Files are read in byte ranges by many tasks (``records``). Files whose cells hold no line break can be
+    read with ``multiline=False``; ``whole_files`` leaves records to Spark's parser, a file in a task, for files with quotes
+    within unquoted cells.
     """
     options = {
         "header": True, "quote": '"', "escape": '"', "multiLine": multiline, "mode": "FAILFAST", "columnPruning": False,
     }
-    if schema is None:
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if multiline and not whole_files:
+        records = csv_records(spark, path)
+        names = header_of(records)
+        if wanted is not None and names != wanted.names:
+            raise ValueError(f"the header has {names}, the schema {wanted.names}")
+        raw = cells(records, names)
+        raw = materialize(raw, "csv-cells") if wanted is None else raw
+    elif wanted is None:
         raw = spark.read.csv(path, **{k: v for k, v in options.items() if k != "columnPruning"})
         raw = spark.read.schema(raw.schema).options(**options).csv(path)
-        return raw.select(*[_present(name).cast(kind).alias(name) for name, kind in inferred_types(raw).items()])
-    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    text = StructType()
-    for f in wanted.fields:
-        text = text.add(f.name, "string")
-    raw = spark.read.schema(text).options(enforceSchema=False, **options).csv(path)
-    return raw.select(*[_present(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
+    else:
+        text = StructType()
+        for f in wanted.fields:
+            text = text.add(f.name, "string")
+        raw = spark.read.schema(text).options(enforceSchema=False, **options).csv(path)
+    kinds = inferred_types(raw) if wanted is None else {f.name: f.dataType for f in wanted.fields}
+    return raw.select(*[_present(name).cast(kind).alias(name) for name, kind in kinds.items()])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

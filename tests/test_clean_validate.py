@@ -3,6 +3,8 @@ from pyspark.errors import NumberFormatException
 from pyspark.sql import Observation, functions as F
 
 from evenkeel.contract import LISTINGS
+from evenkeel.operators.maintained import LatestTable
+from evenkeel.session import scratch_path
 from evenkeel.operators.clean import (
     cast_numeric,
     clean,
@@ -176,3 +178,31 @@ def test_backfill_beyond_the_broadcast_bound_gives_the_same(spark, monkeypatch):
     assert small.exceptAll(large).count() == 0
     with pytest.raises(ValueError, match="not unique"):
         dim_backfill(df, b.dim.unionAll(b.dim), b.key, {"latitude": "dim_lat"})
+
+
+@pytest.mark.parametrize("order", ([0, 1, 2], [2, 0, 1], [1, 1, 2, 0]))
+def test_maintained_table_equals_recomputation(spark, order):
+    rows = [(k, f"2024-01-{1 + (k * 7 + i * 11) % 28:02d}", i) for k in range(40) for i in range(6)] + [(None, "2024-01-05", 1), (None, None, 2)]
+    df = spark.createDataFrame(rows, "k int, d string, v int")
+    kept = LatestTable(spark, scratch_path(spark, "latest"), df.schema, ("k",), "d", ("v",), buckets=8)
+    assert kept.rows().count() == 0
+    for third in order:
+        kept.merge(df.where(F.col("v") % 3 == third))
+    want = sorted(map(str, latest_per_key(df, "k", "d", ["v"]).collect()))
+    assert sorted(map(str, kept.rows().collect())) == want
+    before = kept._state()[1]
+    touched = kept.merge(spark.createDataFrame([(3, "2025-01-01", 9)], df.schema))
+    after = kept._state()[1]
+    assert len(touched) == 1 and [b for b in after if after[b] != before[b]] == [str(touched[0])]
+    with pytest.raises(ValueError):
+        LatestTable(spark, kept.path, df.schema, ("k",), "d", ("v",), buckets=9).rows()
+
+
+def test_two_merges_at_once_lose_nothing(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    df = spark.range(60).select((F.col("id") % 20).cast("int").alias("k"), F.col("id").cast("string").alias("d"), F.col("id").cast("int").alias("v"))
+    kept = LatestTable(spark, scratch_path(spark, "latest"), df.schema, ("k",), "v", (), buckets=4)
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda part: kept.merge(df.where(F.col("v") % 3 == part)), range(3)))
+    assert sorted((r["k"], r["v"]) for r in kept.rows().collect()) == [(k, 40 + k) for k in range(20)]

@@ -12,8 +12,9 @@ from evenkeel.operators.estimators import feature_importance, fit_pipeline, inne
 from evenkeel.operators.evaluate import IntervalSpec, calibrate_intervals, interval_coverage, regression_metrics
 from evenkeel.operators.features import categories, fit_features, impute_mode, medians, moments, one_hot_columns, standardize, transform_features
 from evenkeel.operators.intervals import forest_interval, predict_with_interval, segmented_interval
+from evenkeel.operators.ranking import split_in_three
 from evenkeel.operators.validate import REQUEST_RULES
-from evenkeel.plans.scoring import Scorer, describe_contract, district_backfill, score_file
+from evenkeel.plans.scoring import Scorer, describe_contract, district_backfill, score_file, score_records
 from evenkeel.plans.training import TrainConfig, prepare_training, train_run
 from evenkeel.session import scratch_path
 from evenkeel.sources.artifacts import load_model
@@ -185,6 +186,50 @@ def test_stream_keeps_rows_that_fail(spark, extract, trained):
     assert scored_rows(spark, target).count() + quarantined_rows(spark, target).count() == 2 * rows.count()
 
 
+def test_batch_result_counts_both_sides(spark, extract, trained):
+    scorer = Scorer.load(spark, trained[1], district_backfill(spark))
+    rows = extract.withColumn("bedrooms", F.when(F.col("property_id") % 5 == 0, 99).otherwise(F.col("bedrooms")))
+    result = score_records(scorer, rows, REQUEST_RULES, scratch_path(spark, "batch"))
+    assert (result.processed, result.quarantined_rows) == (rows.count(), rows.where("bedrooms = 99").count())
+    assert result.scored.count() + result.quarantined.count() == result.processed and result.top_features is None
+
+
+@pytest.mark.parametrize("shares", [(0.2, 0.1), (0.3, 0.0), (0.0, 0.25), (0.5, 0.5)])
+def test_three_parts_have_exact_sizes(spark, shares):
+    for rows in (spark.range(997).select("id", (F.col("id") * 7919 % 1009).cast("double").alias("n")),
+                 spark.range(997).select("id", F.lit(1.0).alias("n")), spark.range(0).select("id", F.lit(1.0).alias("n"))):
+        size = rows.count()
+        got = {r["part"]: r["count"] for r in split_in_three(rows, "n", *shares).groupBy("part").count().collect()}
+        test = math.ceil(shares[0] * size)
+        calibration = min(size - test, math.ceil(shares[1] * size))
+        want = {"test": test, "calibration": calibration, "train": size - test - calibration}
+        assert got == {k: n for k, n in want.items() if n}
+
+
+def test_interval_calibrated_on_rows_of_its_own(spark, extract):
+    cfg = TrainConfig(model_type="ridge", handle_outliers=False, calibration_size=0.3)
+    result = train_run(extract, cfg)
+    m = result.metadata
+    size = m["train_size"] + m["calibration_rows"] + m["test_size"]
+    assert size == prepare_training(extract, cfg).count()
+    assert (m["calibration_rows"], m["test_size"]) == (math.ceil(0.3 * size), math.ceil(0.2 * size))
+    assert result.interval.calibration_size == m["calibration_rows"] and 0 <= m["interval_coverage"] <= 1
+
+
+def test_a_category_per_row_stays_in_a_table(spark):
+    df = spark.range(500).select(F.col("id").cast("double").alias("x"), F.concat(F.lit("k"), "id").alias("k"), F.lit(1.0).alias("y"))
+    state = fit_features(df, Contract(numeric=("x",), categorical=("k",), target="y"))
+    out = transform_features(df.unionAll(spark.createDataFrame([(1.0, "new", 1.0)], df.schema)), state)
+    assert "labels" not in state.__dict__  # no label reached the driver
+    ordered = sorted(f"k{i}" for i in range(500))
+    for r in out.collect():
+        v = r["features"]
+        assert v.size == 501
+        hot = [i for i in v.toArray().nonzero()[0] if i > 0]
+        assert hot == ([1 + ordered.index(r["k"])] if r["k"] != "new" else [])
+    assert [r["name"] for r in state.feature_table().orderBy("position").collect()] == state.feature_names()
+
+
 def test_a_scored_table_can_be_scored_again(spark, extract, trained):
     scorer = Scorer.load(spark, trained[1], district_backfill(spark))
     once = scorer.predict(extract.withColumn("features", F.lit("clash")))

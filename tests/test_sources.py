@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +40,39 @@ def test_types_are_inferred_past_missing_texts(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [(1, None, "a", None), (None, 2.5, "7", None), (3, 1.0, None, None)]
 
 
+def test_large_files_are_read_in_ranges(spark):
+    """A file cut into many byte ranges gives the cells that one task finds, whatever lies across a cut."""
+    rng = random.Random(3)
+    texts = ["plain", 'a "quoted" word', "two\nlines", "three\n\nlines\r\nand \"more\"", "", "x" * 300, '"', "\n", "ends,\n\"", " pad "]
+    rows = [(i, rng.choice(texts), rng.choice(texts)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "a int, b string, c string").coalesce(1)
+    path = scratch_path(spark, "csv")
+    write_csv(df, path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        assert spark.read.text(path).rdd.getNumPartitions() > 5
+        got = sorted(map(tuple, read_csv(spark, path, df.schema).collect()), key=str)
+        inferred = sorted(map(tuple, read_csv(spark, path).select("b", "c").collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    whole = sorted(map(tuple, read_csv(spark, path, df.schema, whole_files=True).collect()), key=str)
+    want = sorted(((a, b or None, c or None) for a, b, c in rows), key=str)
+    assert got == whole == want
+    assert inferred == sorted(((b or None, c or None) for _, b, c in rows), key=str)
+
+
+def test_crlf_blank_lines_and_broken_quotes(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_bytes(b'a,"b"\r\n1,"x\r\ny"\r\n\r\n2,z\r\n')
+    assert sorted(map(tuple, read_csv(spark, str(path), "a int, b string").collect())) == [(1, "x\r\ny"), (2, "z")]
+    with pytest.raises(ValueError, match="header"):
+        read_csv(spark, str(path), "b string, a int")
+    path.write_text('a,b\n1,"x\n2,y\n')
+    with pytest.raises(ValueError, match="isn't closed"):
+        read_csv(spark, str(path), "a int, b string")
+
+
 def test_named_parameters_are_values(spark):
     view = spark.createDataFrame([("it's",), ("x",)], "v string")
     assert sql_query(spark, "SELECT count(*) AS n FROM named WHERE v = :v", {"named": view}, v="it's").first()["n"] == 1
