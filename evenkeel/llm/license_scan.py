@@ -2,12 +2,14 @@
 
 A text is cut into sentences, each normalised to its lower-case letters and digits with single
 spaces between. Lines end sentences too, but a known sentence that stands over several lines, in
-comment markers or with marks inside it, is one sentence. A sentence that is known gets its identifier; a rule is a licence with the
+comment markers or with marks inside it, is one sentence: from left to right, the longest known sentence that
+begins at a line and ends at a line. A sentence that is known gets its identifier; a rule is a licence with the
 identifiers of its sentences in order. A rule matches where its identifiers follow each other among
 the text's known sentences with no more than ``max_gap`` unknown ones between two. At a sentence
-the longest rule wins, and a match takes its sentences from later ones.
+the longest rule wins, of equally long ones the one that is listed first, and a match takes its sentences from later ones.
 
-All is native column work inside each row; nothing is shuffled, and the rules are literals of the
+All is native column work inside each row; nothing is shuffled. The known sentences are one regular
+expression, a tree of their words, so a line is compared with all of them at once; sentences and rules are literals of the
 plan. Every known sentence has one of a few telltale words, so texts without any are done at once.
 
 Defined cases: a null or empty text has no sentence and no match; repeated rows are scanned each;
@@ -17,175 +19,90 @@ of the results is an error; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Sentences by identifier, as they stand in licence texts, and the rules over them.
-SENTENCES = {
-    "apache-2": "Licensed under the Apache License, Version 2.0",
-    "apache-2-you": 'Licensed under the Apache License, Version 2.0 (the "License")',
-    "apache-compliance": "you may not use this file except in compliance with the License",
-    "apache-copy": "You may obtain a copy of the License at",
-    "mit-released": "Released under the MIT License",
-    "mit-licensed": "Licensed under the MIT License",
-    "mit-grant": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated '
-    'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights '
-    "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
-    "mit-notice": "The above copyright notice and this permission notice shall be included in all copies or substantial "
-    "portions of the Software",
-    "gpl-3": "This work is licensed under the GNU General Public License, version 3",
-    "gpl-redistribute": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-    "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
-    "any later version",
-    "gpl-warranty": "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
-    "gpl-copy": "You should have received a copy of the GNU General Public License along with this program",
-    "bsd-redistribution": "Redistribution and use in source and binary forms, with or without modification, are permitted "
-    "provided that the following conditions are met",
-    "cc-by-4": "Licensed under CC BY 4.0",
-    "cc-by-sa-4": "Licensed under CC BY-SA 4.0",
-    "cc-by-nc-4": "Licensed under CC BY-NC 4.0",
-    "cc-by-4-work": "This work is licensed under a Creative Commons Attribution 4.0 International License",
-    "cc0": "This work has been dedicated to the public domain under a CC0 license",
-}
-RULES = (
-    ("Apache-2.0", ("apache-2",)),
-    ("Apache-2.0", ("apache-2-you", "apache-compliance", "apache-copy")),
-    ("Apache-2.0", ("apache-2-you", "apache-compliance")),
-    ("MIT", ("mit-released",)),
-    ("MIT", ("mit-licensed",)),
-    ("MIT", ("mit-grant", "mit-notice")),
-    ("GPL-3.0-only", ("gpl-3",)),
-    ("GPL-3.0-or-later", ("gpl-redistribute",)),
-    ("GPL-3.0-or-later", ("gpl-redistribute", "gpl-warranty", "gpl-copy")),
-    ("BSD", ("bsd-redistribution",)),
-    ("CC-BY-4.0", ("cc-by-4",)),
-    ("CC-BY-4.0", ("cc-by-4-work",)),
-    ("CC-BY-SA-4.0", ("cc-by-sa-4",)),
-    ("CC-BY-NC-4.0", ("cc-by-nc-4",)),
-    ("CC0-1.0", ("cc0",)),
-)
-# Further sentences and rules of the scan; its SQL has those above only, on one line each.
-_GNU = "you can redistribute it and/or modify it under the terms of the GNU"
-_FSF = "as published by the Free Software Foundation"
-_LATER = "of the License, or (at your option) any later version"
-_CC = "This work is licensed under a Creative Commons Attribution"
-MORE = (
-    ("GPL-2.0-or-later", f"This program is free software; {_GNU} General Public License {_FSF}; either version 2 {_LATER}"),
-    ("GPL-2.0-only", f"This program is free software; {_GNU} General Public License version 2 {_FSF}"),
-    ("LGPL-2.1-or-later", f"This library is free software; {_GNU} Lesser General Public License {_FSF}; either version 2.1 {_LATER}"),
-    ("LGPL-3.0-or-later", f"This program is free software: {_GNU} Lesser General Public License {_FSF}, either version 3 {_LATER}"),
-    ("AGPL-3.0-or-later", f"This program is free software: {_GNU} Affero General Public License {_FSF}, either version 3 {_LATER}"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
-    "granted, provided that the above copyright notice and this permission notice appear in all copies"),
-    ("ISC", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
-    "granted, provided that the above copyright notice and this permission notice appear in all copies"),
-    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
-    "alter it and redistribute it freely, subject to the following restrictions"),
-    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0"),
-    ("Unlicense", "This is free and unencumbered software released into the public domain"),
-    ("BSD", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file"),
-    ("MIT", "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file"),
-    ("CC-BY-SA-4.0", f"{_CC}-ShareAlike 4.0 International License"),
-    ("CC-BY-NC-4.0", f"{_CC}-NonCommercial 4.0 International License"),
-    ("CC-BY-ND-4.0", f"{_CC}-NoDerivatives 4.0 International License"),
-    ("CC-BY-NC-SA-4.0", f"{_CC}-NonCommercial-ShareAlike 4.0 International License"),
-    ("CC-BY-NC-ND-4.0", f"{_CC}-NonCommercial-NoDerivatives 4.0 International License"),
-)
-MIT_GRANT = SENTENCES["mit-grant"] + (
-    ", and to permit persons to whom the Software is furnished to do so, subject to the following conditions"
-)
-TELLTALES = ("licen", "permission", "redistribut", "warranty")
+from evenkeel.llm.license_rules import COMMON_LICENSES, LicenseRules
+
+MATCHES = "array<struct<license:string,first:int,last:int>>"
+KNOWN = "array<struct<at:int,id:int>>"
 SENTENCE_END = r"[.!?;]+[ \t\r\n]+|[.!?;]+$|[\r\n]+"
 NOT_WORDS = r"[^\p{L}\p{N}]+"
+MARK = "\u0001"  # no letter or digit, so in no normalised line
 
 
-def normal(sentence: str) -> str:
-    return " ".join("".join(c if c.isalnum() else " " for c in sentence.lower()).split())
-
-
-@dataclass(frozen=True)
-class LicenseRules:
-    sentences: tuple[tuple[str, str], ...] = tuple((name, normal(text)) for name, text in SENTENCES.items())
-    rules: tuple[tuple[str, tuple[str, ...]], ...] = RULES
-    telltales: tuple[str, ...] = TELLTALES
-    max_gap: int = 2
-
-    def __post_init__(self) -> None:
-        known = {name for name, _ in self.sentences}
-        for name, text in self.sentences:
-            if not any(t in text for t in self.telltales):
-                raise ValueError(f"sentence {name} has no telltale word")
-        for license_name, names in self.rules:
-            if not names or not set(names) <= known:
-                raise ValueError(f"a rule of {license_name} names no sentence, or an unknown one")
-
-
-COMMON_LICENSES = LicenseRules(
-    sentences=(
-        *LicenseRules().sentences,
-        ("mit-grant-whole", normal(MIT_GRANT)),
-        *((f"more-{i}", normal(text)) for i, (_, text) in enumerate(MORE)),
-    ),
-    rules=(
-        *RULES,
-        ("Apache-2.0", ("apache-2-you",)),
-        ("MIT", ("mit-grant-whole", "mit-notice")),
-        *((name, (f"more-{i}",)) for i, (name, _) in enumerate(MORE)),
-    ),
-    telltales=(*TELLTALES, "unencumbered"),
-)
+def word_tree(sentences: list[str]) -> str:
+    """A regular expression for sentences whose words stand on one line or several; the longest that fits is tried first."""
+    tree: dict = {}
+    for sentence in sentences:
+        node = tree
+        for word in sentence.split(" "):
+            node = node.setdefault(word, {})
+        node[""] = {}
 
-MATCHES = "array<struct<license:string,first:int,last:int>>"
+    def pattern(node: dict) -> str:
+        more = [word + pattern(below) for word, below in sorted(node.items()) if word]
+        if not more:
+            return ""
+        joined = more[0] if len(more) == 1 else f"(?:{'|'.join(more)})"
+        return f"(?:[ \\n]{joined})?" if "" in node else f"[ \\n]{joined}"
 
-
-def unwrapped(lines: Column, rules: LicenseRules) -> Column:
-    """Normalised lines with each known sentence that stands over several of them made one, longest sentences first."""
-    joined = F.concat(F.lit("\n"), F.array_join(lines, "\n"), F.lit("\n"))
-    for sentence in sorted((s for _, s in rules.sentences), key=len, reverse=True):
-        joined = F.regexp_replace(joined, r"(?<=\n)" + sentence.replace(" ", r"[ \n]") + r"(?=\n)", sentence)
-    return F.split(joined, "\n")
+    return f"(?:{'|'.join(word + pattern(below) for word, below in sorted(tree.items()))})"
 
 
 def known_sentences(text: Column, rules: LicenseRules) -> Column:
     """The known sentences of a text in order: their place among all sentences and their identifier."""
-    numbers = {name: i for i, (name, _) in enumerate(rules.sentences)}
-    table = F.create_map(*[x for name, s in rules.sentences for x in (F.lit(s), F.lit(numbers[name]))])
-    sentences = F.transform(
-        F.split(F.lower(text), SENTENCE_END), lambda s: F.trim(F.regexp_replace(s, NOT_WORDS, " "))
-    )
-    lines = F.filter(sentences, lambda s: s != "")
-    spoken = F.filter(unwrapped(lines, rules), lambda s: s != "")
-    placed = F.transform(spoken, lambda s, i: F.struct(i.alias("at"), F.try_element_at(table, s).alias("id")))
-    return F.filter(placed, lambda p: p["id"].isNotNull())
+    numbers = F.from_json(F.lit(json.dumps({s: i for i, s in rules.sentences})), "map<string,int>")
+    lines = F.transform(F.split(F.lower(text), SENTENCE_END), lambda s: F.trim(F.regexp_replace(s, NOT_WORDS, " ")))
+    joined = F.concat(F.lit("\n"), F.array_join(F.filter(lines, lambda s: s != ""), "\n"), F.lit("\n"))
+    tree = word_tree([s for _, s in rules.sentences])
+    marked = F.regexp_replace(joined, rf"(?<=\n){tree}(?=\n)", f"{MARK}$0{MARK}")
+    # Known sentences alternate with what stands between them: whole lines.
+    parts = F.split(marked, MARK)
+    between = lambda part: F.size(F.filter(F.split(part, "\n"), lambda s: s != ""))
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("at"), F.array().cast(KNOWN).alias("kept"))
+
+    def step(acc: Column, part: Column) -> Column:
+        entry = F.struct(acc["at"].alias("at"), F.try_element_at(numbers, F.translate(part, "\n", " ")).alias("id"))
+        is_known = acc["n"] % 2 == 1
+        return F.struct(
+            (acc["n"] + 1).alias("n"),
+            (acc["at"] + F.when(is_known, 1).otherwise(between(part))).alias("at"),
+            F.when(is_known, F.concat(acc["kept"], F.array(entry))).otherwise(acc["kept"]).alias("kept"),
+        )
+
+    return F.aggregate(parts, start, step, lambda acc: acc["kept"])
 
 
 def rule_matches(known: str, rules: LicenseRules) -> Column:
     """Matches in the array column ``known``, leftmost first, the longest at each sentence, none overlapping."""
-    numbers = {name: i for i, (name, _) in enumerate(rules.sentences)}
-    by_length = sorted(rules.rules, key=lambda r: -len(r[1]))
-
-    def at(k: Column) -> Column:
-        found = F.lit(None).cast("struct<license:string,first:int,last:int,begin:int,end:int>")
-        for license_name, names in reversed(by_length):
-            entries = [F.get(F.col(known), k + j) for j in range(len(names))]
-            fits = F.lit(True)
-            for j, (entry, name) in enumerate(zip(entries, names)):
-                fits = fits & (entry["id"] == numbers[name])
-                if j:
-                    fits = fits & (entry["at"] - entries[j - 1]["at"] <= rules.max_gap + 1)
-            match = F.struct(
-                F.lit(license_name).alias("license"),
-                entries[0]["at"].alias("first"),
-                entries[-1]["at"].alias("last"),
-                k.alias("begin"),
-                (k + len(names)).alias("end"),
-            )
-            found = F.when(F.coalesce(fits, F.lit(False)), match).otherwise(found)
-        return found
-
-    every = F.filter(F.transform(known, lambda _, k: at(k)), lambda m: m.isNotNull())
+    by_first: list[list[dict]] = [[] for _ in rules.sentences]
+    for license_name, ids in sorted(rules.rules, key=lambda r: -len(r[1])):
+        by_first[ids[0]].append({"license": license_name, "ids": list(ids)})
+    table = F.from_json(F.lit(json.dumps(by_first)), "array<array<struct<license:string,ids:array<int>>>>")
+
+    def fits(rule: Column, k: Column) -> Column:
+        def one(j: Column) -> Column:
+            here, before = F.get(F.col(known), k + j), F.get(F.col(known), k + j - 1)
+            near = (j == 0) | (here["at"] - before["at"] <= rules.max_gap + 1)
+            return F.coalesce((here["id"] == F.get(rule["ids"], j)) & near, F.lit(False))
+
+        return F.forall(F.sequence(F.lit(0), F.size(rule["ids"]) - 1), one)
+
+    def at(entry: Column, k: Column) -> Column:
+        rule = F.get(F.filter(F.get(table, entry["id"]), lambda r: fits(r, k)), F.lit(0))
+        end = k + F.size(rule["ids"])
+        match = F.struct(
+            rule["license"].alias("license"),
+            entry["at"].alias("first"),
+            F.get(F.col(known), end - 1)["at"].alias("last"),
+            k.alias("begin"),
+            end.alias("end"),
+        )
+        return F.when(rule.isNotNull(), match)
+
+    every = F.filter(F.transform(known, at), lambda m: m.isNotNull())
     start = F.struct(F.lit(0).alias("free"), F.array().cast(MATCHES).alias("kept"))
     plain = lambda m: F.struct(m["license"].alias("license"), m["first"].alias("first"), m["last"].alias("last"))
     return F.aggregate(
@@ -206,7 +123,7 @@ def scan_licenses(docs: DataFrame, rules: LicenseRules = COMMON_LICENSES, text:
     if clash:
         raise ValueError(f"columns {sorted(clash)} exist already")
     telling = F.coalesce(F.lower(F.col(text)).rlike("|".join(rules.telltales)), F.lit(False))
-    none = F.array().cast("array<struct<at:int,id:int>>")
+    none = F.array().cast(KNOWN)
     known = docs.select(*others, F.when(telling, known_sentences(F.col(text), rules)).otherwise(none).alias("_known"))
     some = F.size("_known") > 0
     return known.select(*others, F.when(some, rule_matches("_known", rules)).otherwise(F.array().cast(MATCHES)).alias("matches"))

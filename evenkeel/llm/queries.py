@@ -8,7 +8,8 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from evenkeel.llm.language_id import identify
-from evenkeel.llm.license_scan import LicenseRules, scan_licenses
+from evenkeel.llm.license_rules import COMMON_LICENSES, LicenseRules
+from evenkeel.llm.license_scan import scan_licenses
 from evenkeel.llm.line_dedup import drop_repeated_lines
 from evenkeel.llm.merkle import build_manifest, fold, hexed as hex_text, leaf_digest, proof_digest
 from evenkeel.llm.mixing import mix_sources
@@ -187,37 +188,55 @@ def op7_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, F.col("vec_id") % 20 == 0)
 
 
-def license_sql(rules: LicenseRules = LicenseRules()) -> str:
-    """The scan in SQL: sentences joined to the known ones, runs of them joined to the rules."""
-    numbers = {name: i for i, (name, _) in enumerate(rules.sentences)}
-    sentences = ", ".join(f"('{text}', {numbers[name]})" for name, text in rules.sentences)
+def license_sql(rules: LicenseRules = COMMON_LICENSES) -> str:
+    """The scan in SQL, for the same rules: runs of lines joined to the known sentences, walks over lines and over sentences."""
+    sentences = ", ".join(f"('{text}', {i})" for i, text in rules.sentences)
     entries = ", ".join(
-        f"({r}, '{license_name}', {len(names)}, {j}, {numbers[name]})"
-        for r, (license_name, names) in enumerate(rules.rules)
-        for j, name in enumerate(names)
+        f"({r}, '{license_name}', {len(ids)}, {j}, {i})" for r, (license_name, ids) in enumerate(rules.rules) for j, i in enumerate(ids)
     )
+    longest = max(len(text) for _, text in rules.sentences)
     return rf"""
-WITH sentences(sentence, id) AS (VALUES {sentences}),
+WITH RECURSIVE sentences(sentence, id) AS (VALUES {sentences}),
 rules(rule, license, n, j, id) AS (VALUES {entries}),
 texts AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
 spoken AS (
-  SELECT r, list_filter(list_transform(string_split_regex(lower(text), '[.!?;]+[ \t\r\n]+|[.!?;]+$|[\r\n]+'),
-    lambda s: trim(regexp_replace(s, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))), lambda s: s <> '') AS spoken FROM texts WHERE text IS NOT NULL
-), placed AS (
-  SELECT r, unnest(spoken) AS sentence, unnest(range(len(spoken))) AS nth FROM spoken
-), known AS (
-  SELECT r, nth, id, row_number() OVER w AS k, nth - lag(nth) OVER w AS gap FROM placed JOIN sentences USING (sentence)
-  WINDOW w AS (PARTITION BY r ORDER BY nth)
+  SELECT r, list_filter(list_transform(string_split_regex(lower(text), '[.!?;]+[ 	
+]+|[.!?;]+$|[
+]+'),
+    lambda s: trim(regexp_replace(s, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))), lambda s: s <> '') AS lines
+  FROM texts WHERE regexp_matches(lower(text), '{"|".join(rules.telltales)}')
+), starts AS (
+  SELECT r, lines, unnest(range(1, len(lines) + 1)) AS i FROM spoken
+), widths AS (
+  SELECT r, i, lines, unnest(range(1, 1 + least(len(lines) - i + 1, {longest // 2 + 1}))) AS w FROM starts
+  WHERE string_split(lines[i], ' ')[1] IN (SELECT DISTINCT string_split(sentence, ' ')[1] FROM sentences)
 ), runs AS (
-  SELECT first.r, first.k, rule, license, n, min(other.nth) AS first_at, max(other.nth) AS last_at
-  FROM known first JOIN known other ON first.r = other.r AND other.k >= first.k
-  JOIN rules ON rules.j = other.k - first.k AND rules.id = other.id AND (rules.j = 0 OR other.gap <= {rules.max_gap + 1})
-  GROUP BY first.r, first.k, rule, license, n HAVING count(*) = n
-), longest AS (
-  SELECT *, row_number() OVER (PARTITION BY r, k ORDER BY n DESC, rule) AS best FROM runs
+  SELECT r, i, max(w) AS w, max_by(id, w) AS id
+  FROM (SELECT r, i, w, array_to_string(lines[i:i + w - 1], ' ') AS sentence FROM widths) JOIN sentences USING (sentence) GROUP BY r, i
+), walk AS (
+  SELECT r, 1 AS i, 0 AS nth FROM (SELECT DISTINCT r FROM runs)
+  UNION ALL
+  SELECT walk.r, walk.i + coalesce(w, 1), nth + 1 FROM walk JOIN spoken USING (r) LEFT JOIN runs ON runs.r = walk.r AND runs.i = walk.i
+  WHERE walk.i < len(lines)
+), known AS (
+  SELECT walk.r, nth, id, row_number() OVER (PARTITION BY walk.r ORDER BY nth) AS k, count(*) OVER (PARTITION BY walk.r) AS n_known,
+    nth - lag(nth) OVER (PARTITION BY walk.r ORDER BY nth) AS gap
+  FROM walk JOIN runs ON runs.r = walk.r AND runs.i = walk.i
+), fits AS (
+  SELECT one.r, one.k, rule, license, n, min(other.nth) AS first_at, max(other.nth) AS last_at
+  FROM known one JOIN rules ON true JOIN known other ON other.r = one.r AND other.k = one.k + rules.j AND other.id = rules.id
+    AND (rules.j = 0 OR other.gap <= {rules.max_gap + 1})
+  WHERE EXISTS (SELECT 1 FROM rules head WHERE head.rule = rules.rule AND head.j = 0 AND head.id = one.id)
+  GROUP BY one.r, one.k, rule, license, n HAVING count(*) = n
+), best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY r, k ORDER BY n DESC, rule) AS place FROM fits) WHERE place = 1
+), taken AS (
+  SELECT r, 1::BIGINT AS k, n_known FROM known WHERE k = 1
+  UNION ALL
+  SELECT taken.r, taken.k + coalesce(best.n, 1), n_known FROM taken LEFT JOIN best ON best.r = taken.r AND best.k = taken.k WHERE taken.k < n_known
 ), matched AS (
-  SELECT r, count(*) AS n, string_agg(license, ',' ORDER BY k) AS licenses, min(first_at) AS first_at, max(last_at) AS last_at
-  FROM longest WHERE best = 1 GROUP BY r
+  SELECT best.r, count(*) AS n, string_agg(license, ',' ORDER BY best.k) AS licenses, min(first_at) AS first_at, max(last_at) AS last_at
+  FROM taken JOIN best ON best.r = taken.r AND best.k = taken.k GROUP BY best.r
 )
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_matches, coalesce(licenses, '') AS licenses,
   CAST(first_at AS INTEGER) AS first_sentence, CAST(last_at AS INTEGER) AS last_sentence

@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from evenkeel.llm.license_scan import SENTENCES, LicenseRules, normal, scan_licenses
+from evenkeel.llm.license_rules import COMMON_LICENSES, GPL_COPY, GPL_REDISTRIBUTE, GPL_WARRANTY, LicenseRules, normal
+from evenkeel.llm.license_scan import scan_licenses
+from evenkeel.llm.queries import license_sql
 
-GPL = [SENTENCES[k] for k in ("gpl-redistribute", "gpl-warranty", "gpl-copy")]
+GPL = [GPL_REDISTRIBUTE, GPL_WARRANTY, GPL_COPY]
 TEXTS = {
     1: ("Some prose.\nReleased under the MIT License.", [("MIT", 1, 1)]),
     2: (None, []),
@@ -93,8 +95,8 @@ MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
 
 def test_wrapped_texts(spark):
     wrapped = {
-        MIT: [("MIT", 2, 3)], GPL_3: [("GPL-3.0-or-later", 0, 6)], APACHE: [("Apache-2.0", 1, 3)], BSD: [("BSD", 1, 1)],
-        GPL_2: [("GPL-2.0-or-later", 0, 0)], MPL: [("MPL-2.0", 0, 0)], MIT.replace("\n", "\r\n"): [("MIT", 2, 3)],
+        MIT: [("MIT", 0, 3)], GPL_3: [("GPL-3.0-or-later", 0, 6)], APACHE: [("Apache-2.0", 1, 3)], BSD: [("BSD", 1, 1)],
+        GPL_2: [("GPL-2.0-or-later", 0, 0)], MPL: [("MPL-2.0", 0, 0)], MIT.replace("\n", "\r\n"): [("MIT", 0, 3)],
         "Licensed under the\nApache License, Version 2.0\nfor now": [("Apache-2.0", 0, 0)],
         "Permission is hereby\ngranted to nobody.": [], "Not\nReleased under the MIT\nLicense or so.": [],
         "This is free and unencumbered software released\ninto the public domain.": [("Unlicense", 0, 0)],
@@ -104,9 +106,67 @@ def test_wrapped_texts(spark):
     assert got == dict(enumerate(wrapped.values()))
 
 
+REFERENCES = {
+    "SPDX-License-Identifier: Apache-2.0": [("Apache-2.0", 0, 0)],
+    "// SPDX-License-Identifier: GPL-3.0-or-later\ncode;": [("GPL-3.0-or-later", 0, 0)],
+    "This project is licensed under the MIT License - see the LICENSE file for details.": [("MIT", 0, 0)],
+    "Licensed under the EUPL, Version 1.2": [("EUPL-1.2", 0, 0)],
+    "                                 Apache License\n                           Version 2.0, January 2004": [("Apache-2.0", 0, 0)],
+    "GNU LESSER GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n": [("LGPL-3.0-only", 0, 0)],
+    "Permission is hereby granted, free of charge, to any person obtaining a copy\nof my cat.": [("MIT", 0, 0)],
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": [("CC-BY-NC-4.0", 0, 0)],
+    "Intro. This library is licensed under\nthe GNU Lesser General Public License, version 2.1\nor later.": [("LGPL-2.1-or-later", 1, 1)],
+    "Licensed under the GNU General Public License, version 2\nor something": [("GPL-2.0-only", 0, 0)],
+    "Released under the MIT License.\nReleased under the MIT License.": [("MIT", 0, 0), ("MIT", 1, 1)],
+}
+
+
+def test_references_titles_and_identifiers(spark):
+    df = spark.createDataFrame(list(enumerate(REFERENCES)), "doc_id bigint, text string")
+    got = {r["doc_id"]: [tuple(m) for m in r["matches"]] for r in scan_licenses(df).collect()}
+    assert got == dict(enumerate(REFERENCES.values()))
+    assert len(COMMON_LICENSES.sentences) > 500
+
+
+def test_rules_from_a_table(spark):
+    table = spark.createDataFrame(
+        [("B", ["one license", "two license"], 2), ("A", ["one license", "two license", "three license"], 3),
+         ("C", ["one license"], 1), ("D", ["two license"], 4)],
+        "license string, sentences array<string>, position int",
+    )
+    rules = LicenseRules.from_table(table)
+    texts = {"One license. Two license.\nThree license.": ["A"], "One license. Two license.": ["B"], "one license! x. x. x. two license": ["C", "D"],
+             "three license": [], "One license. x. Two license": ["B"]}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: [m["license"] for m in r["matches"]] for r in scan_licenses(df, rules).collect()}
+    assert got == dict(enumerate(texts.values()))
+    # Of two equally long rules over the same first sentence the one listed first wins.
+    tied = LicenseRules(((0, "a license"), (1, "b license")), (("X", (0, 1)), ("Y", (0,)), ("Z", (1,))))
+    assert [m["license"] for m in scan_licenses(spark.createDataFrame([("A license. B license",)], "text string"), tied).first()["matches"]] == ["X"]
+    with pytest.raises(ValueError):
+        LicenseRules.of([("X", ["a license"]), ("Y", ["A  license!"])])
+
+
+def test_sql_has_the_same_rules(spark, tmp_path):
+    """Whole rule list, sentences over several lines, matches that take sentences from later ones."""
+    import duckdb
+
+    texts = [t for t, _ in TEXTS.values() if t is None or len(t) < 10_000] + [MIT, GPL_3, APACHE, BSD, GPL_2, MPL] + list(REFERENCES)
+    texts += [f"{GPL[0]}. {GPL[0]}.\n{GPL[1]}. {GPL[2]}. {GPL[1]}", f"{MIT}\n{APACHE}", APACHE.replace("compliance", "defiance")]
+    rows = list(enumerate(texts))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    theirs = {r[0]: r[1:] for r in con.execute(license_sql()).fetchall()}
+    for r in scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        m = r["matches"]
+        ours = (len(m), ",".join(x["license"] for x in m), m[0]["first"] if m else None, max((x["last"] for x in m), default=None))
+        assert theirs[r["doc_id"]] == ours, texts[r["doc_id"]]
+
+
 def test_rules_are_checked():
     assert normal("A  b, C-d!") == "a b c d"
     with pytest.raises(ValueError):
-        LicenseRules(sentences=(("x", "no tell tale"),), rules=())
+        LicenseRules(sentences=((0, "no tell tale"),), rules=())
     with pytest.raises(ValueError):
-        LicenseRules(rules=(("X", ("unknown",)),))
+        LicenseRules(sentences=((0, "a license"),), rules=(("X", (1,)),))
