@@ -29,7 +29,6 @@ with the names of the results is an error.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -103,60 +102,6 @@ def count_batches(batches: Iterable[pa.RecordBatch], order: int) -> Iterator[pa.
     yield from table(WORD, words.take())
 
 
-@dataclass
-class Level:
-    """One order: n-grams with their symbol in a fresh context, contexts with what escapes cost."""
-
-    keys: np.ndarray
-    fresh: np.ndarray  # log10 of the symbol's share, nothing excluded
-    log_count: np.ndarray
-    contexts: np.ndarray
-    escape: np.ndarray  # log10 of the escape, nothing excluded
-    suffix: np.ndarray  # place of the context one byte shorter, in the level below
-    left: np.ndarray  # log10 of that shorter context's total after this one's symbols are excluded
-    escape_left: np.ndarray  # log10 of its escape after that exclusion
-
-
-@dataclass
-class PpmModel:
-    levels: list[Level]  # by order, from no context upwards
-    last: float  # log10 of a symbol below order 0
-
-    def score(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol, given as packed n-gram of the highest order."""
-        score = np.zeros(keys.size)
-        open_ = np.arange(keys.size)
-        came = np.full(keys.size, -1)  # the context escaped from, as a place in the level above
-        for order in range(len(self.levels) - 1, -1, -1):
-            level = self.levels[order]
-            above = self.levels[order + 1] if order + 1 < len(self.levels) else None
-            keys = keys & np.uint64((1 << (8 * (order + 1))) - 1)
-            at, escaped = find(level.keys, keys), came >= 0
-            hit = at >= 0
-            plain = hit & ~escaped
-            score[open_[plain]] += level.fresh[at[plain]]
-            if above is not None:
-                low = hit & escaped
-                score[open_[low]] += level.log_count[at[low]] - above.left[came[low]]
-            open_, keys, came, escaped = open_[~hit], keys[~hit], came[~hit], escaped[~hit]
-            if not open_.size:
-                return score
-            here = np.full(open_.size, -1)
-            here[~escaped] = find(level.contexts, keys[~escaped] >> np.uint64(8))
-            known = here >= 0
-            score[open_[known]] += level.escape[here[known]]
-            if above is not None:
-                score[open_[escaped]] += above.escape_left[came[escaped]]
-                here[escaped] = above.suffix[came[escaped]]
-            came = here
-        score[open_] += self.last
-        return score
-
-
-def safe_log10(x: np.ndarray) -> np.ndarray:
-    return np.log10(x, out=np.zeros(x.size), where=x > 0)
-
-
 def masked(key: Column, symbols: int) -> Column:
     """The newest ``symbols`` bytes of a packed n-gram."""
     return key if symbols >= 8 else key.bitwiseAND(F.lit((1 << (8 * symbols)) - 1).cast("long"))
@@ -213,56 +158,6 @@ def scored_ngrams(ngrams: DataFrame, order: int) -> DataFrame:
     return materialize(level.select("key", "used", "fresh"), "ppm-scored")
 
 
-def build_model(order: int, tables: dict[int, tuple[np.ndarray, np.ndarray]], texts: int, total: int) -> PpmModel:
-    """The model in memory, from counts per order (keys sorted): what ``scored_ngrams`` does, for tables that fit.
-
-    ``texts`` and ``total`` count training texts and symbols. N-grams left out of the tables give their mass to the escapes.
-    """
-    if not total:
-        return PpmModel([], -np.log10(SYMBOLS))
-    levels, kinds_below, kept_below, totals_below = [], None, None, None
-    for m in range(order + 1):
-        keys, counts = tables[m]
-        owner = keys >> np.uint64(8)
-        heads = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if keys.size else np.zeros(0, np.int64)
-        contexts = owner[heads]
-        kinds = np.diff(np.append(heads, keys.size)).astype(float)
-        kept = np.add.reduceat(counts, heads).astype(float) if keys.size else np.zeros(0)
-        of = np.repeat(np.arange(heads.size), kinds.astype(np.int64))
-        if m == 0:
-            totals, suffix = np.full(contexts.size, float(total)), np.zeros(contexts.size, np.int64)
-            left, escape_left = np.zeros(contexts.size), np.zeros(contexts.size)
-        else:
-            lower_keys, lower_counts = tables[m - 1]
-            # A context is followed by one symbol each time it occurs; only padding isn't counted as a symbol.
-            at = find(lower_keys, contexts)
-            totals = np.where(at >= 0, lower_counts[np.maximum(at, 0)] if lower_counts.size else 0, texts).astype(float)
-            suffix = find(levels[m - 1].contexts, contexts & np.uint64((1 << (8 * (m - 1))) - 1))
-            seen_below = lower_counts[find(lower_keys, keys & np.uint64((1 << (8 * m)) - 1))].astype(float)
-            excluded = np.bincount(of, seen_below, contexts.size)
-            rest = totals_below[suffix] - excluded
-            rest_kinds = kinds_below[suffix] - kinds
-            rest_kept = kept_below[suffix] - excluded
-            whole = rest + rest_kinds
-            left = safe_log10(whole)
-            escape_left = np.where(whole > 0, safe_log10(rest - rest_kept + rest_kinds) - left, 0.0)
-        denominator = totals + kinds
-        level = Level(
-            keys,
-            safe_log10(counts.astype(float)) - safe_log10(denominator)[of],
-            safe_log10(counts.astype(float)),
-            contexts,
-            safe_log10(totals - kept + kinds) - safe_log10(denominator),
-            suffix,
-            left,
-            escape_left,
-        )
-        levels.append(level)
-        kinds_below, kept_below, totals_below = kinds, kept, totals
-    unseen = max(SYMBOLS - levels[0].keys.size, 1)
-    return PpmModel(levels, -float(np.log10(unseen)))
-
-
 SCORED = (
     ("row", pa.int64()),
     ("n_words", pa.int64()),

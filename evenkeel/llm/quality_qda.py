@@ -268,7 +268,7 @@ def score_statistics(stats: DataFrame, model) -> DataFrame:
 
 def score_quality(docs: DataFrame, labels: DataFrame, training: Column, text: str = "text") -> DataFrame:
     """``docs`` without its text, with ``score`` (0 to 1) and ``predicted``; ``training`` is over labels' doc_id."""
-    clash = {"stats", "score", "predicted"} & set(docs.columns)
+    clash = {"stats", "score", "predicted", "text"} & (set(docs.columns) - {text})
     if clash:
         raise ValueError(f"columns {sorted(clash)} exist already")
     stats = materialize(text_statistics(docs, text), "quality-statistics")

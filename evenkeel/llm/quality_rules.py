@@ -12,7 +12,8 @@ measured them and splits a host that holds a large share of the rows.
 
 Defined cases: a null text has no words, hence fails; a null host has no verdict of its own and
 its documents stand or fall by themselves; repeated rows count as often as they occur; an empty
-table gives an empty result; other columns of the input are not looked at.
+table gives an empty result; other columns of the input pass through, and a clash with the names
+of the results or of the columns used on the way is an error.
 """
 
 from __future__ import annotations
@@ -35,12 +36,24 @@ class HostRules:
     max_host_rate: float = 0.7
 
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+HELPERS = ("_pieces", "_lines", "_words", "_hashes", "_windows", "_starts", "_host")
+VERDICTS = ("base_failed", "host_failed", "kept")
+
+
+def refuse_names(docs: DataFrame, names: tuple[str, ...], text: str) -> None:
+    clash = set(names) & (set(docs.columns) - {text})
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} exist already")
+
+
 def document_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without its text, with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words.
 
     Repeated windows are found by sorting a 64-bit hash of each three-word window with its
     place inside the row, so the work per text is n log n and no row leaves its task.
     """
+    refuse_names(docs, MEASURES + HELPERS, text)
     raw = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(raw, "\n"), lambda x: x.rlike(HAS_WORD))
     others = [c for c in docs.columns if c != text]
@@ -136,6 +149,7 @@ def host_verdicts(judged: DataFrame, host: str, rules: HostRules = HostRules())
 
 def judge_documents(docs: DataFrame, host: str = "source", rules: HostRules = HostRules(), text: str = "text") -> DataFrame:
     """The columns of ``docs`` but its text, the measures, ``base_failed``, ``host_failed`` and ``kept``."""
+    refuse_names(docs, MEASURES + HELPERS + VERDICTS, text)
     short = F.col("n_words") < rules.min_words
     looping = 100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")
     judged = materialize(document_measures(docs, text).withColumn("base_failed", short | looping), "quality-rules")

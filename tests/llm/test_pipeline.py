@@ -19,7 +19,7 @@ def test_query_agrees_with_sql(spark, sf, key):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark, sf, tmp_path):
@@ -68,3 +68,9 @@ def test_run(spark, sf):
     assert out.where("batch IS NOT NULL").count() > 0
     assert out.where("length > bucket OR padding < 0").count() == 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "quality_classifier", "simhash_near_dup", "mixing", "packing"]
+
+
+def test_run_on_empty_tables(spark, sf, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{sf}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -3,11 +3,10 @@
 import math
 from collections import Counter, defaultdict
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from evenkeel.llm.ppm import END, PAD, SYMBOLS, build_model, score_texts
+from evenkeel.llm.ppm import END, PAD, SYMBOLS, score_texts, scored_ngrams
 from evenkeel.llm.queries import QUERIES
 
 TEXTS = [
@@ -100,23 +99,24 @@ def test_rare_ngrams_are_scored_from_their_counts(spark, order):
         assert r["score"] == pytest.approx(plain_score(texts[r["doc_id"]], training, order), rel=1e-9)
 
 
-def test_probabilities_sum_to_one():
+def test_probabilities_sum_to_one(spark):
+    """Behind any context, known or not, the symbols share a probability of one."""
     training = ["abracadabra", "abba", "cab"]
-    follows = defaultdict(Counter)
+    counts = Counter()
     for t in training:
         s = [PAD] * 2 + list(t.encode()) + [END]
-        for i in range(2, len(s)):
-            for m in range(3):
-                follows[m][int.from_bytes(bytes(s[i - m : i + 1]), "big")] += 1
-    tables = {m: (np.array(sorted(c), np.uint64), np.array([c[k] for k in sorted(c)])) for m, c in follows.items()}
-    for floor in (1, 2):  # pruned n-grams give their mass to the escapes
-        cut = {m: (k[n >= floor], n[n >= floor]) for m, (k, n) in tables.items()}
-        model = build_model(2, cut, len(training), sum(len(t) + 1 for t in training))
-        for context in (b"ab", b"ra", b"\xff\xff", b"zz", b"za"):
-            keys = np.array([int.from_bytes(context + bytes([s]), "big") for s in range(256)], np.uint64)
-            # The alphabet has one symbol more than there are bytes; it is never seen and shares the lowest level.
-            unseen = np.array([int.from_bytes(context + b"\xf9", "big")], np.uint64)
-            assert 10.0 ** model.score(keys) @ np.ones(256) + 10.0 ** model.score(unseen)[0] == pytest.approx(1.0)
+        counts.update(int.from_bytes(bytes(s[i - 2 : i + 1]), "big") for i in range(2, len(s)))
+    contexts = (b"ab", b"ra", b"\xff\xff", b"zz", b"za")
+    assert SYMBOLS <= 257  # bytes that UTF-8 has no use for stand for the end and the padding
+    for context in contexts:
+        for symbol in range(256):
+            counts.setdefault(int.from_bytes(context + bytes([symbol]), "big"), 0)
+    ngrams = spark.createDataFrame([(k, n, 1) for k, n in counts.items()], "key bigint, n bigint, used bigint")
+    fresh = {r["key"]: r["fresh"] for r in scored_ngrams(ngrams, 2).collect()}
+    for context in contexts:
+        own = [10.0 ** fresh[int.from_bytes(context + bytes([s]), "big")] for s in range(256)]
+        # The alphabet may have one symbol more than there are bytes; it is never seen and scores as any unseen one.
+        assert sum(own) + (SYMBOLS - 256) * min(own) == pytest.approx(1.0)
 
 
 def test_no_training_and_empty_table(spark):

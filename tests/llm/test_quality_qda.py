@@ -81,3 +81,10 @@ def test_query_is_right_on_held_out_rows(spark, sf):
     got = QUERIES["op3_quality_classifier"](spark, folder).where("held_out").join(labels, "doc_id")
     by = {r["quality"]: r["p"] for r in got.groupBy("quality").agg(F.avg("predicted").alias("p")).collect()}
     assert by[1] > 0.97 and by[0] < 0.15
+
+
+@pytest.mark.parametrize("name", ("stats", "score", "predicted"))
+def test_clashing_names_are_refused(spark, name):
+    docs = spark.createDataFrame([(1, "a", 2)], f"doc_id bigint, text string, {name} int")
+    with pytest.raises(ValueError, match="exist already"):
+        score_quality(docs, spark.createDataFrame([(1, 1)], "doc_id bigint, quality int"), F.lit(True))

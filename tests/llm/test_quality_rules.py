@@ -68,3 +68,15 @@ def test_a_host_takes_its_documents_down(spark):
     assert judge_documents(df, rules=HostRules(max_host_rate=1.0)).where("doc_id = 200").first()["kept"]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("name", ("n_words", "host_failed", "_words", "base_failed", "kept"))
+def test_clashing_names_are_refused(spark, name):
+    with pytest.raises(ValueError, match="exist already"):
+        judge_documents(spark.createDataFrame([(1, "a", "s", 2)], f"doc_id bigint, text string, source string, {name} int"))
+
+
+def test_other_names(spark):
+    df = spark.createDataFrame([(1, "a b c", "s", 2)], "doc_id bigint, _words string, host string, text int")
+    row = judge_documents(df, host="host", text="_words").first()
+    assert (row["n_words"], row["text"], row["base_failed"]) == (3, 2, True)
