@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from evenkeel.catalog.registry import derived, derived_sql, query, rounded, table
 from evenkeel.operators.drift import drift_check, drift_snapshot, should_retrain
-from evenkeel.operators.histogram import histogram, psi, unique_edges, with_bin
+from evenkeel.operators.histogram import histogram, psi, unique_edges_of, with_bin
+from evenkeel.operators.sketches import day_sketches, load_sketches, save_sketches
 from evenkeel.plans.monitoring import run_drift_check
 from evenkeel.session import scratch_path
 from evenkeel.sources.snapshots import load_snapshot, save_snapshot
@@ -96,11 +97,9 @@ FINITE = "CASE WHEN edge = CAST('Infinity' AS DOUBLE) THEN 1e300 WHEN edge = CAS
 )
 def _(spark, sf):
     df = derived(spark, sf, "lineitem", (*PRICES, *UNBOUNDED))
-    rows = [
-        (name, i, edge)
-        for name, bins in (("price", 10), ("l_quantity", 100), ("unbounded", 10))
-        for i, edge in enumerate(unique_edges(df, name, bins)[1])
-    ]
+    columns = [("price", 10), ("l_quantity", 100), ("unbounded", 10)]
+    found = unique_edges_of(df, columns)
+    rows = [(name, i, edge) for (name, _), (_, edges) in zip(columns, found) for i, edge in enumerate(edges)]
     return spark.createDataFrame(rows, "name string, i bigint, edge double").withColumn("edge", F.expr(FINITE.replace("1e300", "1e300D")))
 
 
@@ -206,6 +205,18 @@ def _(spark, sf):
     return snapshot_rows(spark, drift_snapshot(derived(spark, sf, "lineitem", PRICES), "price", "l_shipdate"))
 
 
+@query("drift_snapshot_merged", snapshot_sql(f"SELECT * FROM {PRICES_SQL}"))
+def _(spark, sf):
+    df = derived(spark, sf, "lineitem", PRICES)
+    path, month = scratch_path(spark, "sketches"), F.date_format("l_shipdate", "yyyy-MM")
+    # A year comes at a time, and the last one twice.
+    for year in (*range(1992, 1999), 1998):
+        save_sketches(day_sketches(df.where(F.year("l_shipdate") == year), F.col("price"), month), path)
+    others = df.where("year(l_shipdate) < 1992 OR year(l_shipdate) > 1998")
+    save_sketches(day_sketches(others, F.col("price"), month), path)
+    return snapshot_rows(spark, drift_snapshot(df, "price", "l_shipdate", sketches=load_sketches(spark, path)))
+
+
 @query("snapshot_roundtrip", snapshot_sql(f"SELECT * FROM {PRICES_SQL}"))
 def _(spark, sf):
     path = scratch_path(spark, "snapshot")

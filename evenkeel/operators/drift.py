@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,6 +11,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, IntegerType, Stri
 from evenkeel.functions.numeric import nan_to_null
 from evenkeel.operators.histogram import EMPTY_SHARE, with_bin
 from evenkeel.operators.order_stats import column_quantiles, exact_quantiles, long_series
+from evenkeel.operators.sketches import merged_grid
 
 # Drift levels on the stability index, and the default bin count.
 MODERATE = 0.01
@@ -72,16 +74,25 @@ def logged_price(c: Column) -> Column:
     return F.when(price <= -1, F.lit(float("-inf"))).otherwise(F.log1p(price))
 
 
-def drift_snapshot(df: DataFrame, target: str, date: str | None, bins: int = BINS) -> DriftSnapshot:
-    """Summary of a table to compare later ones with.
+def drift_snapshot(
+    df: DataFrame, target: str, date: str | None, bins: int = BINS, sketches: DataFrame | None = None
+) -> DriftSnapshot:
+    """Summary of a table to compare later ones with. The table is read twice, whatever its size.
 
-    Values at or below -1 have no logarithm, hence no place in a reference: they are an error.
+    ``sketches`` (from ``sketches.day_sketches``) of the table's days, or of any parts that make it up, bracket the
+    quantiles, so that the first reading finds them. Values at or below -1 have no logarithm, hence no place in a reference: they are an error.
     Collected to the driver: one summary row and 3 * (bins + 1) numbers.
     """
     price = nan_to_null(F.col(target).cast("double"))
     series = long_series(df, [(0, F.log1p(price)), (1, price)])
     steps = [i / bins for i in range(bins + 1)]
-    values = exact_quantiles(series, {0: steps, 1: [0.5, *steps]})
+    grids = None
+    if sketches is not None:
+        size, grid = merged_grid(sketches)
+        if grid and grid[0] <= -1:
+            raise ValueError(f"values of '{target}' are at or below -1")
+        grids = {0: (size, [math.log1p(x) for x in grid]), 1: (size, grid)}
+    values = exact_quantiles(series, {0: steps, 1: [0.5, *steps]}, grids=grids)
     if 0 not in values:
         raise ValueError(f"no present values above -1 in '{target}'")
     edges = sorted(set(values[0][1]))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from evenkeel.functions.binning import bin_number, segment_number
 from evenkeel.functions.numeric import nan_to_null
-from evenkeel.operators.order_stats import column_quantiles
+from evenkeel.operators.order_stats import column_quantiles, exact_quantiles, long_series
 
 EMPTY_SHARE = 1e-6
 MIN_ROWS = 10
@@ -20,6 +20,14 @@ def unique_edges(df: DataFrame, column: str | Column, bins: int) -> tuple[int, l
     return size, sorted(set(values))
 
 
+def unique_edges_of(df: DataFrame, columns: Sequence[tuple[str | Column, int]]) -> list[tuple[int, list[float]]]:
+    """``unique_edges`` of several columns, each with its number of bins, in one selection."""
+    named = [(i, F.col(c) if isinstance(c, str) else c) for i, (c, _) in enumerate(columns)]
+    steps = {i: [k / bins for k in range(bins + 1)] for i, (_, bins) in enumerate(columns)}
+    found = exact_quantiles(long_series(df, named), steps)
+    return [(found[i][0], sorted(set(found[i][1]))) if i in found else (0, []) for i in steps]
+
+
 def with_bin(df: DataFrame, x: Column, edges: Sequence[float], clipped: bool) -> DataFrame:
     """Add ``bin``; out-of-range values are dropped into NULL, or clipped to the edge bins."""
     valued = df.withColumn("__x", nan_to_null(x.cast("double")))

@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from evenkeel.functions.numeric import is_present
+from evenkeel.session import materialize
 
 GRID = 400
 SKETCH_ACCURACY = 4_000
@@ -198,21 +199,34 @@ def _band_pass(series: DataFrame, searches: Mapping[int, _Search]) -> None:
             search.narrow(lost[number])
 
 
-def order_statistics(series: DataFrame, ranks_of) -> dict[int, tuple[int, dict[int, float]]]:
+Grids = Mapping[int, tuple[int, Sequence[float]]]
+
+
+def order_statistics(
+    series: DataFrame, ranks_of, grids: Grids | None = None, stored: bool = False
+) -> dict[int, tuple[int, dict[int, float]]]:
     """Exact values at 0-based ranks, per series.
 
     ``ranks_of(series_number, size)`` names the ranks once the size is known.
-    Collected to the driver: per series, the grid of one sketch per searched gap
-    and the values found. Series numbers are few (columns, segments), never keys.
+    The series are written first, two narrow columns that every pass reads, unless the caller says that they
+    are ``stored`` already. With ``grids`` (size and ``GRID`` + 1 about evenly spaced quantiles per series, from
+    sketches that were kept) the first pass is the exact one, over the source itself. Collected to the driver: per
+    series, the grid of one sketch per searched gap and the values found. Series numbers are
+    few (columns, segments), never keys.
     """
     searches: dict[int, _Search] = {}
     band = 0
-    for r in sketched(series, ["series"], "x", GRID).collect():
-        search = _Search(size=r["n"], pending=sorted(set(ranks_of(r["series"], r["n"]))))
-        brackets = [_bracket(r["grid"], k / r["n"], None, None) for k in search.pending]
-        band += sum(_expected(r["n"], *ends) for ends in brackets)
+    if grids is None:
+        series = series if stored else materialize(series, "series")
+        rows = [(r["series"], r["n"], r["grid"]) for r in sketched(series, ["series"], "x", GRID).collect()]
+    else:
+        rows = [(number, size, grid) for number, (size, grid) in grids.items() if size]
+    for number, size, grid in rows:
+        search = _Search(size=size, pending=sorted(set(ranks_of(number, size))))
+        brackets = [_bracket(grid, k / size, None, None) for k in search.pending]
+        band += sum(_expected(size, *ends) for ends in brackets)
         search.narrow(brackets)
-        searches[r["series"]] = search
+        searches[number] = search
     while any(s.pending for s in searches.values()):
         active = {number: s for number, s in searches.items() if s.pending}
         if band > BAND_LIMIT:
@@ -239,7 +253,13 @@ def _between(a: float, b: float, t: float) -> float:
     return b - (b - a) * (1 - t) if t >= 0.5 else a + (b - a) * t
 
 
-def exact_quantiles(series: DataFrame, probs: Mapping[int, Sequence[float]] | Sequence[float], method: str = "linear"):
+def exact_quantiles(
+    series: DataFrame,
+    probs: Mapping[int, Sequence[float]] | Sequence[float],
+    method: str = "linear",
+    grids: Grids | None = None,
+    stored: bool = False,
+):
     """Quantiles per series, as {series: (size, [one value per probability])}.
 
     ``linear`` interpolates between the two neighbouring order statistics,
@@ -255,7 +275,7 @@ def exact_quantiles(series: DataFrame, probs: Mapping[int, Sequence[float]] | Se
         return [k for p in wanted(number) for k in _neighbours(p, size)[:2]]
 
     out = {}
-    for number, (size, value) in order_statistics(series, ranks).items():
+    for number, (size, value) in order_statistics(series, ranks, grids, stored).items():
         if method == "higher":
             out[number] = (size, [value[math.ceil(p * (size - 1))] for p in wanted(number)])
         else:

@@ -35,21 +35,22 @@ def split_exact(df: DataFrame, test_share: float, seed: int, key: Sequence[str])
     return split_by_number(df.withColumn("__n", hash_number(seed, key)), "__n", test_share).drop("__n")
 
 
-def split_by_number(df: DataFrame, number: str, test_share: float) -> DataFrame:
+def split_by_number(df: DataFrame, number: str, test_share: float, stored: bool = False) -> DataFrame:
     """Add ``is_test`` to the ``ceil(share * n)`` rows with the smallest numbers.
 
     The number at that rank is found by selection, then each row compares with it:
     no sort, no shuffle of the rows. Only rows that hold that very number, where it
-    straddles the cut, are ordered further, by a number from their whole content.
+    straddles the cut, are ordered further, by a number from their whole content. ``stored``: the
+    numbers are a column of a written table, not worked out anew by each pass.
     """
     series = long_series(df, [(0, F.col(number))])
     # The cut and the next rank: if they differ, no row ties with the cut across it.
-    stats = order_statistics(series, lambda _, n: _cut_ranks(test_share, n))
+    stats = order_statistics(series, lambda _, n: _cut_ranks(test_share, n), stored=stored)
     size, found = stats.get(0, (0, {}))
     return _cut_at(df, number, math.ceil(test_share * size), size, found)
 
 
-def split_in_three(df: DataFrame, number: str, test_share: float, calibration_share: float) -> DataFrame:
+def split_in_three(df: DataFrame, number: str, test_share: float, calibration_share: float, stored: bool = False) -> DataFrame:
     """Add ``part``: "test" for the ``ceil(test_share * n)`` rows with the smallest numbers, "calibration" for the next
     ``ceil(calibration_share * n)``, "train" for the rest.
 
@@ -60,7 +61,7 @@ def split_in_three(df: DataFrame, number: str, test_share: float, calibration_sh
     series = long_series(df, [(0, F.col(number))])
     ends = lambda n: (math.ceil(test_share * n), min(n, math.ceil(test_share * n) + math.ceil(calibration_share * n)))
     ranks = lambda _, n: sorted({k for e in ends(n) for k in (e - 1, e) if 0 <= k < n})
-    size, found = order_statistics(series, ranks).get(0, (0, {}))
+    size, found = order_statistics(series, ranks, stored=stored).get(0, (0, {}))
     low, high = ends(size)
     upper = _cut_at(df, number, high, size, found).withColumnRenamed("is_test", "__held")
     if low in (0, high) or low == size or found[low] > found[low - 1]:
@@ -94,7 +95,7 @@ def _cut_at(df: DataFrame, number: str, wanted: int, size: int, found: dict[int,
 
 def _first_of(edge: DataFrame, wanted: int) -> DataFrame:
     """Add ``is_test`` to ``wanted`` rows of ``edge``: those with the smallest ``__row``, then any copies."""
-    stats = order_statistics(long_series(edge, [(0, F.col("__row"))]), lambda _, size: [wanted - 1] if 0 < wanted <= size else [])
+    stats = order_statistics(long_series(edge, [(0, F.col("__row"))]), lambda _, size: [wanted - 1] if 0 < wanted <= size else [], stored=True)
     size, found = stats[0]
     cut = found[wanted - 1]
     row = F.col("__row")

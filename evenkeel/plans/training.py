@@ -76,8 +76,8 @@ def prepare_training(df: DataFrame, cfg: TrainConfig, removed: Observation | Non
     )
     cleaned = materialize(rows.select(*c.training_columns, "__n"), "cleaned")
     if not cfg.calibration_size:
-        return split_by_number(cleaned, "__n", cfg.test_size).drop("__n")
-    split = split_in_three(cleaned, "__n", cfg.test_size, cfg.calibration_size)
+        return split_by_number(cleaned, "__n", cfg.test_size, stored=True).drop("__n")
+    split = split_in_three(cleaned, "__n", cfg.test_size, cfg.calibration_size, stored=True)
     named = split.withColumn("is_test", F.col("part") == "test").withColumn("is_calibration", F.col("part") == "calibration")
     return named.drop("__n", "part")
 

@@ -4,6 +4,9 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from evenkeel.operators import order_stats
+from evenkeel.operators.drift import drift_snapshot
+from evenkeel.operators.histogram import unique_edges, unique_edges_of
+from evenkeel.operators.sketches import day_sketches, merged_grid
 from evenkeel.operators.order_stats import column_quantiles, exact_quantiles, long_series
 from evenkeel.operators.ranking import numbered_within, split_approximate, split_exact
 
@@ -104,3 +107,44 @@ def test_numbering_a_hot_key_whose_order_values_are_all_equal(spark):
     assert out.exceptAll(again).count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "__slice" in plan
+
+
+def counted_rows(spark, n):
+    """A table that counts how many of its rows are read."""
+    read = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    made = spark.range(n).select((F.col("id") * 7919 % 10007).cast("double").alias("x"), F.lit("2024-01-01").alias("d"))
+    return made.repartition(4).mapInPandas(passed, made.schema), read
+
+
+@pytest.mark.parametrize("kept", (False, True))
+def test_a_snapshot_reads_its_table_twice(spark, monkeypatch, kept):
+    monkeypatch.setattr("evenkeel.operators.order_stats.BAND_LIMIT", 400)  # several passes of selection
+    df, read = counted_rows(spark, 20_000)
+    plain = drift_snapshot(df, "x", "d")
+    assert read.value == 2 * 20_000
+    if kept:
+        sketches = day_sketches(df, F.col("x"), F.pmod("x", F.lit(5)))
+        monkeypatch.undo()
+        sketches = spark.createDataFrame(sketches.collect(), "day string, sketch binary")
+        before = read.value
+        assert drift_snapshot(df, "x", "d", sketches=sketches) == plain
+        assert read.value - before == 2 * 20_000
+
+
+def test_wrong_sketches_cost_passes_only(spark):
+    df, _ = counted_rows(spark, 3000)
+    other = day_sketches(df.withColumn("x", F.col("x") + 5e5), F.col("x"), F.lit("a"))
+    assert drift_snapshot(df, "x", "d", sketches=other) == drift_snapshot(df, "x", "d")
+    assert merged_grid(other.limit(0)) == (0, [])
+
+
+def test_edges_of_several_columns(spark):
+    df = spark.range(1000).select(F.col("id").cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("b"), F.lit(None).cast("double").alias("c"))
+    both = unique_edges_of(df, [("a", 10), ("b", 4), ("c", 5)])
+    assert both == [unique_edges(df, "a", 10), unique_edges(df, "b", 4), (0, [])]
