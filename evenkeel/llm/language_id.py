@@ -18,7 +18,9 @@ result. With 200 languages the array holds 20,000 n-grams, with four 800,000.
 The language with the lowest cross-entropy per symbol wins. Whether that entropy is one that texts
 of the language have is judged against its spread as a function of length over all training texts
 that are recognised; a text is rejected beyond the distance that only ``FALSE_REJECTS`` of these
-texts reach, and beyond ``LEAST_LIMIT`` deviations in any case, as few texts say little about so rare ones.
+texts reach, and never within ``LEAST_LIMIT`` deviations, as few texts say little about so rare ones. Of 10,000
+documents in four languages the farthest is 10.3 deviations away; texts in six other languages are 30 to 106, 200
+of random letters 26 to 73.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and rejected; without
 training texts so is every text; ties go to the language that sorts first; repeated rows are
@@ -42,7 +44,7 @@ ORDER = 4
 UNKNOWN = "und"
 MAX_LANGUAGES = 1000
 FALSE_REJECTS = 1e-4  # share of recognised training texts
-LEAST_LIMIT = 8.0  # standard deviations above a language's usual cross-entropy
+LEAST_LIMIT = 14.0  # standard deviations above a language's usual cross-entropy
 TABLE_BYTES = 32 << 20
 EVIDENCE = 100  # symbols at most that the confidence rests on
 
