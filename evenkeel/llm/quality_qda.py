@@ -200,18 +200,31 @@ def fit_discriminant(moments: dict[int, np.ndarray], shrink: float, ridge: float
 
 
 def calibrated(model: Discriminant, bins: list[tuple[float, int, int]]) -> Discriminant:
-    """Slope and intercept of the logistic curve through (difference, label, rows), slightly regularised."""
+    """Slope and intercept of the logistic curve through (difference, label, rows), slightly regularised.
+
+    The loss is convex, and a Newton step is halved until it lowers the loss, so the best curve is found wherever
+    the classes lie; whole steps run away where they are far apart.
+    """
     x, y, w = (np.array(c, float) for c in zip(*bins))
-    design = np.stack([x, np.ones(x.size)], axis=1)
-    beta = np.array([1.0, 0.0])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        gradient = design.T @ (w * (y - p)) - 1e-3 * (beta - [1.0, 0.0])
+    design, start = np.stack([x, np.ones(x.size)], axis=1), np.array([1.0, 0.0])
+
+    def loss(beta: np.ndarray) -> float:
+        z = design @ beta
+        return float((w * (np.logaddexp(0, z) - y * z)).sum() + 0.5e-3 * ((beta - start) ** 2).sum())
+
+    beta, here = start, loss(start)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(design @ beta, -500, 500)))
+        gradient = design.T @ (w * (p - y)) + 1e-3 * (beta - start)
         curve = (design * (w * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
         step = np.linalg.solve(curve, gradient)
-        beta = beta + np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-9:
+        if gradient @ step <= 1e-10 * (1 + abs(here)):
             break
+        size = 1.0
+        while size > 1e-12 and loss(beta - size * step) > here - 1e-4 * size * (gradient @ step):
+            size /= 2
+        beta = beta - size * step
+        here = loss(beta)
     model.slope, model.intercept = max(float(beta[0]), 1e-3), float(beta[1])
     return model
 

@@ -7,10 +7,13 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from evenkeel.llm.quality_qda import STATISTICS, THRESHOLD, fit_discriminant, keep_good, score_quality, statistics
+from evenkeel.llm.quality_qda import STATISTICS, THRESHOLD, calibrated, fit_discriminant, keep_good, score_quality, statistics
 from evenkeel.llm.queries import QUERIES, quality_training
 
 
+MOMENTS = {k: np.concatenate([[50.0], np.full(len(STATISTICS), 50.0 * k), 50.0 * (np.eye(len(STATISTICS)) + k).ravel()]) for k in (0, 1)}
+
+
 def plain(text):
     text = text or ""
     words = [w for w in "".join(" " if c in "\t\n\x0b\x0c\r" else c for c in text).split(" ") if w]
@@ -88,3 +91,17 @@ def test_clashing_names_are_refused(spark, name):
     docs = spark.createDataFrame([(1, "a", 2)], f"doc_id bigint, text string, {name} int")
     with pytest.raises(ValueError, match="exist already"):
         score_quality(docs, spark.createDataFrame([(1, 1)], "doc_id bigint, quality int"), F.lit(True))
+
+
+@pytest.mark.parametrize("bad, good, lost", [(-6.6, 4.9, 12), (-0.5, 0.5, 0), (-12.0, 12.0, 1), (3.0, 5.0, 2), (-40.0, 1.0, 3)])
+def test_calibration_finds_the_curve_between_classes(bad, good, lost):
+    """Far apart or near, shifted, and with a few good texts among the bad ones: the bad stay below the threshold."""
+    spread = np.linspace(-0.4, 0.4, 9)
+    bins = [(bad + d, 0, 250) for d in spread] + [(good + d, 1, 1600) for d in spread] + ([(bad + 1.2, 1, lost)] if lost else [])
+    model = calibrated(fit_discriminant(MOMENTS, 0.1, 0.02), bins)
+    score = lambda x: 1 / (1 + np.exp(-(model.slope * x + model.intercept)))
+    assert score(bad) < 0.3 and score(good) > 0.9 and model.slope > 0
+    # No other curve near it fits better.
+    loss = lambda a, b: sum(w * np.logaddexp(0, -(2 * y - 1) * (a * x + b)) for x, y, w in bins) + 0.5e-3 * ((a - 1) ** 2 + b * b)
+    best = loss(model.slope, model.intercept)
+    assert all(loss(model.slope + da, model.intercept + db) >= best - 1e-6 for da in (-0.05, 0, 0.05) for db in (-0.05, 0, 0.05))
