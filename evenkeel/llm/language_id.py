@@ -35,7 +35,7 @@ from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from evenkeel.llm.textbytes import RUN_BYTES, Run, Tally, find, runs
 from evenkeel.session import materialize
@@ -227,6 +227,15 @@ def rare_batches(batches: Iterable[pa.RecordBatch], keys: np.ndarray) -> Iterato
             yield pa.RecordBatch.from_arrays([digest, pa.array(rare.view(np.int64)), pa.array(n)], ["digest", "key", "n"])
 
 
+def least_count(lengths: DataFrame, capacity: int) -> int:
+    """The count from which on no more than ``capacity`` n-grams are as common. A row per different count is ordered."""
+    counted = lengths.groupBy("n").agg(F.count("*").alias("keys"))
+    as_common = F.sum("keys").over(Window.orderBy(F.desc("n")))
+    fits = counted.withColumn("as_common", as_common).where(F.col("as_common") <= capacity)
+    found = fits.agg(F.min("n")).first()[0]
+    return (1 << 62) if found is None else found
+
+
 class Models:
     """The code lengths of all n-grams of a table of texts: the common ones as arrays, the others as a table."""
 
@@ -246,8 +255,7 @@ class Models:
             used = counts.groupBy("key").agg(F.sum("n").alias("n"))
             lengths = materialize(code_lengths(used, learnt, len(self.languages)), "language-bits")
             capacity = capacity or max(1, TABLE_BYTES // (8 + 8 * len(self.languages)))
-            total = lengths.agg(F.sum("n")).first()[0]
-            often = F.col("n") * F.lit(capacity) >= F.lit(total)
+            often = F.col("n") >= F.lit(least_count(lengths, capacity))
             common = lengths.where(often).select("key", "bits").toArrow()  # no more than ``capacity`` rows
             keys = common.column("key").to_numpy().view(np.uint64)
             order = np.argsort(keys)
