@@ -588,6 +588,39 @@ def _(spark, sf):
     return scored.select(rounded("label", 4).alias("label"), *[rounded(c, 3).alias(c) for c in ("prediction", "lower_bound", "upper_bound")])
 
 
+# Larger fits over numeric and categorical columns, which SQL can't follow.
+MIXED = Contract(numeric=LINEAR.numeric, categorical=("status",), target="label", defaults=LINEAR.defaults)
+GROWN = {
+    "random_forest": {"n_estimators": 20, "max_depth": 6, "max_bins": 64},
+    "hist_gradient_boosting": {"max_iter": 10, "learning_rate": 0.3, "max_depth": 3, "max_bins": 64},
+}
+
+
+@cache
+def grown(spark, sf, family):
+    split = prepare_training(lines(spark, sf), config(MIXED))
+    return fit_pipeline(split.where("NOT is_test"), MIXED, family, GROWN[family]), split.where("is_test")
+
+
+@query("fit_rf_grown")
+def _(spark, sf):
+    (pipeline, _), test = grown(spark, sf, "random_forest")
+    return tidy_metrics(regression_metrics(pipeline.transform(test), "label", "prediction"))
+
+
+@query("fit_gbt_grown")
+def _(spark, sf):
+    (pipeline, _), test = grown(spark, sf, "hist_gradient_boosting")
+    return tidy_metrics(regression_metrics(pipeline.transform(test), "label", "prediction"))
+
+
+@query("interval_forest_grown")
+def _(spark, sf):
+    (pipeline, _), test = grown(spark, sf, "random_forest")
+    scored = forest_interval(pipeline, test)
+    return scored.select(rounded("label", 4).alias("label"), *[rounded(c, 3).alias(c) for c in ("prediction", "lower_bound", "upper_bound")])
+
+
 @query(
     "target_transform",
     f"WITH {ridge_sql()} SELECT round(label, 4) AS label, round(prediction, 3) AS prediction FROM te",
@@ -705,8 +738,12 @@ def _(spark, sf):
     scorer = Scorer(pipeline, {"target_transform": "log1p", "feature_names": state.feature_names()}, LINEAR)
     result = score_records(scorer, lines(spark, sf), BATCH_RULES, scratch_path(spark, "batch"))
     top = ",".join(f"{r['feature']}={r['importance']}" for r in result.top_features)
-    counts = spark.createDataFrame([(result.processed, result.quarantined_rows, top)], "processed bigint, quarantined bigint, top_features string")
-    return counts.crossJoin(result.scored.agg(F.count("prediction").alias("scored")))
+    return result.scored.agg(F.count("prediction").alias("scored")).select(
+        F.lit(result.processed).cast("bigint").alias("processed"),
+        "scored",
+        F.lit(result.quarantined_rows).cast("bigint").alias("quarantined"),
+        F.lit(top).alias("top_features"),
+    )
 
 
 @query(
