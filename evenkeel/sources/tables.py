@@ -23,19 +23,25 @@ def read_jdbc(
     url: str,
     table: str,
     partition_column: str,
-    bounds: tuple[int, int],
     partitions: int,
+    bounds: tuple[int, int] | None = None,
     properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Remote table in parallel range slices; row filters on the result reach the database."""
+    """Remote table in parallel range slices; row filters on the result reach the database.
+
+    The slices cover the partition column's lowest to highest value, which the database is asked for unless
+    ``bounds`` gives them. Rows beyond bounds are in the outer slices, so wrong bounds cost balance and no row.
+    """
+    options = dict(properties or {})
+    if bounds is None:
+        ends = f"(SELECT min({partition_column}) AS low, max({partition_column}) AS high FROM {table}) ends"
+        row = spark.read.jdbc(url, ends, properties=options).first()
+        bounds = (row[0] or 0, row[1] or 0)
+    low, high = bounds
+    if low == high:
+        return spark.read.jdbc(url, table, properties=options)
     return spark.read.jdbc(
-        url,
-        table,
-        column=partition_column,
-        lowerBound=bounds[0],
-        upperBound=bounds[1],
-        numPartitions=partitions,
-        properties=dict(properties or {}),
+        url, table, column=partition_column, lowerBound=low, upperBound=high, numPartitions=partitions, properties=options
     )
 
 
