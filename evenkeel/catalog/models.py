@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import cache
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -29,6 +28,7 @@ from evenkeel.operators.features import (
     category_positions,
     category_table,
     impute_mode,
+    nonzero_counts,
     one_hot_columns,
     standardize,
     transform_features,
@@ -391,10 +391,9 @@ def _(spark, sf):
     rows = derived(spark, sf, "lineitem", GAPPY).where("quantity IS NOT NULL")
     df = rows.withColumn("k", F.concat(F.lit("order "), F.col("l_orderkey").cast("string")))
     state = fit_features(df, Contract(numeric=("quantity",), categorical=("k",), target="l_linenumber"))
-    hot = state.transform(df).select(Summarizer.metrics("numNonZeros").summary(F.col("features")).alias("s"))
-    counts = hot.select(F.posexplode(vector_to_array("s.numNonZeros")).alias("position", "rows"))
-    named = counts.join(state.feature_table(), "position").where("position > 0")
-    return named.select(F.col("position").cast("bigint").alias("position"), "name", F.col("rows").cast("bigint").alias("rows"))
+    counts = nonzero_counts(state.transform(df))
+    named = state.feature_table().where("position > 0").join(counts, "position", "left")
+    return named.select("position", "name", F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"))
 
 
 @query(

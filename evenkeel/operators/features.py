@@ -8,13 +8,19 @@ from functools import cached_property
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from evenkeel.contract import Contract, require_columns
 from evenkeel.functions.numeric import nan_to_null
 from evenkeel.operators.order_stats import exact_quantiles, long_series
 from evenkeel.session import materialize
 
+# Spark's encoder and assembler describe every feature in the column's metadata, which the driver holds and every plan
+# copies. Beyond this many categories vectors are put together without it.
+DESCRIBED = 10_000
+
 
 def numeric_column(name: str) -> Column:
     return nan_to_null(F.col(name).cast("double"))
@@ -206,21 +212,61 @@ class FeatureState:
         return [VectorAssembler(inputCols=inputs, outputCol="features"), drop]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """``df`` with ``features``: categories are numbered by joins with their tables and encoded to sparse vectors."""
+        """``df`` with ``features``: categories are numbered by joins with their tables and encoded to sparse vectors.
+
+        Up to ``DESCRIBED`` categories the column's metadata describes each feature; beyond, ``feature_table`` does.
+        """
         ready = SQLTransformer(statement=self._select_statement()).transform(df)
-        inputs = [f"__num_{c}" for c in self.contract.numeric]
         for c in self.contract.categorical:
-            side = self.tables[c].select(F.col("value").alias("__value"), F.col("position").alias("__position"))
+            side = self.tables[c].select(F.col("value").alias("__value"), F.col("position").alias(f"__idx_{c}"))
             ready = ready.join(side, F.col(f"__cat_{c}") == F.col("__value"), "left").drop("__value")
+        return self._wide(ready) if sum(self.sizes.values()) > DESCRIBED else self._described(ready)
+
+    def _described(self, ready: DataFrame) -> DataFrame:
+        inputs = [f"__num_{c}" for c in self.contract.numeric]
+        for c in self.contract.categorical:
             # One number more than there are categories stands for all others; the encoder drops it.
             kinds = {"ml_attr": {"type": "nominal", "num_vals": self.sizes[c] + 1}}
-            index = F.coalesce(F.col("__position"), F.lit(self.sizes[c])).cast("double")
-            ready = ready.withColumn(f"__idx_{c}", index.alias(f"__idx_{c}", metadata=kinds)).drop("__position")
+            index = F.coalesce(F.col(f"__idx_{c}"), F.lit(self.sizes[c])).cast("double")
+            ready = ready.withColumn(f"__idx_{c}", index.alias(f"__idx_{c}", metadata=kinds))
             encoder = OneHotEncoder(inputCols=[f"__idx_{c}"], outputCols=[f"__hot_{c}"], dropLast=True)
             ready = encoder.fit(ready).transform(ready)  # the number of categories comes from the metadata
             inputs.append(f"__hot_{c}")
         return PipelineModel(self._assembled(inputs)).transform(ready)
 
+    def _wide(self, ready: DataFrame) -> DataFrame:
+        """The same vectors with nothing per feature on the driver; always sparse."""
+        values = [F.col(f"__num_{c}") for c in self.contract.numeric]
+        places, before = [F.lit(i).cast("int") for i in range(len(values))], len(values)
+        for c in self.contract.categorical:
+            places.append((F.col(f"__idx_{c}") + before).cast("int"))  # NULL for a value unseen in training
+            values.append(F.lit(1.0))
+            before += self.sizes[c]
+        pairs = F.arrays_zip(F.array(*places).alias("at"), F.array(*values).alias("x"))
+        held = F.filter(pairs, lambda p: p["at"].isNotNull() & (p["x"] != 0))
+        parts = {"type": F.lit(0), "size": F.lit(before), "indices": held["at"], "values": held["x"]}
+        vector = F.struct(*[c.alias(name) for name, c in parts.items()])
+        # Spark makes vectors of such parts when it reads them as JSON, whose numbers come back as they were.
+        text = F.to_json(F.struct(vector.alias("features")))
+        read = F.from_json(text, StructType().add("features", VectorUDT()), {"mode": "FAILFAST"})["features"]
+        spoiled = F.exists(F.array(*values), F.isnan)
+        features = F.when(spoiled, F.raise_error(F.lit("a feature is NaN"))).otherwise(read)
+        helpers = [f"__{kind}_{c}" for c in self.contract.categorical for kind in ("cat", "idx")]
+        return ready.withColumn("features", features).drop(*helpers, *[f"__num_{c}" for c in self.contract.numeric])
+
+
+def nonzero_counts(df: DataFrame, column: str = "features") -> DataFrame:
+    """(position, rows): in how many vectors of ``column`` a feature isn't zero; features that always are have no row.
+
+    Counted like any key, so no task holds a number per feature.
+    """
+    vector = F.unwrap_udt(column)
+    # A dense vector has no list of positions.
+    at = F.coalesce(vector["indices"], F.sequence(F.lit(0), F.size(vector["values"]) - 1))
+    pairs = df.select(F.explode(F.arrays_zip(at.alias("position"), vector["values"].alias("value"))).alias("p"))
+    held = pairs.where("p.value != 0").groupBy(F.col("p.position").cast("bigint").alias("position"))
+    return held.agg(F.count("*").alias("rows"))
+
 
 def fit_features(train: DataFrame, contract: Contract) -> FeatureState:
     """Learn medians, then moments of the imputed values, and the categories."""
