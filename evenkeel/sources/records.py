@@ -2,9 +2,8 @@
 
 A file is read in byte ranges as lines. A line begins a record if an even number of quotes stands
 before it in the file: every range counts its quotes, the counts are summed over the ranges before
-it, and within a range over the lines before it. Lines that begin and end a record are records;
-the others, which belong to cells with line breaks, are put together by the number of such records opened up to
-them. This holds where quotes stand around cells and are doubled within them, as ``write_csv``
+it, and within a range over the lines before it, in the task that reads them. There lines are put together to
+records without a shuffle; only what a range's ends cut off meets what other ranges have of it. This holds where quotes stand around cells and are doubled within them, as ``write_csv``
 and its like write them; a file with an odd number of quotes is an error.
 """
 
@@ -12,57 +11,106 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from evenkeel.session import materialize
 
 QUOTE = '"'
 
 
-def _earlier(*order: str):
-    return Window.partitionBy(*order[:-1]).orderBy(order[-1]).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _even(c: Column) -> Column:
-    return c % 2 == 0
-
-
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """(file, first, record): every record of the files under ``path`` as text; ``first`` marks a file's header."""
     lines = spark.read.option("lineSep", "\n").text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("range"),
-        F.monotonically_increasing_id().alias("at"),
-        (F.length("value") - F.length(F.replace("value", F.lit(QUOTE), F.lit("")))).alias("quotes"),
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range")
     )
-    # A row per byte range from here to the join.
-    counted = materialize(lines.groupBy("file", "range").agg(F.sum("quotes").alias("quotes")), "csv-ranges")
-    broken = counted.groupBy("file").agg(F.sum("quotes").alias("n")).where(~_even(F.col("n"))).select("file").first()
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(QUOTE), F.lit("")))
+    # A row per byte range.
+    counted = lines.groupBy("file", "range").agg(F.sum(quotes).alias("quotes")).withColumn("id", F.monotonically_increasing_id())
+    counted = materialize(counted, "csv-ranges")
+    broken = counted.groupBy("file").agg(F.sum("quotes").alias("n")).where("n % 2 != 0").select("file").first()
     if broken:
         raise ValueError(f"{broken['file']} has a quote that isn't closed")
-    ranges = counted.select("file", "range", F.coalesce(F.sum("quotes").over(_earlier("file", "range")), F.lit(0)).alias("before"))
-    within = F.coalesce(F.sum("quotes").over(_earlier("file", "range", "at")), F.lit(0))
-    placed = lines.withColumn("within", within).join(ranges, ["file", "range"])
-    opens, closes = _even(F.col("before") + F.col("within")), _even(F.col("before") + F.col("within") + F.col("quotes"))
-    first = (F.col("range") == 0) & (F.row_number().over(Window.partitionBy("file", "range").orderBy("at")) == 1)
-    placed = materialize(
-        placed.select("file", "range", "at", "value", opens.alias("opens"), closes.alias("closes"), first.alias("first")), "csv-lines"
+    earlier = Window.partitionBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("quotes").over(earlier.orderBy("range")), F.lit(0))
+    ranges = counted.select("file", "range", "id", (before % 2 != 0).alias("inside"))
+    # The broadcast leaves a range's lines in their task and in their order.
+    placed = lines.join(F.broadcast(ranges), ["file", "range"]).select("id", "inside", (F.col("range") == 0).alias("start"), "value")
+    pieces = materialize(placed.mapInArrow(_pieces(), "id bigint, first boolean, piece int, record string"), "csv-records")
+    known = F.broadcast(ranges.select("file", "range", "id"))
+    whole = pieces.where("piece = 0").join(known, "id").select("file", "first", "record")
+    # At most a few pieces per range from here on.
+    cut = pieces.where("piece != 0").join(known, "id")
+    opened = F.last(F.when(F.col("piece") == LAST, F.col("range")), ignorenulls=True).over(earlier.orderBy("range", "piece"))
+    number = F.when(F.col("piece") == LAST, F.col("range")).otherwise(opened)
+    joined = cut.withColumn("number", number).groupBy("file", "number").agg(
+        F.bool_or("first").alias("first"), F.array_sort(F.collect_list(F.struct("range", "piece", "record"))).alias("lines")
     )
-    whole = placed.where("opens AND closes").select("file", "first", F.col("value").alias("record"))
-    parts = placed.where("NOT (opens AND closes)")
-    opened = parts.groupBy("file", "range").agg(F.count_if("opens").alias("n"))
-    before = opened.select("file", "range", F.coalesce(F.sum("n").over(_earlier("file", "range")), F.lit(0)).alias("before"))
-    upto = Window.partitionBy("file", "range").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = parts.withColumn("n", F.sum(F.col("opens").cast("long")).over(upto)).join(before, ["file", "range"])
-    joined = numbered.groupBy("file", (F.col("n") + F.col("before")).alias("number")).agg(
-        F.bool_or("first").alias("first"), F.array_sort(F.collect_list(F.struct("range", "at", "value"))).alias("lines")
-    )
-    records = whole.unionByName(joined.select("file", "first", F.array_join("lines.value", "\n").alias("record")))
+    records = whole.unionByName(joined.select("file", "first", F.array_join("lines.record", "\n").alias("record")))
     ended = records.withColumn("record", F.regexp_replace("record", r"\r\z", ""))
     return ended.where(F.col("first") | (F.col("record") != ""))
 
 
+# A record that a byte range holds whole, the lines up to a range's first end of a record that began before it (all lines, if
+# none ends), and those of a record that it leaves open.
+WHOLE, REST, LAST = 0, 1, 2
+
+
+def _pieces():
+    """A function for ``mapInArrow``: a range's lines (id, inside, start, value), in their order, put together to records."""
+    whole, rest, last, quote = WHOLE, REST, LAST, QUOTE
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def out(id, flags, kinds, records):
+            columns = [pa.array(np.full(len(records), id)), pa.array(flags, pa.bool_()), pa.array(kinds, pa.int32()), records]
+            return pa.RecordBatch.from_arrays(columns, ["id", "first", "piece", "record"])
+
+        def together(lines, starts):
+            """The lines from each start to the next as one text."""
+            return pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), lines.cast(pa.string())), "\n")
+
+        def left(held):
+            """What a range leaves open when it ends, or the whole of it if no record ends there."""
+            if held and held["open"]:
+                text = "\n".join(t for part in held["open"] for t in part.to_pylist())
+                kind = last if held["began"] else rest
+                yield out(held["id"], [held["fresh"]], [kind], pa.array([text], pa.string()))
+
+        held = None
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)] if len(ids) else []
+            for a, b in zip(edges, edges[1:]):
+                if held is None or held["id"] != ids[a]:
+                    yield from left(held)
+                    inside = batch.column(1)[a].as_py()
+                    # ``began``: the open lines are a record's beginning; ``fresh``: they are the file's first record.
+                    held = {"id": ids[a], "inside": inside, "open": [], "began": not inside, "fresh": batch.column(2)[a].as_py()}
+                lines = batch.column(3).slice(a, b - a)
+                odd = pc.count_substring(lines, quote).to_numpy(zero_copy_only=False) % 2
+                within = (np.cumsum(odd) + held["inside"]) % 2 == 1  # after each line
+                held["inside"] = bool(within[-1])
+                ends = np.flatnonzero(~within) + 1  # a record ends before each of these
+                if len(ends):
+                    if held["open"]:
+                        lines, pad = pa.concat_arrays([*held["open"], lines]), sum(len(o) for o in held["open"])
+                        ends = ends + pad
+                    records = together(lines.slice(0, int(ends[-1])), [0, *ends.tolist()])
+                    kinds, flags = np.full(len(records), whole, "int32"), np.zeros(len(records), bool)
+                    kinds[0], flags[0] = whole if held["began"] else rest, held["fresh"]
+                    yield out(held["id"], flags, kinds, records)
+                    held |= {"open": [], "began": True, "fresh": False}
+                    lines = lines.slice(int(ends[-1]))
+                if len(lines):
+                    held["open"].append(lines)
+        yield from left(held)
+
+    return run
+
+
 def header_of(records: DataFrame) -> list[str]:
     """The column names; files that differ in them are an error."""
     found = [r["record"] for r in records.where("first").select("record").distinct().limit(2).collect()]

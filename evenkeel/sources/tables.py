@@ -68,20 +68,24 @@ def _present(name: str) -> Column:
     return F.when(~c.isin(*CSV_MISSING), c)
 
 
+# What a text must look like for a cast to double to be tried: a try that fails makes an exception, for each cell.
+NUMBER = r"\A[\x00-\x20]*[0-9A-FXPINTYa-fxpinty+.\-]+[\x00-\x20]*\z"
+
+
 def inferred_types(raw: DataFrame) -> dict[str, str]:
     """bigint, double or string per text column: the narrowest that all its present cells can be read as.
 
     One aggregate over the table. A column without a present cell is double.
     """
-    checks = []
-    for i, name in enumerate(raw.columns):
-        cell = _present(name)
-        checks += [F.count(cell).alias(f"n{i}"), *[F.count(cell.try_cast(t)).alias(f"{t}{i}") for t in ("bigint", "double")]]
-    row = raw.agg(*checks).first()
+    # A row per cell: an expression per column and type would be code of a size that the JVM only interprets.
+    each = raw.select(F.posexplode(F.array(*[_present(name) for name in raw.columns])).alias("i", "cell")).where("cell IS NOT NULL")
+    number = F.when(F.col("cell").rlike(NUMBER), F.col("cell")).try_cast("double")
+    counts = [F.count("*").alias("n"), F.count(F.col("cell").try_cast("bigint")).alias("bigint"), F.count(number).alias("double")]
+    found = {r["i"]: r for r in each.groupBy("i").agg(*counts).collect()}
     kinds = {}
     for i, name in enumerate(raw.columns):
-        fits = [t for t in ("bigint", "double") if row[f"{t}{i}"] == row[f"n{i}"]]
-        kinds[name] = "double" if not row[f"n{i}"] else fits[0] if fits else "string"
+        fits = [t for t in ("bigint", "double") if i in found and found[i][t] == found[i]["n"]]
+        kinds[name] = "double" if i not in found else fits[0] if fits else "string"
     return kinds
 
 

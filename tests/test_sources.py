@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.text import currency, mask_middle, percent, title_label
 from evenkeel.session import scratch_path, scratch_root
-from evenkeel.sources.tables import read_csv, sql_query, write_csv
+from evenkeel.sources.tables import inferred_types, read_csv, sql_query, write_csv
 
 
 def test_csv_missing_texts_become_null(spark, tmp_path):
@@ -89,3 +89,30 @@ def test_scratch_follows_the_session_setting(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert scratch_root(spark) == (named or spark.sparkContext.getCheckpointDir()).rstrip("/")
     assert scratch_path(spark, "x").startswith(scratch_root(spark))
+
+
+def test_records_across_byte_ranges_and_batches(spark, tmp_path):
+    # Cells with many line breaks: some records span several byte ranges, some several Arrow batches, one begins where a range ends.
+    rng = random.Random(5)
+    rows = [(str(i), "\n".join('"' * rng.randrange(2) + "x" * rng.randrange(30) for _ in range(rng.choice([1, 2, 5, 900])))) for i in range(120)]
+    path = tmp_path / "in.csv"
+    path.write_text('id,"no\nte"\n' + "".join(f'{i},"{t.replace(chr(34), chr(34) * 2)}"\n' for i, t in rows))
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, v in zip(names, ("3000", "1", "7")):
+            spark.conf.set(n, v)
+        got = read_csv(spark, str(path), "id string, `no\nte` string")
+        assert sorted(map(tuple, got.collect())) == sorted((i, t or None) for i, t in rows)
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
+
+def test_numbers_are_told_from_texts_as_casts_do(spark):
+    cells = ["1e5", " 7.5 ", "Infinity", "-inf", "0x1p3", "1d", "+.5", "12 Main", "1,5", '"1"', "e", "١", "infinite", "1 ", "9\t"]
+    for cell in cells:
+        raw = spark.createDataFrame([(cell,)], "c string")
+        fits = raw.select(F.col("c").try_cast("double")).first()[0] is not None
+        assert (inferred_types(raw)["c"] != "string") == fits, cell
