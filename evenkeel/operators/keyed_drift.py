@@ -50,10 +50,8 @@ def keyed_snapshots(df: DataFrame, keys: Sequence[str], target: str, date: str,
     price = nan_to_null(F.col(target).cast("double"))
     rows = materialize(df.select(key_of(keys), price.alias("x"), F.col(date).alias("day")), "keyed-rows")
     steps = [i / bins for i in range(bins + 1)]
-    both = F.array(F.struct(F.lit(0).alias("s"), F.log1p("x").alias("v")), F.struct(F.lit(1).alias("s"), F.col("x").alias("v")))
-    series = rows.where("x IS NOT NULL").select("key", F.inline(both))
-    # One selection for the logarithms (s = 0) and the values themselves.
-    found = materialize(keyed_quantiles(series, ["key", "s"], F.col("v"), [*steps, 0.5]), "keyed-quantiles")
+    # One selection for the values and their logarithms; only keys whose values all have one use the latter.
+    found = materialize(keyed_quantiles(rows, ["key"], F.col("x"), [*steps, 0.5], increasing=F.log1p), "keyed-quantiles")
     moments = rows.groupBy("key").agg(
         max_date(rows, "day").alias("snapshot_date"),
         F.count("*").alias("row_count"),
@@ -61,12 +59,12 @@ def keyed_snapshots(df: DataFrame, keys: Sequence[str], target: str, date: str,
         F.stddev_samp("x").alias("std"),
         F.count_if(F.col("x") <= -1).alias("refused"),
     )
-    logs = found.where("s = 0").select("key", F.array_distinct(F.slice("quantiles", 1, bins + 1)).alias("edges"))
+    logs = found.select("key", F.array_distinct(F.slice("mapped", 1, bins + 1)).alias("edges"))
     usable = logs.join(moments.where("refused = 0").select("key"), "key")
     binned = rows.join(usable, "key").withColumn("bin", F.when(F.col("x").isNotNull(), _bins_passed(F.log1p("x"), "edges")))
     shares = _counts(binned, usable, "counts").withColumn("total", _total("counts"))
     shares = shares.select("key", F.transform("counts", lambda n: n / F.col("total")).alias("log_shares"))
-    raw = found.where("s = 1").select(
+    raw = found.select(
         "key", F.get("quantiles", F.lit(bins + 1)).alias("median"), F.slice("quantiles", 1, bins + 1).alias("raw_quantiles")
     )
     out = moments.join(raw, "key", "left").join(usable.withColumnRenamed("edges", "log_edges"), "key", "left")

@@ -12,7 +12,7 @@ key is searched again with all of its values.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -114,11 +114,19 @@ def _between(a: Column, b: Column, t: Column) -> Column:
     return F.when(finite, line).when(t > 0.5, b).otherwise(a)
 
 
-def keyed_quantiles(df: DataFrame, keys: Sequence[str], value: Column, probs: Sequence[float], method: str = "linear") -> DataFrame:
+def keyed_quantiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: Column,
+    probs: Sequence[float],
+    method: str = "linear",
+    increasing: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """The key columns, ``n`` (present values) and ``quantiles``, one per probability, for each key with a present value.
 
     ``linear`` interpolates between neighbouring values, ``higher`` takes the one at ``ceil(p * (n - 1))``.
-    A missing key column is a key of its own.
+    A missing key column is a key of its own. With a function that never falls, ``mapped`` has the quantiles of its results,
+    which have the values' ranks and need no selection of their own.
     """
     if method not in ("linear", "higher"):
         raise ValueError(f"unknown method {method!r}")
@@ -128,20 +136,22 @@ def keyed_quantiles(df: DataFrame, keys: Sequence[str], value: Column, probs: Se
     sizes = materialize(sizes, "keyed-sizes")
     brackets = materialize(_bracketed(values, sizes), "keyed-brackets")
     picked = materialize(_picked(_collapsed(values, brackets), brackets, sizes), "keyed-picked")
-    lost = picked.where("lost").select("key").distinct()
-    none = brackets.limit(0)
-    again = _picked(_collapsed(values.join(lost, "key"), none), None, sizes.join(lost, "key"))
-    picked = picked.join(lost, "key", "left_anti").unionByName(again)
+    if not picked.where("lost").isEmpty():
+        lost = picked.where("lost").select("key").distinct()
+        none = brackets.limit(0)
+        again = _picked(_collapsed(values.join(lost, "key"), none), None, sizes.join(lost, "key"))
+        picked = picked.join(lost, "key", "left_anti").unionByName(again)
     found = picked.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("k", "value"))).alias("at"))
     result = found.join(sizes.select("key", "n"), "key")
     last = F.col("n") - 1
 
-    def quantile(p: float) -> Column:
+    def quantile(p: float, of: Callable[[Column], Column]) -> Column:
         if method == "higher":
-            return F.try_element_at("at", F.ceil(F.lit(p) * last).cast("bigint"))
+            return of(F.try_element_at("at", F.ceil(F.lit(p) * last).cast("bigint")))
         low = F.floor(F.lit(p) * last)
-        a = F.try_element_at("at", low.cast("bigint"))
-        b = F.try_element_at("at", F.least(low + 1, last).cast("bigint"))
+        a = of(F.try_element_at("at", low.cast("bigint")))
+        b = of(F.try_element_at("at", F.least(low + 1, last).cast("bigint")))
         return _between(a, b, F.lit(p) * last - low)
 
-    return result.select(*key_columns(keys), "n", F.array(*[quantile(p) for p in probs]).alias("quantiles"))
+    wanted = {"quantiles": lambda x: x} | ({"mapped": increasing} if increasing else {})
+    return result.select(*key_columns(keys), "n", *[F.array(*[quantile(p, of) for p in probs]).alias(c) for c, of in wanted.items()])

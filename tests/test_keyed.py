@@ -1,5 +1,7 @@
 """Quantiles, drift and intervals of many keys against the single forms and numpy."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +103,14 @@ def test_intervals_equal_the_single_form(spark):
         assert [r["lower_bound"] for r in many] == pytest.approx([r["lower_bound"] for r in single])
     other = spark.createDataFrame([("none", 1.0)], "model string, prediction double")
     assert keyed_intervals(other, ["model"], specs).first()["upper_bound"] is None
+
+
+def test_quantiles_of_an_increasing_function_come_with_the_values(spark):
+    rng = random.Random(3)
+    rows = [(f"k{i % 3}", round(rng.expovariate(0.01), 2)) for i in range(9_000)] + [("big", float(i % 4_999)) for i in range(9_000)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    probs = [0.0, 0.1, 0.37, 0.5, 1.0]
+    both = {r["k"]: r for r in kq.keyed_quantiles(df, ["k"], F.col("x"), probs, increasing=F.log1p).collect()}
+    apart = {r["k"]: r["quantiles"] for r in kq.keyed_quantiles(df, ["k"], F.log1p("x"), probs).collect()}
+    plain = {r["k"]: r["quantiles"] for r in kq.keyed_quantiles(df, ["k"], F.col("x"), probs).collect()}
+    assert {k: r["mapped"] for k, r in both.items()} == apart and {k: r["quantiles"] for k, r in both.items()} == plain
