@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Mapping
 from typing import Any
 
@@ -61,6 +62,10 @@ DEFAULTS = {
     "hist_gradient_boosting": {"maxIter": 100, "stepSize": 0.1, "maxDepth": 5, "maxBins": 255, "minInstancesPerNode": 20},
 }
 
+# Fits of trees keep their rows in memory, about this many bytes a row and 4 more a feature; a task gets so many of them.
+ROW_BYTES = 48
+TASK_BYTES = 64_000_000
+
 
 def family_of(name: str) -> str:
     if name not in FAMILIES:
@@ -97,6 +102,12 @@ def make_estimator(name: str, hyperparameters: Mapping[str, Any] | None, seed: i
     return GBTRegressor(**columns, seed=seed, **params)
 
 
+def spread(ready: DataFrame, rows: int, features: int) -> DataFrame:
+    """``ready`` in as many parts as keep each below ``TASK_BYTES``, however many rows a stored file's split has."""
+    parts = math.ceil(rows * (ROW_BYTES + 4 * features) / TASK_BYTES)
+    return ready.repartition(max(parts, ready.sparkSession.sparkContext.defaultParallelism)) if parts > 1 else ready
+
+
 def fit_pipeline(
     train: DataFrame,
     contract: Contract,
@@ -112,6 +123,8 @@ def fit_pipeline(
     feature_stages = state.stages(train)
     ready = PipelineModel(feature_stages).transform(train.withColumn("__label", label)).select("features", "__label")
     rows, std = ready.agg(F.count("__label"), F.stddev_pop("__label")).first()
+    if family_of(model_type) != "ridge":
+        ready = spread(ready, rows, len(contract.numeric) + sum(state.sizes.values()))
     model = make_estimator(model_type, hyperparameters, seed, std, rows).fit(ready)
     inverse = "expm1(__raw)" if target_transform == "log1p" else "__raw"
     finish = SQLTransformer(statement=f"SELECT * EXCEPT (__raw, features), {inverse} AS prediction FROM __THIS__")
