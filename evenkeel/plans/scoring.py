@@ -18,6 +18,7 @@ from evenkeel.operators.estimators import feature_importance, inner_model
 from evenkeel.operators.evaluate import IntervalSpec
 from evenkeel.operators.intervals import predict_with_interval
 from evenkeel.operators.validate import Rule, alias_rename, optional_defaults, split_valid, validate_rows
+from evenkeel.session import stored
 from evenkeel.sources.artifacts import load_model
 from evenkeel.sources.tables import read_csv, write_csv
 
@@ -173,13 +174,10 @@ def score_records(scorer: Scorer, df: DataFrame, rules: Sequence[Rule], target:
     checked = scorer.checked(df, rules).observe(
         seen, F.count("*").alias("processed"), F.count_if(~F.col("valid")).alias("quarantined")
     )
-    checked = checked.persist()
-    try:
-        good, bad = scorer.split(checked)
+    with stored(checked, "checked") as kept:
+        good, bad = scorer.split(kept)
         for side, rows in (("scored", good), ("quarantined", bad)):
             rows.write.parquet(f"{target}/{side}")
-    finally:
-        checked.unpersist()
     weights = None
     if hasattr(inner_model(scorer.pipeline), "featureImportances"):
         weights = feature_importance(scorer.pipeline, list(scorer.metadata.get("feature_names", ())), top).collect()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +54,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` written once and read back, as long as the block lasts; then the copy is deleted.
+
+    For several writes from one pass. A cached copy would hold a file's whole split, decoded, in each task.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from evenkeel.operators.validate import Rule, rule_messages
 from evenkeel.plans.scoring import Scorer
+from evenkeel.session import stored
 from evenkeel.streaming.ledger import Ledger
 
 
@@ -18,7 +19,7 @@ def start_scoring(
     """Normalise, validate and score a stream into ``target``; ``scored_rows`` and ``quarantined_rows`` read it.
 
     Every row is in one of the two; quarantined rows carry their errors. A batch is read, backfilled and
-    validated once and kept while both sides are written, then entered in the target's ledger with the number
+    validated once and stored while both sides are written, then entered in the target's ledger with the number
     of its rows and of each rule's failures, observed in the same pass. A replayed batch counts once, a stream with a
     new checkpoint adds. ``once`` drains what is there and stops.
     """
@@ -33,16 +34,13 @@ def start_scoring(
         messages = rule_messages(checked, rules)
         failures = [F.count_if(F.array_contains("errors", m)).alias(f"failure_{i}") for i, m in enumerate(messages)]
         checked = checked.observe(seen, F.count("*").alias("rows"), F.count_if(~F.col("valid")).alias("quarantined"), *failures)
-        checked = checked.persist()
-        try:
-            good, bad = scorer.split(checked)
+        with stored(checked, "checked") as kept:
+            good, bad = scorer.split(kept)
             folders = {"scored": ledger.fresh_folder("scored")}
             good.write.parquet(folders["scored"])
             if rules:
                 folders["quarantined"] = ledger.fresh_folder("quarantined")
                 bad.write.parquet(folders["quarantined"])
-        finally:
-            checked.unpersist()
         found = seen.get
         named = {m: found[f"failure_{i}"] for i, m in enumerate(messages)}
         ledger.commit(stream_id, batch_id, folders, {"rows": found["rows"], "quarantined": found["quarantined"], **named})
