@@ -63,7 +63,7 @@ DEFAULTS = {
 }
 
 # Fits of trees keep their rows in memory, about this many bytes a row and 4 more a feature; a task gets so many of them.
-ROW_BYTES = 48
+ROW_BYTES = 240
 TASK_BYTES = 64_000_000
 
 

@@ -22,7 +22,7 @@ def test_tree_fits_deal_rows_by_their_size(spark, monkeypatch):
     whole = fit_pipeline(df, CONTRACT, "hist_gradient_boosting", settings)[0].transform(df).select("prediction").distinct()
     expected = sorted(round(r[0], 6) for r in whole.collect())
     monkeypatch.setattr(estimators, "TASK_BYTES", 10_000)
-    assert spread(df, 4_000, 2).rdd.getNumPartitions() == 23
+    assert spread(df, 4_000, 2).rdd.getNumPartitions() == 100
     dealt = fit_pipeline(df, CONTRACT, "hist_gradient_boosting", settings)[0].transform(df).select("prediction").distinct()
     assert sorted(round(r[0], 6) for r in dealt.collect()) == expected
 
