@@ -71,6 +71,9 @@ def _present(name: str) -> Column:
 # What a text must look like for a cast to double to be tried: a try that fails makes an exception, for each cell.
 NUMBER = r"\A[\x00-\x20]*[0-9A-FXPINTYa-fxpinty+.\-]+[\x00-\x20]*\z"
 
+# Likewise for bigint: no printable ASCII character but digits and signs.
+WHOLE_NUMBER = r"\A[^!-*,./:-~]*\z"
+
 
 def inferred_types(raw: DataFrame) -> dict[str, str]:
     """bigint, double or string per text column: the narrowest that all its present cells can be read as.
@@ -80,7 +83,8 @@ def inferred_types(raw: DataFrame) -> dict[str, str]:
     # A row per cell: an expression per column and type would be code of a size that the JVM only interprets.
     each = raw.select(F.posexplode(F.array(*[_present(name) for name in raw.columns])).alias("i", "cell")).where("cell IS NOT NULL")
     number = F.when(F.col("cell").rlike(NUMBER), F.col("cell")).try_cast("double")
-    counts = [F.count("*").alias("n"), F.count(F.col("cell").try_cast("bigint")).alias("bigint"), F.count(number).alias("double")]
+    whole = F.when(F.col("cell").rlike(WHOLE_NUMBER), F.col("cell")).try_cast("bigint")
+    counts = [F.count("*").alias("n"), F.count(whole).alias("bigint"), F.count(number).alias("double")]
     found = {r["i"]: r for r in each.groupBy("i").agg(*counts).collect()}
     kinds = {}
     for i, name in enumerate(raw.columns):
