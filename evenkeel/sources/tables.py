@@ -8,8 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from evenkeel.session import materialize
-from evenkeel.sources.records import cells, csv_records, header_of
+from evenkeel.sources.records import csv_cells
 
 # The texts that count as missing in a CSV cell.
 CSV_MISSING = (
@@ -71,26 +70,58 @@ def _present(name: str) -> Column:
 # What a text must look like for a cast to double to be tried: a try that fails makes an exception, for each cell.
 NUMBER = r"\A[\x00-\x20]*[0-9A-FXPINTYa-fxpinty+.\-]+[\x00-\x20]*\z"
 
-# Likewise for bigint: no printable ASCII character but digits and signs.
-WHOLE_NUMBER = r"\A[^!-*,./:-~]*\z"
+# Likewise for bigint: digits, signs and what the cast trims.
+WHOLE_NUMBER = r"\A[0-9+\-\x00-\x20\x7F]*\z"
+
+
+KINDS = {"bigint": WHOLE_NUMBER, "double": NUMBER}
+
+# Records in a written file: what a task reads in some seconds.
+FILE_RECORDS = 1_000_000
+
+# Rows that are looked at first: a type that one of their cells does not fit needs no look at the others.
+FIRST_LOOK = 1000
+
+# Columns in a pass of type inference. More at once make code of a size that the JVM only interprets.
+AT_ONCE = 8
+
+
+def _fitting(raw: DataFrame, asked: Mapping[str, str]) -> dict[str, tuple[int, int]]:
+    """Per column its present cells and how many of them can be read as the type that is asked of it."""
+    found = {}
+    for i in range(0, len(asked), AT_ONCE):
+        part = dict(list(asked.items())[i : i + AT_ONCE])
+        texts = raw.select(*[_present(name).alias(name) for name in part])
+        counts = []
+        for name, kind in part.items():
+            c = F.col(f"`{name}`")
+            counts += [F.count(c), F.count(F.when(c.rlike(KINDS[kind]), c).try_cast(kind))]
+        row = texts.agg(*counts).first()
+        found |= {name: (row[2 * k], row[2 * k + 1]) for k, name in enumerate(part)}
+    return found
 
 
 def inferred_types(raw: DataFrame) -> dict[str, str]:
     """bigint, double or string per text column: the narrowest that all its present cells can be read as.
 
-    One aggregate over the table. A column without a present cell is double.
+    The first rows rule out most types that don't fit; each pass then tries the narrowest type left of a column on all its cells, so
+    there are two at most. A column without a present cell is double.
     """
-    # A row per cell: an expression per column and type would be code of a size that the JVM only interprets.
-    each = raw.select(F.posexplode(F.array(*[_present(name) for name in raw.columns])).alias("i", "cell")).where("cell IS NOT NULL")
-    number = F.when(F.col("cell").rlike(NUMBER), F.col("cell")).try_cast("double")
-    whole = F.when(F.col("cell").rlike(WHOLE_NUMBER), F.col("cell")).try_cast("bigint")
-    counts = [F.count("*").alias("n"), F.count(whole).alias("bigint"), F.count(number).alias("double")]
-    found = {r["i"]: r for r in each.groupBy("i").agg(*counts).collect()}
+    left = {name: list(KINDS) for name in raw.columns}
     kinds = {}
-    for i, name in enumerate(raw.columns):
-        fits = [t for t in ("bigint", "double") if i in found and found[i][t] == found[i]["n"]]
-        kinds[name] = "double" if i not in found else fits[0] if fits else "string"
-    return kinds
+    first = raw.limit(FIRST_LOOK)
+    for kind in KINDS:
+        for name, (n, fit) in _fitting(first, dict.fromkeys(raw.columns, kind)).items():
+            if fit < n:
+                left[name].remove(kind)
+    while open := [name for name in raw.columns if name not in kinds]:
+        kinds |= {name: "string" for name in open if not left[name]}
+        for name, (n, fit) in _fitting(raw, {name: left[name][0] for name in open if left[name]}).items():
+            if fit == n:
+                kinds[name] = left[name][0] if n else "double"
+            else:
+                left[name].pop(0)
+    return {name: kinds[name] for name in raw.columns}
 
 
 def read_csv(
@@ -99,7 +130,7 @@ def read_csv(
     """CSV with a header; quotes in cells are doubled, cells may hold line breaks.
 
     Cells are read as text, missing texts become NULL, and the rest is cast under ANSI rules: to
-    the schema's types, or without a schema to what ``inferred_types`` finds in one pass over the cells, which
+    the schema's types, or without a schema to what ``inferred_types`` finds in the cells, which
     are stored for that. A line with too few or too many cells is an error, and so is a header other than the schema's.
     Files are read in byte ranges by many tasks (``records``). Files whose cells hold no line break can be
     read with ``multiline=False``; ``whole_files`` leaves records to Spark's parser, a file in a task, for files with quotes
@@ -110,12 +141,9 @@ def read_csv(
     }
     wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if multiline and not whole_files:
-        records = csv_records(spark, path)
-        names = header_of(records)
+        raw, names = csv_cells(spark, path, store=wanted is None)
         if wanted is not None and names != wanted.names:
             raise ValueError(f"the header has {names}, the schema {wanted.names}")
-        raw = cells(records, names)
-        raw = materialize(raw, "csv-cells") if wanted is None else raw
     elif wanted is None:
         raw = spark.read.csv(path, **{k: v for k, v in options.items() if k != "columnPruning"})
         raw = spark.read.schema(raw.schema).options(**options).csv(path)
@@ -129,8 +157,9 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header, no index column; quotes doubled, spaces around a cell kept."""
+    """CSV with a header, no index column; quotes doubled, spaces around a cell kept. Files have ``FILE_RECORDS`` records at most."""
     options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    options["maxRecordsPerFile"] = FILE_RECORDS
     df.write.mode(mode).options(header=True, **options).csv(path)
 
 

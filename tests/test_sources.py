@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.text import currency, mask_middle, percent, title_label
 from evenkeel.session import scratch_path, scratch_root
+from evenkeel.sources import records, tables
 from evenkeel.sources.tables import inferred_types, read_csv, sql_query, write_csv
 
 
@@ -116,3 +117,79 @@ def test_numbers_are_told_from_texts_as_casts_do(spark):
         raw = spark.createDataFrame([(cell,)], "c string")
         fits = raw.select(F.col("c").try_cast("double")).first()[0] is not None
         assert (inferred_types(raw)["c"] != "string") == fits, cell
+
+
+ODD_CELLS = ["x", "", " pad ", 'say "hi"', "a,b", "two\nlines", '"', '""', "\n", "NA", "\u00e9\ufeff", "\ufeffmark", "tab\t", "'", "\\", '\\"', "0"]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_files_in_ranges_and_whole_files_give_the_same(spark, monkeypatch, tmp_path, end):
+    rng = random.Random(9)
+    rows = [(str(i), rng.choice(ODD_CELLS), rng.choice(ODD_CELLS)) for i in range(500)]
+    cell = lambda t: '"' + t.replace('"', '""') + '"' if set(t) & set('",\n') or rng.random() < 0.2 else t
+    path = tmp_path / "in.csv"
+    path.write_bytes(end.join(["id,b,c", *(",".join(map(cell, r)) for r in rows), ""]).encode())
+    want = sorted((i, *[None if t in ("", "NA") else t for t in (b, c)]) for i, b, c in rows)
+    for whole_file in (records.WHOLE_FILE, -1):
+        monkeypatch.setattr(records, "WHOLE_FILE", whole_file)
+        assert sorted(map(tuple, read_csv(spark, str(path), "id string, b string, c string").collect())) == want
+        inferred = read_csv(spark, str(path))
+        assert dict(inferred.dtypes) == {"id": "bigint", "b": "string", "c": "string"}
+        assert sorted((str(i), b, c) for i, b, c in inferred.collect()) == want
+
+
+def test_files_of_a_tasks_size_are_read_without_ranges(spark, monkeypatch):
+    def ranges(*_):
+        raise AssertionError("read in ranges")
+
+    monkeypatch.setattr(records, "_ranges", ranges)
+    monkeypatch.setattr(tables, "FILE_RECORDS", 3)
+    path = scratch_path(spark, "csv")
+    df = spark.range(10).selectExpr("id", "concat('\"', id, '\\n') AS t").coalesce(1)
+    write_csv(df, path)
+    assert spark.read.text(path).select("_metadata.file_path").distinct().count() == 4
+    assert sorted(map(tuple, read_csv(spark, path).collect())) == [(i, f'"{i}\n') for i in range(10)]
+    monkeypatch.setattr(records, "WHOLE_FILE", 10)
+    with pytest.raises(AssertionError, match="in ranges"):
+        read_csv(spark, path)
+
+
+@pytest.mark.parametrize("line", ["1,x,surplus", "1"])
+def test_ragged_lines_in_ranges_are_errors(spark, monkeypatch, tmp_path, line):
+    monkeypatch.setattr(records, "WHOLE_FILE", -1)
+    path = tmp_path / "in.csv"
+    path.write_text(f"a,b\n1,x\n{line}\n")
+    for schema in ("a int, b string", None):
+        with pytest.raises(Exception, match="MALFORMED|malformed"):
+            read_csv(spark, str(path), schema).select("a").collect()
+
+
+@pytest.mark.parametrize("other", ["a,c\n1,2\n", "A,b\n1,2\n", "b,a\na,b\n"])
+def test_files_with_other_headers_are_errors(spark, tmp_path, other):
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n3,4\n")
+    (tmp_path / "2.csv").write_text(other)
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
+def test_no_header_is_an_error(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("")
+    with pytest.raises(ValueError, match="no header"):
+        read_csv(spark, str(tmp_path))
+
+
+def test_types_are_inferred_from_rows_past_the_first_look(spark, monkeypatch):
+    monkeypatch.setattr(tables, "FIRST_LOOK", 5)
+    monkeypatch.setattr(tables, "AT_ONCE", 2)
+    late = {"a": "7", "b": "7.5", "c": "seven", "d": "NA", "e": "8e1"}
+    raw = spark.createDataFrame([("1", "1", "1", "", "1.5")] * 50 + [tuple(late.values())], list(late)).coalesce(1)
+    assert inferred_types(raw) == {"a": "bigint", "b": "double", "c": "string", "d": "double", "e": "double"}
+
+
+def test_whole_numbers_are_told_from_texts_as_casts_do(spark):
+    signs = ["", "+", "-", " ", "\t", "\x00", "\x1f", "\x7f", "\x85", "\u00a0", "\u2003", "\u0661", "\uff11", "a", ".", "1.", "1e1", "9" * 20]
+    cells = [(f"{a}7{b}",) for a in signs for b in signs]
+    df = spark.createDataFrame(cells, "c string")
+    fits = df.where(F.col("c").try_cast("bigint").isNotNull())
+    assert fits.count() > 30
+    assert fits.where(~F.col("c").rlike(tables.WHOLE_NUMBER)).count() == 0
