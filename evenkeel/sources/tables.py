@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from evenkeel.session import materialize
 from evenkeel.sources.records import csv_cells
 
 # The texts that count as missing in a CSV cell.
@@ -132,7 +133,7 @@ def read_csv(
     Cells are read as text, missing texts become NULL, and the rest is cast under ANSI rules: to
     the schema's types, or without a schema to what ``inferred_types`` finds in the cells, which
     are stored for that. A line with too few or too many cells is an error, and so is a header other than the schema's.
-    Files are read in byte ranges by many tasks (``records``). Files whose cells hold no line break can be
+    Large files are read in byte ranges by many tasks (``records``). Files whose cells hold no line break can be
     read with ``multiline=False``; ``whole_files`` leaves records to Spark's parser, a file in a task, for files with quotes
     within unquoted cells.
     """
@@ -147,6 +148,8 @@ def read_csv(
     elif wanted is None:
         raw = spark.read.csv(path, **{k: v for k, v in options.items() if k != "columnPruning"})
         raw = spark.read.schema(raw.schema).options(**options).csv(path)
+        # Inference takes a pass for so many columns.
+        raw = materialize(raw, "csv-cells") if len(raw.columns) > AT_ONCE else raw
     else:
         text = StructType()
         for f in wanted.fields:

@@ -193,3 +193,12 @@ def test_whole_numbers_are_told_from_texts_as_casts_do(spark):
     fits = df.where(F.col("c").try_cast("bigint").isNotNull())
     assert fits.count() > 30
     assert fits.where(~F.col("c").rlike(tables.WHOLE_NUMBER)).count() == 0
+
+
+def test_types_of_wide_tables_without_line_breaks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(tables, "AT_ONCE", 2)
+    path = tmp_path / "in.csv"
+    path.write_text("a,b,c\n1,NA,x\n2,1.5,3\n")
+    df = read_csv(spark, str(path), multiline=False)
+    assert dict(df.dtypes) == {"a": "bigint", "b": "double", "c": "string"}
+    assert sorted(map(tuple, df.collect())) == [(1, None, "x"), (2, 1.5, "3")]
